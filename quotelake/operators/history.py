@@ -1,0 +1,512 @@
+"""A versioned tick table built from ordinary Parquet tables.
+
+No Iceberg/Delta jars are assumed, so history is kept in plain tables:
+
+* data   ``<root>/data_s<spec>/batch_id=<b>/<partition cols>/part-*.parquet``
+  – a batch is immutable once written; ``spec`` is the partition layout;
+* ``<root>/_meta/snapshots`` – one row per commit: ``snapshot_id, parent_id,
+  committed_at, operation, batches (array<struct<batch_id, spec_id>>),
+  schema_json, summary map<string,string>``;
+* ``<root>/_meta/refs`` – append-only pointer log ``seq, made_current_at,
+  snapshot_id``; the current snapshot is ``max_by(snapshot_id, seq)``;
+* ``<root>/_meta/expired`` – snapshots removed by expiry.
+
+Data columns are stored under stable field ids (``f1``, ``f2``…) and each
+snapshot's ``schema_json`` maps ids to names and types, so add / drop /
+rename / widen are metadata-only and a read is one explicit-schema scan
+with ``batch_id IN (…)`` partition pruning.  Partition columns keep their
+names.  Write order is batch → snapshot → ref, so readers never see a
+half-written commit; there is one writer at a time.
+
+Metadata rows are tiny (one per commit) and are the only thing collected
+on the driver; table data always stays in Spark.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import json
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import hadoop_delete
+
+SNAPSHOT_SCHEMA = T.StructType([
+    T.StructField("snapshot_id", T.LongType()),
+    T.StructField("parent_id", T.LongType()),
+    T.StructField("committed_at", T.TimestampNTZType()),
+    T.StructField("operation", T.StringType()),
+    T.StructField("batches", T.ArrayType(T.StructType([
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("spec_id", T.IntegerType()),
+    ]))),
+    T.StructField("schema_json", T.StringType()),
+    T.StructField("summary", T.MapType(T.StringType(), T.StringType())),
+])
+REFS_SCHEMA = T.StructType([
+    T.StructField("seq", T.LongType()),
+    T.StructField("made_current_at", T.TimestampNTZType()),
+    T.StructField("snapshot_id", T.LongType()),
+])
+DEFINITION_SCHEMA = T.StructType([
+    T.StructField("schema_json", T.StringType()),
+    T.StructField("created_at", T.TimestampNTZType()),
+])
+EXPIRED_SCHEMA = T.StructType([
+    T.StructField("snapshot_id", T.LongType()),
+    T.StructField("expired_at", T.TimestampNTZType()),
+])
+
+# Type changes allowed by change_column: (old, new).
+WIDENINGS = {("int", "bigint"), ("int", "double"), ("float", "double"), ("bigint", "double"),
+             ("smallint", "int"), ("smallint", "bigint"), ("tinyint", "int"), ("tinyint", "bigint")}
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
+def _norm_type(t: str) -> str:
+    return T._parse_datatype_string(t).simpleString()
+
+
+class VersionedTable:
+    """Snapshot history, time travel and schema evolution over Parquet batches."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    # ------------------------------------------------------------ paths ---
+    def _data(self, spec_id: int) -> str:
+        return f"{self.root}/data_s{spec_id}"
+
+    def _meta(self, name: str) -> str:
+        return f"{self.root}/_meta/{name}"
+
+    def _read_meta(self, name: str, schema) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(self._meta(name))
+        except Exception as e:  # folder not created yet
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+                return self.spark.createDataFrame([], schema)
+            raise
+
+    def _append_meta(self, name: str, rows, schema) -> None:
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(self._meta(name))
+
+    # --------------------------------------------------------- metadata ---
+    def snapshots_raw(self) -> DataFrame:
+        """All live (not expired) snapshot rows."""
+        snaps = self._read_meta("snapshots", SNAPSHOT_SCHEMA)
+        exp = self._read_meta("expired", EXPIRED_SCHEMA).select("snapshot_id")
+        return snaps.join(exp, "snapshot_id", "left_anti")
+
+    def refs(self) -> DataFrame:
+        return self._read_meta("refs", REFS_SCHEMA)
+
+    def current_snapshot_id(self):
+        row = self.refs().agg(F.max_by("snapshot_id", "seq").alias("s"), F.max("seq").alias("q")).first()
+        return row["s"], row["q"]
+
+    def snapshot(self, snapshot_id=None) -> dict:
+        """Metadata of one snapshot (current by default); unknown ids raise.
+
+        Before the first commit the current "snapshot" is the table
+        definition: no id, no batches, the created schema.
+        """
+        if snapshot_id is None:
+            snapshot_id, _ = self.current_snapshot_id()
+            if snapshot_id is None:
+                return self._definition()
+        rows = self.snapshots_raw().filter(F.col("snapshot_id") == int(snapshot_id)).collect()
+        if not rows:
+            raise ValueError(f"snapshot {snapshot_id} not found")
+        r = rows[0].asDict(recursive=True)
+        r["schema"] = json.loads(r["schema_json"])
+        return r
+
+    def _definition(self) -> dict:
+        rows = self._read_meta("definition", DEFINITION_SCHEMA).collect()
+        if not rows:
+            raise ValueError(f"no table at {self.root}")
+        return {"snapshot_id": None, "batches": [], "schema": json.loads(rows[0]["schema_json"]),
+                "summary": {"total-records": "0"}}
+
+    def exists(self) -> bool:
+        return self._read_meta("definition", DEFINITION_SCHEMA).limit(1).count() > 0
+
+    # ----------------------------------------------------------- schema ---
+    @staticmethod
+    def _schema_doc(fields, partition, spec_id, specs, next_id) -> dict:
+        return {"fields": fields, "partition": list(partition), "spec_id": spec_id,
+                "specs": specs, "next_id": next_id}
+
+    def create(self, schema: T.StructType | str, partition_by=(), spec=None) -> None:
+        """Define the table if it does not exist; no snapshot until the first commit."""
+        if self.exists():
+            return
+        if isinstance(schema, str):
+            schema = T._parse_datatype_string(schema)
+        fields, nid = [], 1
+        for f in schema.fields:
+            part = f.name in partition_by
+            fields.append({"id": None if part else nid, "name": f.name,
+                           "type": f.dataType.simpleString(), "partition": part})
+            nid += 0 if part else 1
+        specs = {"0": list(spec if spec is not None else partition_by)}
+        doc = self._schema_doc(fields, partition_by, 0, specs, nid)
+        self._append_meta("definition", [(json.dumps(doc), _now())], DEFINITION_SCHEMA)
+
+    def schema(self, snapshot_id=None) -> T.StructType:
+        doc = self.snapshot(snapshot_id)["schema"]
+        return T.StructType([T.StructField(f["name"], T._parse_datatype_string(f["type"]))
+                             for f in doc["fields"]])
+
+    # ----------------------------------------------------------- commit ---
+    def _commit(self, parent, operation, batches, doc, summary, committed_at=None,
+                snapshot_id=None) -> int:
+        if snapshot_id is None:
+            m = self._read_meta("snapshots", SNAPSHOT_SCHEMA).agg(F.max("snapshot_id")).first()[0]
+            snapshot_id = 0 if m is None else m + 1
+        ts = committed_at or _now()
+        self._append_meta("snapshots", [(snapshot_id, parent, ts, operation, batches,
+                                         json.dumps(doc), summary)], SNAPSHOT_SCHEMA)
+        _, seq = self.current_snapshot_id()
+        self._append_meta("refs", [(0 if seq is None else seq + 1, ts, snapshot_id)], REFS_SCHEMA)
+        return snapshot_id
+
+    def _next_snapshot_id(self) -> int:
+        m = self._read_meta("snapshots", SNAPSHOT_SCHEMA).agg(F.max("snapshot_id")).first()[0]
+        return 0 if m is None else m + 1
+
+    def _physical(self, df: DataFrame, doc: dict, spec_id: int, batch_col=None, batch_id=None):
+        """Logical DataFrame → physical columns (field ids, partition values, batch)."""
+        spec = doc["specs"][str(spec_id)]
+        cols = []
+        for f in doc["fields"]:
+            if f["partition"]:
+                continue
+            src = F.col(f["name"]) if f["name"] in df.columns else F.lit(None)
+            cols.append(src.cast(f["type"]).alias(f"f{f['id']}"))
+        part_names = []
+        for p in spec:
+            name, expr = (p.split("=", 1) + [None])[:2] if "=" in p else (p, None)
+            ptype = next((f["type"] for f in doc["fields"] if f["name"] == name), None)
+            c = F.expr(expr) if expr else F.col(name)
+            cols.append((c.cast(ptype) if ptype else c).alias(name))
+            part_names.append(name)
+        cols.append((F.col(batch_col) if batch_col else F.lit(batch_id)).cast("long").alias("batch_id"))
+        return df.select(*cols), ["batch_id"] + part_names
+
+    def _write(self, df: DataFrame, doc: dict, batch_col=None, batch_id=None, layout=None) -> None:
+        spec_id = doc["spec_id"]
+        phys, parts = self._physical(df, doc, spec_id, batch_col, batch_id)
+        if layout is not None:
+            phys = layout(phys, parts)
+        phys.write.mode("append").partitionBy(*parts).parquet(self._data(spec_id))
+
+    def _batch_counts(self, doc: dict, batches) -> dict:
+        """Row count per batch id, from a partition-pruned scan."""
+        if not batches:
+            return {}
+        df = self._scan_batches(doc, batches, count_only=True)
+        return {r["batch_id"]: r["n"] for r in
+                df.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def append(self, df: DataFrame, committed_at=None, operation: str = "append") -> int:
+        """Write ``df`` as one new batch and commit a snapshot that adds it."""
+        cur = self.snapshot()
+        doc = cur["schema"]
+        sid = self._next_snapshot_id()
+        self._write(df, doc, batch_id=sid)
+        added = self._batch_counts(doc, [{"batch_id": sid, "spec_id": doc["spec_id"]}]).get(sid, 0)
+        if added == 0:  # nothing new: no snapshot (E3); the empty batch folder is never referenced
+            return cur["snapshot_id"]
+        total = int(cur["summary"].get("total-records", "0")) + added
+        batches = list(cur["batches"]) + [{"batch_id": sid, "spec_id": doc["spec_id"]}]
+        return self._commit(cur["snapshot_id"], operation, batches, doc,
+                            {"added-records": str(added), "total-records": str(total)},
+                            committed_at, sid)
+
+    def import_history(self, df: DataFrame, version_col: str, committed_at_col: str) -> list:
+        """Load many versions in one job: rows of version v form batch v.
+
+        Versions are committed in order, each adding its batch to the
+        previous one; ``committed_at`` of version v is ``max(committed_at_col)``
+        over its rows.  One write and one small aggregate, whatever the count.
+        """
+        cur = self.snapshot()
+        doc = cur["schema"]
+        self._write(df, doc, batch_col=version_col)
+        stats = df.groupBy(F.col(version_col).cast("long").alias("v")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max(F.col(committed_at_col).cast("timestamp_ntz")).alias("ts")).orderBy("v").collect()
+        parent, batches = cur["snapshot_id"], list(cur["batches"])
+        total = int(cur["summary"].get("total-records", "0"))
+        snap_rows, ref_rows = [], []
+        _, seq = self.current_snapshot_id()
+        seq = -1 if seq is None else seq
+        for r in stats:
+            total += r["n"]
+            batches = batches + [{"batch_id": r["v"], "spec_id": doc["spec_id"]}]
+            snap_rows.append((r["v"], parent, r["ts"], "append", list(batches), json.dumps(doc),
+                              {"added-records": str(r["n"]), "total-records": str(total)}))
+            seq += 1
+            ref_rows.append((seq, r["ts"], r["v"]))
+            parent = r["v"]
+        self._append_meta("snapshots", snap_rows, SNAPSHOT_SCHEMA)
+        self._append_meta("refs", ref_rows, REFS_SCHEMA)
+        return [r["v"] for r in stats]
+
+    # ------------------------------------------------------------- read ---
+    def _scan_batches(self, doc: dict, batches, count_only: bool = False) -> DataFrame:
+        """One explicit-schema scan per partition layout, pruned to ``batches``."""
+        by_spec: dict[int, list] = {}
+        for b in batches:
+            by_spec.setdefault(int(b["spec_id"]), []).append(int(b["batch_id"]))
+        parts = []
+        for spec_id, ids in sorted(by_spec.items()):
+            spec = doc["specs"][str(spec_id)]
+            phys = [T.StructField(f"f{f['id']}", T._parse_datatype_string(f["type"]))
+                    for f in doc["fields"] if not f["partition"]]
+            pcols = []
+            for p in spec:
+                name = p.split("=", 1)[0]
+                ft = next((f["type"] for f in doc["fields"] if f["name"] == name), "string")
+                pcols.append(T.StructField(name, T._parse_datatype_string(ft)))
+            schema = T.StructType([T.StructField("batch_id", T.LongType())] + pcols + phys)
+            scan = self.spark.read.schema(schema).parquet(self._data(spec_id)) \
+                .filter(F.col("batch_id").isin(ids))
+            if count_only:
+                parts.append(scan.select("batch_id"))
+                continue
+            out = []
+            for f in doc["fields"]:
+                if f["partition"]:
+                    out.append(F.col(f["name"]) if any(c.name == f["name"] for c in pcols)
+                               else F.lit(None).cast(f["type"]).alias(f["name"]))
+                else:
+                    out.append(F.col(f"f{f['id']}").alias(f["name"]))
+            parts.append(scan.select(*out, "batch_id"))
+        if not parts:
+            empty = T.StructType([T.StructField(f["name"], T._parse_datatype_string(f["type"]))
+                                  for f in doc["fields"]] + [T.StructField("batch_id", T.LongType())])
+            return self.spark.createDataFrame([], empty).select("batch_id") if count_only \
+                else self.spark.createDataFrame([], empty)
+        res = parts[0]
+        for p in parts[1:]:
+            res = res.unionByName(p)
+        return res
+
+    def read(self, snapshot_id=None, with_batch: bool = False) -> DataFrame:
+        """Table rows as of a snapshot, with that snapshot's schema (V2)."""
+        s = self.snapshot(snapshot_id)
+        df = self._scan_batches(s["schema"], s["batches"])
+        return df if with_batch else df.drop("batch_id")
+
+    def snapshot_at(self, ts) -> int:
+        """Snapshot current at ``ts``: the last ref made at or before it (V3)."""
+        if isinstance(ts, str):
+            ts = _dt.datetime.fromisoformat(ts)
+        row = self.refs().filter(F.col("made_current_at") <= F.lit(ts.isoformat(sep=" "))
+                                 .cast("timestamp_ntz")) \
+            .agg(F.max_by("snapshot_id", "seq").alias("s")).first()
+        if row["s"] is None:
+            raise ValueError(f"no snapshot of {self.root} was current at {ts}")
+        return row["s"]
+
+    def read_at(self, ts) -> DataFrame:
+        return self.read(self.snapshot_at(ts))
+
+    # ---------------------------------------------------------- reports ---
+    def snapshots(self) -> DataFrame:
+        """Snapshot list with added / deleted / total records, oldest first."""
+        s = self.snapshots_raw()
+        return s.select(
+            "snapshot_id", "committed_at", "operation",
+            F.try_element_at("summary", F.lit("added-records")).alias("added"),
+            F.try_element_at("summary", F.lit("deleted-records")).alias("deleted"),
+            F.try_element_at("summary", F.lit("total-records")).alias("total"),
+        ).orderBy("committed_at", "snapshot_id")
+
+    def diff_counts(self, snap_a, snap_b) -> DataFrame:
+        """Row counts at two snapshots and the signed delta, in one pruned pass (V4)."""
+        a, b = self.snapshot(snap_a), self.snapshot(snap_b)
+        ids_a = [x["batch_id"] for x in a["batches"]]
+        ids_b = [x["batch_id"] for x in b["batches"]]
+        union = {(x["batch_id"], x["spec_id"]): x for x in a["batches"] + b["batches"]}
+        scan = self._scan_batches(b["schema"], list(union.values()), count_only=True)
+        return scan.agg(F.count_if(F.col("batch_id").isin(ids_a)).alias("count_a"),
+                        F.count_if(F.col("batch_id").isin(ids_b)).alias("count_b")) \
+            .withColumn("delta", F.col("count_b") - F.col("count_a"))
+
+    def row_diff(self, snap_a, snap_b, cols=None) -> DataFrame:
+        """Rows in ``snap_b`` and not in ``snap_a`` (multiset difference)."""
+        b = self.read(snap_b)
+        a = self.read(snap_a)
+        cols = cols or [c for c in b.columns if c in a.columns]
+        return b.select(*cols).exceptAll(a.select(*cols))
+
+    # --------------------------------------------------------- rollback ---
+    def ancestors(self, snapshot_id) -> list:
+        pairs = {r["snapshot_id"]: r["parent_id"] for r in
+                 self._read_meta("snapshots", SNAPSHOT_SCHEMA).select("snapshot_id", "parent_id").collect()}
+        out, cur = [], snapshot_id
+        while cur is not None:
+            out.append(cur)
+            cur = pairs.get(cur)
+        return out
+
+    def rollback(self, snapshot_id, at=None) -> None:
+        """Make an ancestor snapshot current again; later ones stay listed (V5)."""
+        cur, seq = self.current_snapshot_id()
+        if snapshot_id not in self.ancestors(cur):
+            raise ValueError(f"snapshot {snapshot_id} is not an ancestor of {cur}")
+        self.snapshot(snapshot_id)  # must not be expired
+        self._append_meta("refs", [(seq + 1, at or _now(), int(snapshot_id))], REFS_SCHEMA)
+
+    # --------------------------------------------------- schema changes ---
+    def _schema_commit(self, doc, operation, committed_at=None) -> int:
+        cur = self.snapshot()
+        return self._commit(cur["snapshot_id"], operation, cur["batches"], doc,
+                            {"added-records": "0", "total-records": cur["summary"].get("total-records", "0")},
+                            committed_at)
+
+    def add_column(self, name: str, dtype: str, committed_at=None) -> int:
+        """New column with a fresh field id; older rows read null (V6)."""
+        doc = dict(self.snapshot()["schema"])
+        if any(f["name"].lower() == name.lower() for f in doc["fields"]):
+            raise ValueError(f"column {name} already exists")
+        doc["fields"] = doc["fields"] + [{"id": doc["next_id"], "name": name,
+                                          "type": _norm_type(dtype), "partition": False}]
+        doc["next_id"] += 1
+        return self._schema_commit(doc, "add-column", committed_at)
+
+    def drop_column(self, name: str, committed_at=None) -> int:
+        """Remove a column from the current schema; older snapshots keep it (V7)."""
+        doc = dict(self.snapshot()["schema"])
+        f = next((f for f in doc["fields"] if f["name"] == name), None)
+        if f is None:
+            raise ValueError(f"no column {name}")
+        if f["partition"]:
+            raise ValueError("partition columns cannot be dropped")
+        doc["fields"] = [x for x in doc["fields"] if x["name"] != name]
+        return self._schema_commit(doc, "drop-column", committed_at)
+
+    def change_column(self, old: str, new: str | None = None, dtype: str | None = None,
+                      committed_at=None) -> int:
+        """Rename and/or widen a column; same field id, so data is untouched (V8).
+
+        Narrowing or other casts are refused here, before anything is
+        committed, instead of failing later inside a scan.
+        """
+        doc = dict(self.snapshot()["schema"])
+        f = next((f for f in doc["fields"] if f["name"] == old), None)
+        if f is None:
+            raise ValueError(f"no column {old}")
+        if f["partition"]:
+            raise ValueError("partition columns cannot be renamed or retyped")
+        nf = dict(f)
+        if new and new != old:
+            if any(x["name"].lower() == new.lower() for x in doc["fields"]):
+                raise ValueError(f"column {new} already exists")
+            nf["name"] = new
+        if dtype:
+            t = _norm_type(dtype)
+            if t != f["type"] and (f["type"], t) not in WIDENINGS:
+                raise ValueError(f"cannot change {f['type']} to {t}")
+            nf["type"] = t
+        doc["fields"] = [nf if x is f else x for x in doc["fields"]]
+        return self._schema_commit(doc, "change-column", committed_at)
+
+    def set_partition_spec(self, spec, committed_at=None) -> int:
+        """New layout for later batches (``col`` or ``name=expr`` items); old batches keep theirs (V9)."""
+        doc = dict(self.snapshot()["schema"])
+        for p in spec:
+            name = p.split("=", 1)[0]
+            if "=" not in p and not any(f["name"] == name for f in doc["fields"]):
+                raise ValueError(f"no column {name}")
+            if "=" in p and any(f["name"] == name for f in doc["fields"]):
+                raise ValueError(f"derived partition {name} clashes with a column")
+        for f in doc["fields"]:
+            if f["partition"] and f["name"] not in [p.split("=", 1)[0] for p in spec]:
+                raise ValueError(f"partition column {f['name']} must stay in the spec")
+        specs = dict(doc["specs"])
+        new_id = max(int(k) for k in specs) + 1
+        specs[str(new_id)] = list(spec)
+        doc["specs"], doc["spec_id"] = specs, new_id
+        return self._schema_commit(doc, "replace-partition-spec", committed_at)
+
+    # ---------------------------------------------------- maintenance ---
+    def expire_snapshots(self, older_than, remove_files: bool = True) -> DataFrame:
+        """Expire snapshots committed before ``older_than`` (never the current one),
+        then delete batches no live snapshot references (V10).
+
+        Returns the removed batch ids.
+        """
+        if isinstance(older_than, str):
+            older_than = _dt.datetime.fromisoformat(older_than)
+        cur, _ = self.current_snapshot_id()
+        live = self.snapshots_raw()
+        old = live.filter((F.col("committed_at") < F.lit(older_than.isoformat(sep=" "))
+                           .cast("timestamp_ntz")) & (F.col("snapshot_id") != cur))
+        old_ids = [r["snapshot_id"] for r in old.select("snapshot_id").collect()]
+        now = _now()
+        if old_ids:
+            self._append_meta("expired", [(i, now) for i in old_ids], EXPIRED_SCHEMA)
+        keep = self.snapshots_raw().select(F.explode("batches").alias("b")) \
+            .select("b.batch_id", "b.spec_id").distinct()
+        on_disk = self._list_batches()
+        orphans = on_disk.join(keep, ["batch_id", "spec_id"], "left_anti")
+        removed = orphans.collect()
+        if remove_files:
+            for r in removed:
+                hadoop_delete(self.spark, f"{self._data(r['spec_id'])}/batch_id={r['batch_id']}")
+        return self.spark.createDataFrame([(r["batch_id"], r["spec_id"]) for r in removed],
+                                          "batch_id long, spec_id int")
+
+    def _list_batches(self) -> DataFrame:
+        """``(batch_id, spec_id)`` of every batch folder on storage."""
+        sc = self.spark.sparkContext
+        jvm = sc._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+        rows = []
+        if fs.exists(root):
+            for st in fs.listStatus(root):
+                name = st.getPath().getName()
+                if not name.startswith("data_s"):
+                    continue
+                spec = int(name[len("data_s"):])
+                for b in fs.listStatus(st.getPath()):
+                    bn = b.getPath().getName()
+                    if bn.startswith("batch_id="):
+                        rows.append((int(bn.split("=", 1)[1]), spec))
+        return self.spark.createDataFrame(rows, "batch_id long, spec_id int")
+
+    def compact(self, sort_cols=(), committed_at=None) -> int:
+        """Rewrite all live rows as one batch of large sorted files; rows unchanged.
+
+        Range partitioning on (partition columns, sort columns) spreads a hot
+        partition value over many tasks instead of one.
+        """
+        cur = self.snapshot()
+        doc = cur["schema"]
+        df = self.read()
+        n = int(cur["summary"].get("total-records", "0"))
+        sid = self._next_snapshot_id()
+        nparts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+        def layout(phys, parts):
+            keys = [c for c in parts if c != "batch_id"] + \
+                   [f"f{f['id']}" for f in doc["fields"] if f["name"] in sort_cols and not f["partition"]]
+            return phys.repartitionByRange(nparts, *keys).sortWithinPartitions(*keys) if keys else phys
+
+        self._write(df, doc, batch_id=sid, layout=layout)
+        return self._commit(cur["snapshot_id"], "replace",
+                            [{"batch_id": sid, "spec_id": doc["spec_id"]}], doc,
+                            {"added-records": str(n), "deleted-records": str(n), "total-records": str(n)},
+                            committed_at, sid)

@@ -238,3 +238,7 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS cnt FROM orders
 GROUP BY ROLLUP (year(o_orderdate))""")
 def q_year_counts_total(spark, sf):
     return A.year_counts_total(X.table(spark, sf, "orders"), ts_col="o_orderdate")
+
+
+# Query modules that register themselves on import.
+from . import history_queries  # noqa: E402,F401

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from .. import constants as K
 
 __all__ = [
-    "epoch_ntz", "to_ntz", "epoch_ms", "ms_to_ts", "ts_text", "parse_ts_text",
+    "epoch_ntz", "utc_instant", "utc_wallclock", "to_ntz", "epoch_ms", "ms_to_ts", "ts_text", "parse_ts_text",
     "to_local", "to_utc", "minute_of_day", "local_weekday", "window_start_min",
-    "window_start_ts", "window_key", "second_key", "spread", "is_crypto",
+    "window_start_ts", "window_end_min", "window_key", "second_key", "spread", "is_crypto",
     "flag_change", "path_symbol", "normalize_path", "output_key", "target_key",
     "year_of",
 ]
@@ -44,6 +44,19 @@ def epoch_ms(ts) -> Column:
     return ((us - F.pmod(us, F.lit(1000))) / 1000).cast("long")
 
 
+def utc_instant(ts) -> Column:
+    """UTC wall clock (ntz) → the same instant as a TIMESTAMP, session-zone free.
+
+    Streaming watermarks need TIMESTAMP event times.
+    """
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch_ntz(), _c(ts)))
+
+
+def utc_wallclock(ts) -> Column:
+    """TIMESTAMP instant → UTC wall clock (ntz), session-zone free."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)), epoch_ntz())
+
+
 def ms_to_ts(ms) -> Column:
     """Epoch milliseconds → UTC timestamp_ntz."""
     return F.timestamp_add("MILLISECOND", _c(ms), epoch_ntz())
@@ -96,6 +109,15 @@ def window_start_min(local_ts, windows=K.COLLECTION_WINDOWS) -> Column:
     return expr.otherwise(F.lit(None).cast("int"))
 
 
+def window_end_min(start_min, windows=K.COLLECTION_WINDOWS) -> Column:
+    """End minute (exclusive) of the window starting at ``start_min``."""
+    expr = None
+    for ws, we in _windows_minutes(windows):
+        cond = _c(start_min) == ws
+        expr = F.when(cond, F.lit(we)) if expr is None else expr.when(cond, F.lit(we))
+    return expr
+
+
 def window_start_ts(local_date, start_min) -> Column:
     """Local window start timestamp from a local date and a start minute."""
     return F.timestamp_add("MINUTE", _c(start_min),

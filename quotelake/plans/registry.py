@@ -243,3 +243,4 @@ def q_year_counts_total(spark, sf):
 # Query modules that register themselves on import.
 from . import history_queries  # noqa: E402,F401
 from . import file_queries  # noqa: E402,F401
+from . import stream_queries  # noqa: E402,F401

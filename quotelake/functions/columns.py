@@ -128,7 +128,7 @@ def window_key(local_date, start_min) -> Column:
     """``yyyyMMdd_HHmm`` of a window start."""
     sm = _c(start_min)
     hhmm = F.lpad(((F.floor(sm / 60) * 100) + F.pmod(sm, F.lit(60))).cast("string"), 4, "0")
-    return F.concat_ws("_", F.date_format(_c(local_date), "yyyyMMdd"), hhmm)
+    return F.concat(F.date_format(_c(local_date), "yyyyMMdd"), F.lit("_"), hhmm)
 
 
 def second_key(ts) -> Column:

@@ -51,7 +51,8 @@ def ingest(table: VersionedTable, raw: DataFrame, spread: bool = False, committe
     src = gold_rows(raw, spread)
     good, null_keys = M.split_null_keys(src, M.TICK_KEY)
     cols = src.columns
-    ins = M.rows_to_insert(good, _current(table), cols, M.TICK_KEY, partition_cols=PARTITION_BY)
+    ins = M.rows_to_insert(good, _current(table), cols, M.TICK_KEY, partition_cols=PARTITION_BY,
+                           range_col="DateTime")
     sid = table.append(ins, committed_at=committed_at)
     return {"snapshot_id": sid, "null_keys": null_keys}
 
@@ -61,8 +62,8 @@ def ingest_report(table: VersionedTable, raw: DataFrame, spread: bool = False) -
     src = gold_rows(raw, spread)
     good, _ = M.split_null_keys(src, M.TICK_KEY)
     cur = _current(table)
-    keys = M.new_key_count(good, cur, partition_cols=PARTITION_BY)
-    rows = M.rows_to_insert(good, cur, src.columns, M.TICK_KEY, PARTITION_BY) \
+    keys = M.new_key_count(good, cur, partition_cols=PARTITION_BY, range_col="DateTime")
+    rows = M.rows_to_insert(good, cur, src.columns, M.TICK_KEY, PARTITION_BY, "DateTime") \
         .groupBy("symbol").agg(F.count(F.lit(1)).alias("inserted_rows"))
     return M.ingest_summary(good.select("symbol"), keys).join(rows, "symbol", "left") \
         .select("symbol", "new_count", F.coalesce("inserted_rows", F.lit(0)).cast("long").alias("inserted_rows"))
@@ -73,15 +74,33 @@ def table_name(symbol: str, spread: bool = False) -> str:
     return f"{K.TABLE_PREFIX}{symbol.lower()}" + ("_spread" if spread else "")
 
 
+def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """``CREATE DATABASE IF NOT EXISTS`` (S12); ``location`` keeps it off the local warehouse."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
+
+
+def partitions(table: VersionedTable, spread: bool = False, snapshot_id=None) -> DataFrame:
+    """Per-symbol table name, partition (symbol, year) and rows, like SHOW PARTITIONS.
+
+    Counted from the partition columns, so only the partition directories'
+    row counts are aggregated (partial aggregation before the shuffle).
+    """
+    name = F.concat(F.lit(K.TABLE_PREFIX), F.lower("symbol"), F.lit("_spread" if spread else ""))
+    return table.read(snapshot_id).groupBy("symbol", "year") \
+        .agg(F.count(F.lit(1)).alias("n_rows")) \
+        .select(name.alias("table_name"), "symbol", "year", "n_rows")
+
+
 def register_symbol_views(spark: SparkSession, table: VersionedTable, spread: bool = False,
-                          database: str | None = None) -> list:
+                          database: str | None = None, location: str | None = None) -> list:
     """One view per symbol over the current gold table.
 
     The symbol names are a small dimension (one per folder), read from the
     table itself; the views are catalog entries, not data.
     """
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        create_database(spark, database, location)
     cur = table.read()
     names = []
     for r in cur.select("symbol").distinct().collect():

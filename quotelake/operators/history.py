@@ -202,10 +202,20 @@ class VersionedTable:
         return df.select(*cols), ["batch_id"] + part_names
 
     def _write(self, df: DataFrame, doc: dict, batch_col=None, batch_id=None, layout=None) -> None:
+        """Append rows as Parquet below ``batch_id=…/<partition values>``.
+
+        By default the rows are rebalanced on the partition values first:
+        AQE merges small shuffle partitions and splits a hot value over
+        several tasks, so each value gets a few right-sized files instead of
+        one file per task per value, and no task holds a hot value alone.
+        """
         spec_id = doc["spec_id"]
         phys, parts = self._physical(df, doc, spec_id, batch_col, batch_id)
         if layout is not None:
             phys = layout(phys, parts)
+        else:
+            spread = [c for c in parts if c != "batch_id" or batch_col]
+            phys = phys.hint("rebalance", *spread) if spread else phys
         phys.write.mode("append").partitionBy(*parts).parquet(self._data(spec_id))
 
     def _batch_counts(self, doc: dict, batches) -> dict:

@@ -18,12 +18,21 @@ from ..session import ensure_checkpoint_dir
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, lineage cut (survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (counts no further than that)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def materialize_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
     """Checkpoint ``df`` and return ``(df, fits)`` where ``fits`` means ≤ max_rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    cp = df.checkpoint(eager=True)
-    n = cp.limit(max_rows + 1).count()
-    return cp, n <= max_rows
+    cp = checkpointed(df)
+    return cp, fits(cp, max_rows)
 
 
 def join_dimension(big: DataFrame, dim: DataFrame, on, how: str = "inner",

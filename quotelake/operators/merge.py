@@ -2,9 +2,17 @@
 
 The key of a tick is ``(DateTime, symbol)``.  Both sides of every anti
 join are hash-partitioned on the full key, so a symbol holding a third of
-all rows still spreads over many tasks; when the target is partitioned
-(e.g. by ``symbol, year``) it is first cut to the partitions the source
-touches, through a size-checked broadcast semi join.
+all rows still spreads over many tasks.  When the target is partitioned
+(e.g. by ``symbol, year``) it is first cut to what the source can match:
+
+* the partitions the source touches — a literal partition filter when
+  they are few (static partition pruning, nothing of the other partitions
+  is listed or read), else a size-checked semi join;
+* the source's key-time range — a plain range filter that Parquet uses to
+  skip row groups, so an ingest of recent ticks does not read history.
+
+Both come from one aggregate over the source, materialised with a reliable
+checkpoint; its size is checked before anything of it reaches the driver.
 """
 
 from __future__ import annotations
@@ -14,10 +22,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import join_dimension
+from .joins import checkpointed, fits, join_dimension
 
 TICK_KEY = ("DateTime", "symbol")
 
+# Touched partitions up to which the target is cut with a literal filter.
+MAX_STATIC_PARTITIONS = 1000
+
 
 def split_null_keys(source: DataFrame, keys=TICK_KEY):
     """``(good, quarantined)``: rows with a null key never match, so set them aside (D-4)."""
@@ -25,25 +36,66 @@ def split_null_keys(source: DataFrame, keys=TICK_KEY):
     return source.filter(~any_null), source.filter(any_null)
 
 
-def prune_target(target: DataFrame, source: DataFrame, partition_cols) -> DataFrame:
-    """Target restricted to the partitions present in the source."""
-    if not partition_cols:
-        return target
-    touched = source.select(*partition_cols).distinct()
-    return join_dimension(target, touched, list(partition_cols), "left_semi")
+def _literal(value, dtype: str):
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if dtype == "timestamp_ntz":  # via text, so no session zone is applied
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    return F.lit(value).cast(dtype)
 
 
-def new_keys(source: DataFrame, target: DataFrame, keys=TICK_KEY, partition_cols=()) -> DataFrame:
+def _eq(col: str, value, dtype: str):
+    return F.col(col).eqNullSafe(_literal(value, dtype)) if value is None \
+        else F.col(col) == _literal(value, dtype)
+
+
+def prune_target(target: DataFrame, source: DataFrame, partition_cols=(),
+                 range_col: str | None = None) -> DataFrame:
+    """Target restricted to the source's partitions and ``range_col`` range."""
+    keys = list(partition_cols)
+    if not keys and not range_col:
+        return target
+    types = dict(target.dtypes)
+    aggs = [F.min(range_col).alias("_lo"), F.max(range_col).alias("_hi")] if range_col \
+        else [F.count(F.lit(1)).alias("_n")]
+    touched = checkpointed(source.groupBy(*keys).agg(*aggs) if keys else source.agg(*aggs))
+    # Bounded: at most MAX_STATIC_PARTITIONS + 1 small rows reach the driver.
+    rows = touched.limit(MAX_STATIC_PARTITIONS + 1).collect()
+    static = len(rows) <= MAX_STATIC_PARTITIONS
+    out = target
+    if range_col:
+        if static:
+            los = [r["_lo"] for r in rows if r["_lo"] is not None]
+            lo, hi = (min(los), max(r["_hi"] for r in rows if r["_hi"] is not None)) if los else (None, None)
+        else:
+            lo, hi = touched.agg(F.min("_lo"), F.max("_hi")).first()
+        if lo is None:  # no source key at all: nothing can match
+            return target.filter(F.lit(False))
+        t = types[range_col]
+        out = out.filter(F.col(range_col).between(_literal(lo, t), _literal(hi, t)))
+    if not keys:
+        return out
+    if static:
+        cond = reduce(lambda a, b: a | b,
+                      [reduce(lambda a, b: a & b, [_eq(k, r[k], types[k]) for k in keys]) for r in rows],
+                      F.lit(False))
+        return out.filter(cond)
+    small = touched.select(*keys)
+    return out.join(F.broadcast(small) if fits(small) else small, keys, "left_semi")
+
+
+def new_keys(source: DataFrame, target: DataFrame, keys=TICK_KEY, partition_cols=(),
+             range_col: str | None = None) -> DataFrame:
     """Distinct source keys absent from the target (A2 + J1)."""
     src = source.select(*keys).distinct()
-    tgt = prune_target(target, source, partition_cols).select(*keys)
+    tgt = prune_target(target, source, partition_cols, range_col).select(*keys)
     return src.join(tgt, list(keys), "left_anti")
 
 
 def new_key_count(source: DataFrame, target: DataFrame, keys=TICK_KEY, by="symbol",
-                  partition_cols=()) -> DataFrame:
+                  partition_cols=(), range_col: str | None = None) -> DataFrame:
     """Number of new distinct keys per ``by`` (A3), one aggregate for all symbols."""
-    return new_keys(source, target, keys, partition_cols).groupBy(by) \
+    return new_keys(source, target, keys, partition_cols, range_col).groupBy(by) \
         .agg(F.count(F.lit(1)).alias("new_count"))
 
 
@@ -55,7 +107,7 @@ def ingest_summary(symbols: DataFrame, counts: DataFrame, by="symbol",
 
 
 def rows_to_insert(source: DataFrame, target: DataFrame, cols, keys=TICK_KEY,
-                   partition_cols=()) -> DataFrame:
+                   partition_cols=(), range_col: str | None = None) -> DataFrame:
     """MERGE … WHEN NOT MATCHED THEN INSERT with a DISTINCT source (A1 + J2).
 
     Distinct is over whole rows, as in the reference: one key with two
@@ -64,7 +116,7 @@ def rows_to_insert(source: DataFrame, target: DataFrame, cols, keys=TICK_KEY,
     """
     good, _ = split_null_keys(source, keys)
     src = good.select(*cols).distinct()
-    tgt = prune_target(target, good, partition_cols).select(*keys)
+    tgt = prune_target(target, good, partition_cols, range_col).select(*keys)
     return src.join(tgt, list(keys), "left_anti").select(*cols)
 
 

@@ -101,16 +101,37 @@ def first_per_second(ticks: DataFrame, order=("DateTime",), ts_col: str = "DateT
 
     ``order`` must make the pick deterministic (add a tie-break column).
     ``row_number() = 1`` lets Spark insert a partial WindowGroupLimit before
-    the shuffle, so at most one row per group and map task is shuffled.
+    the shuffle, so at most one row per group and map task is shuffled: even
+    a hot second reaches its reducer as one row per map task.
     """
     w = Window.partitionBy("symbol", C.second_key(ts_col)).orderBy(*order)
     return ticks.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+# Sub-groups per window in the first level of ``cap_per_window``.
+CAP_SALT_BUCKETS = 32
+
+
 def cap_per_window(tagged: DataFrame, cap: int = K.MAX_TICKS_PER_WINDOW,
-                   order=("DateTime",)) -> DataFrame:
-    """Keep the first ``cap`` ticks of each (symbol, local date, window)."""
-    w = Window.partitionBy("symbol", "local_date", "win_start_min").orderBy(*order)
+                   order=("DateTime",), salt_buckets: int = CAP_SALT_BUCKETS) -> DataFrame:
+    """Keep the first ``cap`` ticks of each (symbol, local date, window).
+
+    Two levels, so a hot window is never sorted by one task: first the top
+    ``cap`` of each (window, salt) sub-group, the salt being a hash of the
+    ordering columns; then the top ``cap`` of the at most
+    ``cap × salt_buckets`` survivors per window.  The overall first ``cap``
+    rows are among the first ``cap`` of their sub-group, so the result is
+    exact.  Each level gets Spark's partial per-map-task limit before its
+    shuffle.  ``salt_buckets=1`` gives one level, for inputs whose windows
+    are bounded already (e.g. after ``first_per_second``: ≤ 600 per window).
+    """
+    group = ["symbol", "local_date", "win_start_min"]
+    if salt_buckets > 1:
+        sub = Window.partitionBy(*group, "_salt").orderBy(*order)
+        tagged = tagged.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salt_buckets))) \
+            .withColumn("_rn", F.row_number().over(sub)).filter(F.col("_rn") <= cap) \
+            .drop("_rn", "_salt")
+    w = Window.partitionBy(*group).orderBy(*order)
     return tagged.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap).drop("_rn")
 
 

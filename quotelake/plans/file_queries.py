@@ -183,6 +183,19 @@ def q_spread_merge(spark, sf):
     return t.read().select("symbol", "DateTime", "Bid", "Ask", "Spread", "year")
 
 
+@register("catalog_setup", f"""
+SELECT 'ticks_' || lower(symbol) AS table_name, symbol, CAST(year(DateTime) AS INTEGER) AS year,
+       count(*) AS n_rows
+FROM {TK} GROUP BY ALL""")
+def q_catalog_setup(spark, sf):
+    root = scratch_path(spark, "catalog")
+    for _ in range(2):  # both steps are idempotent: the second pass changes nothing
+        G.create_database(spark, "quotelake_demo", f"{root}/db")
+        t = G.gold_table(spark, f"{root}/gold")
+    G.ingest(t, X.ticks(spark, sf))
+    return G.partitions(t)
+
+
 @register("list_tick_tables", f"""
 SELECT tableName FROM (SELECT DISTINCT 'ticks_' || lower(symbol) AS tableName FROM {TK}
                        UNION ALL SELECT DISTINCT 'ticks_' || lower(symbol) || '_spread' FROM {TK})""")

@@ -3,8 +3,8 @@
 
 One Spark plan converts every new file at once: the listing is
 anti-joined with the ledger, the new files are read in a single scan,
-good rows are appended to the Parquet area (partitioned by symbol, no
-shuffle), bad rows go to a quarantine table, and one ledger row per file
+good rows are appended to the Parquet area (partitioned by symbol and
+rebalanced, so AQE sizes the files and splits a hot symbol), bad rows go to a quarantine table, and one ledger row per file
 records the outcome.  Data is written before the ledger, so a crash in
 between at worst converts a file twice; the downstream merge is keyed on
 ``(DateTime, symbol)`` and inserts nothing twice.
@@ -84,6 +84,7 @@ def csv_to_parquet(spark: SparkSession, landing_root: str, out_root: str,
         rows = S.csv_scan(spark, paths, raw_prefix).persist(StorageLevel.MEMORY_AND_DISK)
         good, bad = split_quarantine(rows)
         good.select(F.col("DateTime_ts").alias("DateTime"), "Bid", "Ask", "source_file", "symbol") \
+            .hint("rebalance", "symbol") \
             .write.mode("append").partitionBy("symbol") \
             .parquet(f"{out_root.rstrip('/')}/{parquet_prefix}")
         bad.select(F.col("DateTime").alias("DateTime_text"), "Bid", "Ask", S.CORRUPT_COL, "symbol",

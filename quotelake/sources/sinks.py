@@ -18,29 +18,36 @@ def write_tick_csv(df: DataFrame, root: str, prefix: str = K.RAW_PREFIX, key_col
                    mode: str = "append") -> str:
     """CSV with header ``DateTime,Bid,Ask`` under ``root/prefix/symbol=…/<key_col>=…``.
 
-    Rows are repartitioned on (symbol, key) so every key gets exactly one
-    file, like one upload per symbol-window.  Keys must be bounded; window
-    keys are (at most 600 ticks after the cap).
+    Rows are rebalanced on (symbol, key), so every key gets one file, like
+    one upload per symbol-window (window keys hold at most 600 ticks after
+    the cap).  Should one key hold far more, AQE splits it over several
+    tasks and files rather than sending it to one task.
     """
     out = f"{root.rstrip('/')}/{prefix}"
     text = F.col("DateTime") if dict(df.dtypes)["DateTime"] == "string" else C.ts_text("DateTime")
     df.select(text.alias("DateTime"), "Bid", "Ask", F.upper("symbol").alias("symbol"), key_col) \
-        .repartition("symbol", key_col) \
+        .hint("rebalance", "symbol", key_col) \
         .write.mode(mode).partitionBy("symbol", key_col).option("header", "true") \
         .option("lineSep", "\n").csv(out)
     return out
 
 
 def write_tick_parquet(df: DataFrame, root: str, prefix: str = K.PARQUET_PREFIX,
-                       key_cols=("symbol",), extra_cols=(), mode: str = "append") -> str:
-    """Tick Parquet partitioned by ``key_cols`` (S8), no shuffle.
-
-    Each task writes its own rows, so a large partition value is spread
-    over many files instead of one task.  With ``mode='overwrite'`` and
-    dynamic partition overwrite only the partitions written are replaced.
+                       key_cols=("symbol",), extra_cols=(), mode: str = "append",
+                       distribute: bool = True) -> str:
+    """Tick Parquet partitioned by ``key_cols``.
+
+    With ``distribute`` the rows are rebalanced on the keys first (AQE
+    sizes files and splits a hot key over tasks); without it each task
+    writes its own rows, one file per task and key, with no shuffle.  With
+    ``mode='overwrite'`` and dynamic partition overwrite only the partitions
+    written are replaced.
     """
     out = f"{root.rstrip('/')}/{prefix}"
     cols = ["DateTime", "Bid", "Ask", *extra_cols, *key_cols]
-    df.select(*cols).write.mode(mode).option("partitionOverwriteMode", "dynamic") \
+    rows = df.select(*cols)
+    if distribute:
+        rows = rows.hint("rebalance", *key_cols)
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic") \
         .partitionBy(*key_cols).parquet(out)
     return out

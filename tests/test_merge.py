@@ -53,3 +53,51 @@ def test_ingest_prunes_target_partitions(spark, scratch):
     src = G.gold_rows(spark.createDataFrame([(T1, 1.0, 1.1, "A")], RAW))
     plan = M.rows_to_insert(src, t.read(), src.columns, partition_cols=G.PARTITION_BY)
     assert plan.count() == 1
+
+
+def _gold_with_two_years(spark, scratch):
+    t = G.gold_table(spark, scratch("gold"))
+    old = dt.datetime(2025, 12, 31, 23, 59, 59)
+    G.ingest(t, spark.createDataFrame([(old, 1.0, 1.1, "A"), (T0, 1.0, 1.1, "A"), (T0, 2.0, 2.1, "B")], RAW))
+    return t
+
+
+def test_prune_static_filter_reaches_scan(spark, scratch):
+    t = _gold_with_two_years(spark, scratch)
+    src = G.gold_rows(spark.createDataFrame([(T0, 1.0, 1.1, "A"), (T1, 1.0, 1.1, "A")], RAW))
+    pruned = M.prune_target(t.read(), src, G.PARTITION_BY, "DateTime")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    parts = plan[plan.index("PartitionFilters"):].split("]")[0]
+    assert "(symbol" in parts and "= A)" in parts and "= 2026)" in parts
+    assert "GreaterThanOrEqual(f1" in plan
+    assert [r.DateTime for r in pruned.collect()] == [T0]      # other year and symbol cut away
+    assert M.rows_to_insert(src, t.read(), src.columns, partition_cols=G.PARTITION_BY,
+                            range_col="DateTime").collect()[0].DateTime == T1
+
+
+def test_prune_semi_join_path_gives_same_rows(spark, scratch, monkeypatch):
+    t = _gold_with_two_years(spark, scratch)
+    src = G.gold_rows(spark.createDataFrame([(T0, 1.0, 1.1, "A"), (T1, 5.0, 5.1, "B")], RAW))
+    static = M.rows_to_insert(src, t.read(), src.columns, partition_cols=G.PARTITION_BY, range_col="DateTime")
+    monkeypatch.setattr(M, "MAX_STATIC_PARTITIONS", 0)
+    joined = M.rows_to_insert(src, t.read(), src.columns, partition_cols=G.PARTITION_BY, range_col="DateTime")
+    assert sorted(map(tuple, static.collect())) == sorted(map(tuple, joined.collect()))
+    assert [(r.symbol, r.DateTime) for r in joined.collect()] == [("B", T1)]
+
+
+def test_prune_with_empty_source(spark, scratch):
+    t = _gold_with_two_years(spark, scratch)
+    src = G.gold_rows(spark.createDataFrame([], RAW))
+    assert M.prune_target(t.read(), src, G.PARTITION_BY, "DateTime").count() == 0
+    assert G.ingest(t, spark.createDataFrame([], RAW))["snapshot_id"] == t.current_snapshot_id()[0]
+
+
+def test_catalog_setup_is_idempotent(spark, scratch):
+    root = scratch("cat")
+    for _ in range(2):
+        G.create_database(spark, "quotelake_test_db", f"{root}/db")
+        t = G.gold_table(spark, f"{root}/gold")
+    G.ingest(t, spark.createDataFrame([(T0, 1.0, 1.1, "eurusd"), (T1, 1.0, 1.1, "EURUSD")], RAW))
+    assert [tuple(r) for r in G.partitions(t).collect()] == [("ticks_eurusd", "EURUSD", 2026, 2)]
+    assert spark.catalog.databaseExists("quotelake_test_db")

@@ -96,3 +96,21 @@ def test_flagship_entry(spark):
     rows = df.collect()
     assert rows and all(r.n_ticks <= 600 for r in rows)
     assert set(df.columns) == {"symbol", "window_key", "n_ticks", "first_tick", "last_tick", "avg_bid", "avg_ask"}
+
+
+def test_salted_cap_equals_single_level(spark):
+    base = dt.datetime(2024, 1, 1, 5, 50, 0)                  # 07:50 local: first window
+    rows = []
+    for i in range(3000):                                     # one hot window, many ticks per second
+        t = base + dt.timedelta(milliseconds=(i * 7919) % 600_000)
+        rows.append((i, "HOT", t, 0, 6, 1.0, 1.1))
+    rows += [(10_000 + i, "COLD", base + dt.timedelta(seconds=i), 0, 6, 1.0, 1.1) for i in range(20)]
+    tagged = T.in_windows(spark.createDataFrame(rows, SCHEMA))
+    order = ("DateTime", "event_id")
+    one = T.cap_per_window(tagged, cap=50, order=order, salt_buckets=1)
+    two = T.cap_per_window(tagged, cap=50, order=order, salt_buckets=16)
+    a = sorted(r.event_id for r in one.collect())
+    assert a == sorted(r.event_id for r in two.collect())
+    assert len(a) == 70
+    hot = sorted(rows[:3000], key=lambda r: (r[2], r[0]))[:50]
+    assert sorted(r[0] for r in hot) == [x for x in a if x < 10_000]

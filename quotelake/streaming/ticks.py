@@ -152,7 +152,9 @@ def cap_per_window(stream: DataFrame, cap: int = K.MAX_TICKS_PER_WINDOW, waterma
     State per group is one counter; each micro-batch keeps at most the
     remaining allowance, taking the earliest ticks by (time, tie-break)
     chunk by chunk so memory stays bounded by the cap.  The state is
-    dropped once the watermark passes the window's end.
+    dropped once the watermark passes the window's end.  Rows emitted by an
+    earlier micro-batch are final: like the live collector, the cap keeps
+    the first ticks to *arrive*, ordered by time within each micro-batch.
     """
     tagged = TK.in_windows(stream, "DateTime", windows, zone) \
         .withColumn("win_end_ms", C.epoch_ms(C.to_utc(C.window_start_ts(

@@ -27,10 +27,12 @@ def collected_ticks(ticks: DataFrame, cap: int = K.MAX_TICKS_PER_WINDOW,
 
 def window_tick_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = collected_ticks(X.ticks(spark, sf_dir), tiebreak=("event_id",))
-    return kept.groupBy("symbol", "window_key").agg(
+    # Grouping on the cap's partition columns (window_key is a function of
+    # them) reuses the cap's hash partitioning: no further shuffle.
+    return kept.groupBy("symbol", "local_date", "win_start_min", "window_key").agg(
         F.count(F.lit(1)).alias("n_ticks"),
         F.min("DateTime").alias("first_tick"),
         F.max("DateTime").alias("last_tick"),
         F.avg("Bid").alias("avg_bid"),
         F.avg("Ask").alias("avg_ask"),
-    )
+    ).drop("local_date", "win_start_min")

@@ -159,15 +159,20 @@ def window_coverage(tagged: DataFrame, crypto=K.CRYPTO_SYMBOLS, windows=K.COLLEC
     """Ticks per symbol and window over the whole calendar, zeros included (A10).
 
     ``status``: ok (ticks present), expected_empty (weekend, non-crypto),
-    missing (no ticks where some were due).  The calendar is generated per
-    symbol from the global date range, so no cross join is needed.
+    missing (no ticks where some were due).  The global date range is one
+    row (a global aggregate, fetched as two dates); each symbol row then
+    generates its calendar with ``sequence``/``explode``, so there is no
+    cross join and no single-partition step.
     """
     counts = tagged.filter(F.col("win_start_min").isNotNull()) \
         .groupBy("symbol", "local_date", "win_start_min").agg(F.count(F.lit(1)).alias("n_ticks"))
-    per_sym = tagged.groupBy("symbol").agg(F.min("local_date").alias("a"), F.max("local_date").alias("b"))
-    glob = Window.partitionBy()
-    per_sym = per_sym.select("symbol", F.min("a").over(glob).alias("d0"), F.max("b").over(glob).alias("d1"))
-    cal = per_sym.select("symbol", F.explode(F.sequence("d0", "d1")).alias("local_date")) \
+    d0, d1 = tagged.agg(F.min("local_date"), F.max("local_date")).first()
+    symbols = tagged.select("symbol").distinct()
+    if d0 is None:
+        days = F.array().cast("array<date>")
+    else:
+        days = F.sequence(F.lit(d0.isoformat()).cast("date"), F.lit(d1.isoformat()).cast("date"))
+    cal = symbols.select("symbol", F.explode(days).alias("local_date")) \
         .select("symbol", "local_date", F.explode(_window_starts(windows)).alias("win_start_min"))
     out = cal.join(counts, ["symbol", "local_date", "win_start_min"], "left") \
         .withColumn("n_ticks", F.coalesce("n_ticks", F.lit(0)).cast("long"))

@@ -88,3 +88,19 @@ def test_partition_spec_change(spark, scratch):
     t.append(rows(spark, [3], 2025, when=dt.datetime(2025, 5, 1)))
     assert keys(t.read()) == [1, 2, 3]
     assert "m" not in t.read().columns
+
+
+def test_row_diff_fast_path_and_fallback(spark, scratch):
+    t = table(spark, scratch)
+    s1 = t.append(rows(spark, [1, 2]))
+    s2 = t.append(rows(spark, [2, 3], 2025))                # duplicate key 2: multiset semantics
+    fast = t.row_diff(s1, s2)
+    assert "Exchange" not in fast._jdf.queryExecution().executedPlan().toString()
+    slow = t.read(s2).exceptAll(t.read(s1))
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
+    assert keys(fast) == [2, 3]
+    s3 = t.compact()                                        # batches rewritten: fallback path
+    assert keys(t.row_diff(s1, s3)) == [2, 3] and keys(t.row_diff(s3, s1)) == []
+    t.drop_column("v")
+    s5 = t.add_column("v", "double")                        # same name, new field id
+    assert t.row_diff(s3, s5, cols=["k", "v"]).count() == 4   # old values vs nulls now

@@ -5,8 +5,11 @@ No Iceberg/Delta jars are assumed, so history is kept in plain tables:
 * data   ``<root>/data_s<spec>/batch_id=<b>/<partition cols>/part-*.parquet``
   – a batch is immutable once written; ``spec`` is the partition layout;
 * ``<root>/_meta/snapshots`` – one row per commit: ``snapshot_id, parent_id,
-  committed_at, operation, batches (array<struct<batch_id, spec_id>>),
-  schema_json, summary map<string,string>``;
+  committed_at, operation, added_batches (array<struct<batch_id, spec_id>>),
+  base, schema_json, summary map<string,string>``.  Only the batches a
+  commit *adds* are stored; a snapshot's batch set is its ancestors' added
+  batches back to the nearest ``base`` commit (a compaction), so metadata
+  grows linearly with commits, not quadratically;
 * ``<root>/_meta/refs`` – append-only pointer log ``seq, made_current_at,
   snapshot_id``; the current snapshot is ``max_by(snapshot_id, seq)``;
 * ``<root>/_meta/expired`` – snapshots removed by expiry.
@@ -19,7 +22,9 @@ names.  Write order is batch → snapshot → ref, so readers never see a
 half-written commit; there is one writer at a time.
 
 Metadata rows are tiny (one per commit) and are the only thing collected
-on the driver; table data always stays in Spark.
+on the driver; table data always stays in Spark.  A ``VersionedTable``
+object loads them once and keeps them until its next commit (call
+``refresh()`` to see commits made through another object).
 """
 
 from __future__ import annotations
@@ -38,10 +43,11 @@ SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("parent_id", T.LongType()),
     T.StructField("committed_at", T.TimestampNTZType()),
     T.StructField("operation", T.StringType()),
-    T.StructField("batches", T.ArrayType(T.StructType([
+    T.StructField("added_batches", T.ArrayType(T.StructType([
         T.StructField("batch_id", T.LongType()),
         T.StructField("spec_id", T.IntegerType()),
     ]))),
+    T.StructField("base", T.BooleanType()),
     T.StructField("schema_json", T.StringType()),
     T.StructField("summary", T.MapType(T.StringType(), T.StringType())),
 ])
@@ -78,6 +84,7 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._cache = None
 
     # ------------------------------------------------------------ paths ---
     def _data(self, spec_id: int) -> str:
@@ -96,6 +103,46 @@ class VersionedTable:
 
     def _append_meta(self, name: str, rows, schema) -> None:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(self._meta(name))
+        self._cache = None
+
+    def refresh(self) -> None:
+        """Forget loaded metadata, so the next call sees other writers' commits."""
+        self._cache = None
+
+    def _state(self) -> dict:
+        """Commit metadata without schemas: one small row per commit and ref."""
+        if self._cache is None:
+            snaps = self._read_meta("snapshots", SNAPSHOT_SCHEMA).drop("schema_json").collect()
+            refs = self._read_meta("refs", REFS_SCHEMA).collect()
+            exp = self._read_meta("expired", EXPIRED_SCHEMA).select("snapshot_id").collect()
+            self._cache = {
+                "snaps": {r["snapshot_id"]: r.asDict(recursive=True) for r in snaps},
+                "refs": sorted((r.asDict() for r in refs), key=lambda r: r["seq"]),
+                "expired": {r["snapshot_id"] for r in exp},
+                "schemas": {},
+            }
+        return self._cache
+
+    def _schema_of(self, snapshot_id: int) -> dict:
+        st = self._state()
+        if snapshot_id not in st["schemas"]:
+            row = self._read_meta("snapshots", SNAPSHOT_SCHEMA) \
+                .filter(F.col("snapshot_id") == int(snapshot_id)).select("schema_json").first()
+            st["schemas"][snapshot_id] = json.loads(row["schema_json"])
+        return st["schemas"][snapshot_id]
+
+    def _batches_of(self, snapshot_id: int) -> list:
+        """Batches visible in a snapshot: added batches back to the nearest base."""
+        snaps = self._state()["snaps"]
+        chain, cur = [], snapshot_id
+        while cur is not None:
+            r = snaps[cur]
+            chain.append(r)
+            if r["base"]:
+                break
+            cur = r["parent_id"]
+        return [{"batch_id": b["batch_id"], "spec_id": b["spec_id"]}
+                for r in reversed(chain) for b in (r["added_batches"] or [])]
 
     # --------------------------------------------------------- metadata ---
     def snapshots_raw(self) -> DataFrame:
@@ -108,8 +155,9 @@ class VersionedTable:
         return self._read_meta("refs", REFS_SCHEMA)
 
     def current_snapshot_id(self):
-        row = self.refs().agg(F.max_by("snapshot_id", "seq").alias("s"), F.max("seq").alias("q")).first()
-        return row["s"], row["q"]
+        """``(snapshot_id, seq)`` of the last ref, ``(None, None)`` before the first commit."""
+        refs = self._state()["refs"]
+        return (refs[-1]["snapshot_id"], refs[-1]["seq"]) if refs else (None, None)
 
     def snapshot(self, snapshot_id=None) -> dict:
         """Metadata of one snapshot (current by default); unknown ids raise.
@@ -121,11 +169,13 @@ class VersionedTable:
             snapshot_id, _ = self.current_snapshot_id()
             if snapshot_id is None:
                 return self._definition()
-        rows = self.snapshots_raw().filter(F.col("snapshot_id") == int(snapshot_id)).collect()
-        if not rows:
+        st = self._state()
+        sid = int(snapshot_id)
+        if sid not in st["snaps"] or sid in st["expired"]:
             raise ValueError(f"snapshot {snapshot_id} not found")
-        r = rows[0].asDict(recursive=True)
-        r["schema"] = json.loads(r["schema_json"])
+        r = dict(st["snaps"][sid])
+        r["batches"] = self._batches_of(sid)
+        r["schema"] = self._schema_of(sid)
         return r
 
     def _definition(self) -> dict:
@@ -166,21 +216,21 @@ class VersionedTable:
                              for f in doc["fields"]])
 
     # ----------------------------------------------------------- commit ---
-    def _commit(self, parent, operation, batches, doc, summary, committed_at=None,
-                snapshot_id=None) -> int:
+    def _commit(self, parent, operation, added, doc, summary, committed_at=None,
+                snapshot_id=None, base: bool = False) -> int:
+        """Write one snapshot row (the batches it adds), then point a new ref at it."""
         if snapshot_id is None:
-            m = self._read_meta("snapshots", SNAPSHOT_SCHEMA).agg(F.max("snapshot_id")).first()[0]
-            snapshot_id = 0 if m is None else m + 1
+            snapshot_id = self._next_snapshot_id()
+        _, seq = self.current_snapshot_id()
         ts = committed_at or _now()
-        self._append_meta("snapshots", [(snapshot_id, parent, ts, operation, batches,
+        self._append_meta("snapshots", [(snapshot_id, parent, ts, operation, list(added), base,
                                          json.dumps(doc), summary)], SNAPSHOT_SCHEMA)
-        _, seq = self.current_snapshot_id()
         self._append_meta("refs", [(0 if seq is None else seq + 1, ts, snapshot_id)], REFS_SCHEMA)
         return snapshot_id
 
     def _next_snapshot_id(self) -> int:
-        m = self._read_meta("snapshots", SNAPSHOT_SCHEMA).agg(F.max("snapshot_id")).first()[0]
-        return 0 if m is None else m + 1
+        snaps = self._state()["snaps"]
+        return max(snaps) + 1 if snaps else 0
 
     def _physical(self, df: DataFrame, doc: dict, spec_id: int, batch_col=None, batch_id=None):
         """Logical DataFrame → physical columns (field ids, partition values, batch)."""
@@ -198,9 +248,18 @@ class VersionedTable:
             c = F.expr(expr) if expr else F.col(name)
             cols.append((c.cast(ptype) if ptype else c).alias(name))
             part_names.append(name)
-        cols.append((F.col(batch_col) if batch_col else F.lit(batch_id)).cast("long").alias("batch_id"))
+        if batch_col is None:
+            batch = F.lit(batch_id)
+        else:
+            batch = F.col(batch_col) if isinstance(batch_col, str) else batch_col
+        cols.append(batch.cast("long").alias("batch_id"))
         return df.select(*cols), ["batch_id"] + part_names
 
+    def _clear_batch(self, spec_id: int, batch_id: int) -> None:
+        """Remove leftovers of an uncommitted write of ``batch_id`` (no snapshot references it),
+        so a retry after a crash between data write and commit writes its rows once."""
+        hadoop_delete(self.spark, f"{self._data(spec_id)}/batch_id={int(batch_id)}")
+
     def _write(self, df: DataFrame, doc: dict, batch_col=None, batch_id=None, layout=None) -> None:
         """Append rows as Parquet below ``batch_id=…/<partition values>``.
 
@@ -214,7 +273,7 @@ class VersionedTable:
         if layout is not None:
             phys = layout(phys, parts)
         else:
-            spread = [c for c in parts if c != "batch_id" or batch_col]
+            spread = [c for c in parts if c != "batch_id" or batch_col is not None]
             phys = phys.hint("rebalance", *spread) if spread else phys
         phys.write.mode("append").partitionBy(*parts).parquet(self._data(spec_id))
 
@@ -231,13 +290,14 @@ class VersionedTable:
         cur = self.snapshot()
         doc = cur["schema"]
         sid = self._next_snapshot_id()
+        self._clear_batch(doc["spec_id"], sid)
         self._write(df, doc, batch_id=sid)
         added = self._batch_counts(doc, [{"batch_id": sid, "spec_id": doc["spec_id"]}]).get(sid, 0)
         if added == 0:  # nothing new: no snapshot (E3); the empty batch folder is never referenced
             return cur["snapshot_id"]
         total = int(cur["summary"].get("total-records", "0")) + added
-        batches = list(cur["batches"]) + [{"batch_id": sid, "spec_id": doc["spec_id"]}]
-        return self._commit(cur["snapshot_id"], operation, batches, doc,
+        new = [{"batch_id": sid, "spec_id": doc["spec_id"]}]
+        return self._commit(cur["snapshot_id"], operation, new, doc,
                             {"added-records": str(added), "total-records": str(total)},
                             committed_at, sid)
 
@@ -246,30 +306,38 @@ class VersionedTable:
 
         Versions are committed in order, each adding its batch to the
         previous one; ``committed_at`` of version v is ``max(committed_at_col)``
-        over its rows.  One write and one small aggregate, whatever the count.
+        over its rows.  One small aggregate (a row per version) and one write,
+        whatever the count.  Version v becomes snapshot and batch ``v`` on a
+        fresh table; otherwise all are shifted past the latest snapshot id.
         """
         cur = self.snapshot()
         doc = cur["schema"]
-        self._write(df, doc, batch_col=version_col)
         stats = df.groupBy(F.col(version_col).cast("long").alias("v")).agg(
             F.count(F.lit(1)).alias("n"),
             F.max(F.col(committed_at_col).cast("timestamp_ntz")).alias("ts")).orderBy("v").collect()
-        parent, batches = cur["snapshot_id"], list(cur["batches"])
+        if not stats:
+            return []
+        offset = max(0, self._next_snapshot_id() - stats[0]["v"])
+        for r in stats:
+            self._clear_batch(doc["spec_id"], r["v"] + offset)
+        self._write(df, doc, batch_col=F.col(version_col).cast("long") + F.lit(offset))
+        parent = cur["snapshot_id"]
         total = int(cur["summary"].get("total-records", "0"))
         snap_rows, ref_rows = [], []
         _, seq = self.current_snapshot_id()
         seq = -1 if seq is None else seq
         for r in stats:
+            sid = r["v"] + offset
             total += r["n"]
-            batches = batches + [{"batch_id": r["v"], "spec_id": doc["spec_id"]}]
-            snap_rows.append((r["v"], parent, r["ts"], "append", list(batches), json.dumps(doc),
+            new = [{"batch_id": sid, "spec_id": doc["spec_id"]}]
+            snap_rows.append((sid, parent, r["ts"], "append", new, False, json.dumps(doc),
                               {"added-records": str(r["n"]), "total-records": str(total)}))
             seq += 1
-            ref_rows.append((seq, r["ts"], r["v"]))
-            parent = r["v"]
+            ref_rows.append((seq, r["ts"], sid))
+            parent = sid
         self._append_meta("snapshots", snap_rows, SNAPSHOT_SCHEMA)
         self._append_meta("refs", ref_rows, REFS_SCHEMA)
-        return [r["v"] for r in stats]
+        return [r["v"] + offset for r in stats]
 
     # ------------------------------------------------------------- read ---
     def _scan_batches(self, doc: dict, batches, count_only: bool = False) -> DataFrame:
@@ -321,12 +389,10 @@ class VersionedTable:
         """Snapshot current at ``ts``: the last ref made at or before it (V3)."""
         if isinstance(ts, str):
             ts = _dt.datetime.fromisoformat(ts)
-        row = self.refs().filter(F.col("made_current_at") <= F.lit(ts.isoformat(sep=" "))
-                                 .cast("timestamp_ntz")) \
-            .agg(F.max_by("snapshot_id", "seq").alias("s")).first()
-        if row["s"] is None:
+        refs = [r for r in self._state()["refs"] if r["made_current_at"] <= ts]
+        if not refs:
             raise ValueError(f"no snapshot of {self.root} was current at {ts}")
-        return row["s"]
+        return refs[-1]["snapshot_id"]
 
     def read_at(self, ts) -> DataFrame:
         return self.read(self.snapshot_at(ts))
@@ -378,8 +444,7 @@ class VersionedTable:
 
     # --------------------------------------------------------- rollback ---
     def ancestors(self, snapshot_id) -> list:
-        pairs = {r["snapshot_id"]: r["parent_id"] for r in
-                 self._read_meta("snapshots", SNAPSHOT_SCHEMA).select("snapshot_id", "parent_id").collect()}
+        pairs = {k: r["parent_id"] for k, r in self._state()["snaps"].items()}
         out, cur = [], snapshot_id
         while cur is not None:
             out.append(cur)
@@ -397,7 +462,7 @@ class VersionedTable:
     # --------------------------------------------------- schema changes ---
     def _schema_commit(self, doc, operation, committed_at=None) -> int:
         cur = self.snapshot()
-        return self._commit(cur["snapshot_id"], operation, cur["batches"], doc,
+        return self._commit(cur["snapshot_id"], operation, [], doc,
                             {"added-records": "0", "total-records": cur["summary"].get("total-records", "0")},
                             committed_at)
 
@@ -476,26 +541,29 @@ class VersionedTable:
         if isinstance(older_than, str):
             older_than = _dt.datetime.fromisoformat(older_than)
         cur, _ = self.current_snapshot_id()
-        live = self.snapshots_raw()
-        old = live.filter((F.col("committed_at") < F.lit(older_than.isoformat(sep=" "))
-                           .cast("timestamp_ntz")) & (F.col("snapshot_id") != cur))
-        old_ids = [r["snapshot_id"] for r in old.select("snapshot_id").collect()]
-        now = _now()
+        st = self._state()
+        old_ids = [k for k, r in st["snaps"].items()
+                   if k not in st["expired"] and k != cur and r["committed_at"] < older_than]
         if old_ids:
-            self._append_meta("expired", [(i, now) for i in old_ids], EXPIRED_SCHEMA)
-        keep = self.snapshots_raw().select(F.explode("batches").alias("b")) \
-            .select("b.batch_id", "b.spec_id").distinct()
-        on_disk = self._list_batches()
-        orphans = on_disk.join(keep, ["batch_id", "spec_id"], "left_anti")
-        removed = orphans.collect()
+            self._append_meta("expired", [(i, _now()) for i in old_ids], EXPIRED_SCHEMA)
+        st = self._state()
+        # Batches still visible: walk each live snapshot's chain once (linear overall).
+        seen: set = set()
+        for k in st["snaps"]:
+            cur_id = None if k in st["expired"] else k
+            while cur_id is not None and cur_id not in seen:
+                seen.add(cur_id)
+                r = st["snaps"][cur_id]
+                cur_id = None if r["base"] else r["parent_id"]
+        keep = {(b["batch_id"], b["spec_id"]) for k in seen for b in (st["snaps"][k]["added_batches"] or [])}
+        removed = sorted(b for b in self._list_batches() if b not in keep)
         if remove_files:
-            for r in removed:
-                hadoop_delete(self.spark, f"{self._data(r['spec_id'])}/batch_id={r['batch_id']}")
-        return self.spark.createDataFrame([(r["batch_id"], r["spec_id"]) for r in removed],
-                                          "batch_id long, spec_id int")
+            for batch_id, spec_id in removed:
+                hadoop_delete(self.spark, f"{self._data(spec_id)}/batch_id={batch_id}")
+        return self.spark.createDataFrame(removed, "batch_id long, spec_id int")
 
-    def _list_batches(self) -> DataFrame:
-        """``(batch_id, spec_id)`` of every batch folder on storage."""
+    def _list_batches(self) -> list:
+        """``(batch_id, spec_id)`` of every batch folder on storage (a directory listing)."""
         sc = self.spark.sparkContext
         jvm = sc._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.root)
@@ -511,7 +579,7 @@ class VersionedTable:
                     bn = b.getPath().getName()
                     if bn.startswith("batch_id="):
                         rows.append((int(bn.split("=", 1)[1]), spec))
-        return self.spark.createDataFrame(rows, "batch_id long, spec_id int")
+        return rows
 
     def compact(self, sort_cols=(), committed_at=None) -> int:
         """Rewrite all live rows as one batch of large sorted files; rows unchanged.
@@ -531,8 +599,9 @@ class VersionedTable:
                    [f"f{f['id']}" for f in doc["fields"] if f["name"] in sort_cols and not f["partition"]]
             return phys.repartitionByRange(nparts, *keys).sortWithinPartitions(*keys) if keys else phys
 
+        self._clear_batch(doc["spec_id"], sid)
         self._write(df, doc, batch_id=sid, layout=layout)
         return self._commit(cur["snapshot_id"], "replace",
                             [{"batch_id": sid, "spec_id": doc["spec_id"]}], doc,
                             {"added-records": str(n), "deleted-records": str(n), "total-records": str(n)},
-                            committed_at, sid)
+                            committed_at, sid, base=True)

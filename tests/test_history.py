@@ -104,3 +104,19 @@ def test_row_diff_fast_path_and_fallback(spark, scratch):
     t.drop_column("v")
     s5 = t.add_column("v", "double")                        # same name, new field id
     assert t.row_diff(s3, s5, cols=["k", "v"]).count() == 4   # old values vs nulls now
+
+
+def test_import_after_commits_gets_fresh_ids_and_retry_is_clean(spark, scratch):
+    t = table(spark, scratch)
+    s0 = t.append(rows(spark, [1]))
+    s1 = t.add_column("note", "string")
+    src = spark.createDataFrame([(k, 1.0, dt.datetime(2024, 1, 1), 2024, v) for k, v in [(2, 1), (3, 2)]],
+                                SCHEMA + ", ver long")
+    ids = t.import_history(src, "ver", "ts")
+    assert ids == [s1 + 1, s1 + 2] and len(set(ids) | {s0, s1}) == 4   # no id reused
+    assert keys(t.read()) == [1, 2, 3] and keys(t.read(ids[0])) == [1, 2]
+    # A write that crashed before its commit leaves a batch folder; the retry replaces it.
+    nxt = t._next_snapshot_id()
+    t._write(rows(spark, [9]), t.snapshot()["schema"], batch_id=nxt)
+    t.append(rows(spark, [4]))
+    assert keys(t.read()) == [1, 2, 3, 4]

@@ -18,10 +18,10 @@ def landed(spark, sf) -> str:
     return path
 
 
-def _run(spark, df, name, mode="append"):
+def _run(spark, df, name, mode="append", with_query=False):
     sink, ck = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
-    R.run_to_parquet(df, sink, ck, mode=mode)
-    return sink
+    q = R.run_to_parquet(df, sink, ck, mode=mode)
+    return (sink, q) if with_query else sink
 
 
 @register("stream_source", f"SELECT event_id, symbol, time_msc, flags, Bid, Ask FROM {TK} WHERE (flags & 6) <> 0")
@@ -46,8 +46,8 @@ def q_stream_first_per_second(spark, sf):
 @register("stream_window_flush", f"SELECT symbol, {WKEY} AS window_key, count(*) AS n_ticks FROM {WIN} GROUP BY ALL")
 def q_stream_window_flush(spark, sf):
     land = landed(spark, sf)
-    sink = _run(spark, R.window_counts(R.tick_stream(spark, land)), "stream-windows")
-    R.flush_open_windows(spark, land, sink)
+    sink, q = _run(spark, R.window_counts(R.tick_stream(spark, land)), "stream-windows", with_query=True)
+    R.flush_open_windows(spark, land, sink, watermark=R.last_watermark(q))
     return R.read_flushed(spark, sink)
 
 

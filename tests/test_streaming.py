@@ -60,3 +60,19 @@ def test_stream_merge_replay_inserts_nothing_twice(spark, scratch):
     n = t.read().count()
     R.merge_stream_into_gold(R.tick_stream(spark, land), t, scratch("ck2"))   # full replay
     assert n == 100 and t.read().count() == 100
+
+
+def test_window_flush_reads_only_after_watermark(spark, scratch):
+    rows = _ticks(2400)                                       # 10 minutes of ticks: 07:50 window
+    late = BASE + dt.timedelta(hours=6)                       # 13:50 local: second window
+    rows += [(10_000 + i, "A", late + dt.timedelta(seconds=i), 0, 6, 1.0, 1.1) for i in range(30)]
+    land = _land(spark, scratch, rows)
+    sink = scratch("win")
+    q = R.run_to_parquet(R.window_counts(R.tick_stream(spark, land)), sink, scratch("ck"))
+    wm = R.last_watermark(q)
+    assert wm is not None and wm > BASE
+    emitted = {(r.symbol, r.window_key) for r in spark.read.parquet(sink).collect()}
+    R.flush_open_windows(spark, land, sink, watermark=wm)
+    got = {(r.symbol, r.window_key): r.n_ticks for r in R.read_flushed(spark, sink).collect()}
+    assert got == {("A", "20240102_0750"): 1200, ("B", "20240102_0750"): 1200, ("A", "20240102_1350"): 30}
+    assert ("A", "20240102_1350") not in emitted              # held open by the stream, flushed after

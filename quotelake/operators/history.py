@@ -65,6 +65,11 @@ EXPIRED_SCHEMA = T.StructType([
     T.StructField("expired_at", T.TimestampNTZType()),
 ])
 
+# Commits between automatic rewrites of the metadata folders into one file each.
+META_COMPACT_EVERY = 100
+# Row key of each metadata table (rows are deduplicated on it when loaded).
+META_KEYS = {"snapshots": ["snapshot_id"], "refs": ["seq"], "expired": ["snapshot_id"]}
+
 # Type changes allowed by change_column: (old, new).
 WIDENINGS = {("int", "bigint"), ("int", "double"), ("float", "double"), ("bigint", "double"),
              ("smallint", "int"), ("smallint", "bigint"), ("tinyint", "int"), ("tinyint", "bigint")}
@@ -105,6 +110,36 @@ class VersionedTable:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(self._meta(name))
         self._cache = None
 
+    def compact_metadata(self) -> None:
+        """Rewrite each metadata folder as one file; each commit adds a file to them.
+
+        The rewritten file is written before the old files are deleted, so a
+        reader (or a crash) in between sees duplicate rows, which loading
+        ignores; no rename or atomic swap is needed.
+        """
+        sc = self.spark.sparkContext
+        conf = sc._jsc.hadoopConfiguration()
+        for name, schema in (("snapshots", SNAPSHOT_SCHEMA), ("refs", REFS_SCHEMA),
+                             ("expired", EXPIRED_SCHEMA)):
+            path = sc._jvm.org.apache.hadoop.fs.Path(self._meta(name))
+            fs = path.getFileSystem(conf)
+            if not fs.exists(path):
+                continue
+            old = [st.getPath() for st in fs.listStatus(path) if st.getPath().getName().endswith(".parquet")]
+            if len(old) <= 1:
+                continue
+            rows = self.spark.read.schema(schema).parquet(*[p.toString() for p in old]) \
+                .dropDuplicates(META_KEYS[name])
+            rows.coalesce(1).write.mode("append").parquet(self._meta(name))
+            for p in old:
+                fs.delete(p, False)
+        self._cache = None
+
+    def _after_commit(self, seq_before, seq_after) -> None:
+        before = -1 if seq_before is None else seq_before
+        if seq_after // META_COMPACT_EVERY > before // META_COMPACT_EVERY:
+            self.compact_metadata()
+
     def refresh(self) -> None:
         """Forget loaded metadata, so the next call sees other writers' commits."""
         self._cache = None
@@ -115,9 +150,10 @@ class VersionedTable:
             snaps = self._read_meta("snapshots", SNAPSHOT_SCHEMA).drop("schema_json").collect()
             refs = self._read_meta("refs", REFS_SCHEMA).collect()
             exp = self._read_meta("expired", EXPIRED_SCHEMA).select("snapshot_id").collect()
+            by_seq = {r["seq"]: r.asDict() for r in refs}           # duplicates are harmless
             self._cache = {
                 "snaps": {r["snapshot_id"]: r.asDict(recursive=True) for r in snaps},
-                "refs": sorted((r.asDict() for r in refs), key=lambda r: r["seq"]),
+                "refs": [by_seq[k] for k in sorted(by_seq)],
                 "expired": {r["snapshot_id"] for r in exp},
                 "schemas": {},
             }
@@ -147,7 +183,7 @@ class VersionedTable:
     # --------------------------------------------------------- metadata ---
     def snapshots_raw(self) -> DataFrame:
         """All live (not expired) snapshot rows."""
-        snaps = self._read_meta("snapshots", SNAPSHOT_SCHEMA)
+        snaps = self._read_meta("snapshots", SNAPSHOT_SCHEMA).dropDuplicates(["snapshot_id"])
         exp = self._read_meta("expired", EXPIRED_SCHEMA).select("snapshot_id")
         return snaps.join(exp, "snapshot_id", "left_anti")
 
@@ -226,6 +262,7 @@ class VersionedTable:
         self._append_meta("snapshots", [(snapshot_id, parent, ts, operation, list(added), base,
                                          json.dumps(doc), summary)], SNAPSHOT_SCHEMA)
         self._append_meta("refs", [(0 if seq is None else seq + 1, ts, snapshot_id)], REFS_SCHEMA)
+        self._after_commit(seq, 0 if seq is None else seq + 1)
         return snapshot_id
 
     def _next_snapshot_id(self) -> int:
@@ -326,6 +363,7 @@ class VersionedTable:
         snap_rows, ref_rows = [], []
         _, seq = self.current_snapshot_id()
         seq = -1 if seq is None else seq
+        seq0 = seq
         for r in stats:
             sid = r["v"] + offset
             total += r["n"]
@@ -337,6 +375,7 @@ class VersionedTable:
             parent = sid
         self._append_meta("snapshots", snap_rows, SNAPSHOT_SCHEMA)
         self._append_meta("refs", ref_rows, REFS_SCHEMA)
+        self._after_commit(seq0, seq)
         return [r["v"] + offset for r in stats]
 
     # ------------------------------------------------------------- read ---
@@ -458,6 +497,7 @@ class VersionedTable:
             raise ValueError(f"snapshot {snapshot_id} is not an ancestor of {cur}")
         self.snapshot(snapshot_id)  # must not be expired
         self._append_meta("refs", [(seq + 1, at or _now(), int(snapshot_id))], REFS_SCHEMA)
+        self._after_commit(seq, seq + 1)
 
     # --------------------------------------------------- schema changes ---
     def _schema_commit(self, doc, operation, committed_at=None) -> int:
@@ -557,6 +597,7 @@ class VersionedTable:
                 cur_id = None if r["base"] else r["parent_id"]
         keep = {(b["batch_id"], b["spec_id"]) for k in seen for b in (st["snaps"][k]["added_batches"] or [])}
         removed = sorted(b for b in self._list_batches() if b not in keep)
+        self.compact_metadata()
         if remove_files:
             for batch_id, spec_id in removed:
                 hadoop_delete(self.spark, f"{self._data(spec_id)}/batch_id={batch_id}")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import hadoop_delete
+from ..session import hadoop_delete, hadoop_exists
 
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("snapshot_id", T.LongType()),
@@ -70,6 +70,9 @@ META_COMPACT_EVERY = 100
 # Row key of each metadata table (rows are deduplicated on it when loaded).
 META_KEYS = {"snapshots": ["snapshot_id"], "refs": ["seq"], "expired": ["snapshot_id"]}
 
+# Rows per output range (about one large file each) when compacting.
+COMPACT_ROWS_PER_FILE = 4_000_000
+
 # Type changes allowed by change_column: (old, new).
 WIDENINGS = {("int", "bigint"), ("int", "double"), ("float", "double"), ("bigint", "double"),
              ("smallint", "int"), ("smallint", "bigint"), ("tinyint", "int"), ("tinyint", "bigint")}
@@ -316,7 +319,9 @@ class VersionedTable:
 
     def _batch_counts(self, doc: dict, batches) -> dict:
         """Row count per batch id, from a partition-pruned scan."""
-        if not batches:
+        batches = [b for b in batches
+                   if hadoop_exists(self.spark, f"{self._data(int(b['spec_id']))}/batch_id={int(b['batch_id'])}")]
+        if not batches:  # an empty write creates no folder
             return {}
         df = self._scan_batches(doc, batches, count_only=True)
         return {r["batch_id"]: r["n"] for r in
@@ -395,7 +400,11 @@ class VersionedTable:
                 ft = next((f["type"] for f in doc["fields"] if f["name"] == name), "string")
                 pcols.append(T.StructField(name, T._parse_datatype_string(ft)))
             schema = T.StructType([T.StructField("batch_id", T.LongType())] + pcols + phys)
-            scan = self.spark.read.schema(schema).parquet(self._data(spec_id)) \
+            # Only this snapshot's batch folders are listed (basePath keeps the
+            # partition columns); the batch filter stays for plan-level pruning.
+            root = self._data(spec_id)
+            scan = self.spark.read.schema(schema).option("basePath", root) \
+                .parquet(*[f"{root}/batch_id={b}" for b in sorted(set(ids))]) \
                 .filter(F.col("batch_id").isin(ids))
             if count_only:
                 parts.append(scan.select("batch_id"))
@@ -626,14 +635,19 @@ class VersionedTable:
         """Rewrite all live rows as one batch of large sorted files; rows unchanged.
 
         Range partitioning on (partition columns, sort columns) spreads a hot
-        partition value over many tasks instead of one.
+        partition value over many tasks instead of one; the number of ranges
+        follows the row count (about ``COMPACT_ROWS_PER_FILE`` rows each).
         """
         cur = self.snapshot()
         doc = cur["schema"]
         df = self.read()
         n = int(cur["summary"].get("total-records", "0"))
         sid = self._next_snapshot_id()
-        nparts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        nparts = max(1, -(-n // COMPACT_ROWS_PER_FILE))
+        if n == 0:  # nothing to rewrite: the new base holds no batch
+            return self._commit(cur["snapshot_id"], "replace", [], doc,
+                                {"added-records": "0", "deleted-records": "0", "total-records": "0"},
+                                committed_at, sid, base=True)
 
         def layout(phys, parts):
             keys = [c for c in parts if c != "batch_id"] + \

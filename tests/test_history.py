@@ -142,3 +142,14 @@ def test_metadata_compaction_keeps_state(spark, scratch, monkeypatch):
     u.compact_metadata()
     assert len([f for f in os.listdir(local_path(t._meta("refs"))) if f.endswith(".parquet")]) == 1
     assert keys(VersionedTable(spark, t.root).read(ids[2])) == [1, 2, 3]
+
+
+def test_compact_empty_table(spark, scratch):
+    t = table(spark, scratch)
+    t.append(rows(spark, [1]))
+    t.append(rows(spark, []))                                 # nothing new: no snapshot
+    assert len(t.snapshots().collect()) == 1
+    u = table(spark, scratch)
+    u.add_column("x", "int")
+    s = u.compact()
+    assert u.read(s).count() == 0 and u.snapshot(s)["batches"] == []

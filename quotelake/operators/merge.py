@@ -1,8 +1,10 @@
 """Idempotent insert-only merge of new ticks into a curated table.
 
 The key of a tick is ``(DateTime, symbol)``.  Both sides of every anti
-join are hash-partitioned on the full key, so a symbol holding a third of
-all rows still spreads over many tasks.  When the target is partitioned
+join are de-duplicated on the full key (map-side first, so a key repeated
+many times is collapsed before the shuffle) and hash-partitioned on it, so
+a symbol holding a third of all rows still spreads over many tasks and the
+join reuses the de-duplication's partitioning.  When the target is partitioned
 (e.g. by ``symbol, year``) it is first cut to what the source can match:
 
 * the partitions the source touches — a literal partition filter when
@@ -88,7 +90,7 @@ def new_keys(source: DataFrame, target: DataFrame, keys=TICK_KEY, partition_cols
              range_col: str | None = None) -> DataFrame:
     """Distinct source keys absent from the target (A2 + J1)."""
     src = source.select(*keys).distinct()
-    tgt = prune_target(target, source, partition_cols, range_col).select(*keys)
+    tgt = prune_target(target, source, partition_cols, range_col).select(*keys).distinct()
     return src.join(tgt, list(keys), "left_anti")
 
 
@@ -116,7 +118,7 @@ def rows_to_insert(source: DataFrame, target: DataFrame, cols, keys=TICK_KEY,
     """
     good, _ = split_null_keys(source, keys)
     src = good.select(*cols).distinct()
-    tgt = prune_target(target, good, partition_cols, range_col).select(*keys)
+    tgt = prune_target(target, good, partition_cols, range_col).select(*keys).distinct()
     return src.join(tgt, list(keys), "left_anti").select(*cols)
 
 

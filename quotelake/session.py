@@ -43,10 +43,18 @@ def get_session(master: str = "local[8]", app: str = "quotelake",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating one only if unset."""
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests) gets a temporary folder when it is
+    unset; on a cluster executors cannot see a machine-local folder, so an
+    unset value is an error there.
+    """
     sc = spark.sparkContext
-    cur = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    cur = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
+        or sc.getConf().get("spark.checkpoint.dir", None)
     if not cur:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         cur = tempfile.mkdtemp(prefix="quotelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     if not sc.getCheckpointDir():

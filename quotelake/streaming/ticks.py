@@ -13,6 +13,7 @@ import datetime as _dt
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -221,7 +222,13 @@ def merge_stream_into_gold(stream: DataFrame, table, checkpoint: str, spread: bo
     merge only inserts keys the table does not hold yet.
     """
     def each(batch: DataFrame, _epoch: int) -> None:
-        G.ingest(table, batch.select("DateTime", "Bid", "Ask", "symbol"), spread=spread)
+        # The ingest reads its source twice (pruning bounds, then the anti
+        # join); keep the micro-batch so the landed files are read once.
+        rows = batch.select("DateTime", "Bid", "Ask", "symbol").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            G.ingest(table, rows, spread=spread)
+        finally:
+            rows.unpersist()
 
     q = _trigger(stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint),
                  trigger).start()

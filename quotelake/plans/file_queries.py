@@ -102,6 +102,20 @@ def q_csv_to_parquet(spark, sf):
     return statuses.select(file_key().alias("file_key"), "status", "n_rows", "n_bad")
 
 
+@register("csv_to_parquet_stream", f"""
+SELECT {FILE_KEY_SQL} AS file_key,
+       CASE WHEN count(*) FILTER (WHERE event_id = {BAD_EVENT_ID}) > 0 THEN 'failed' ELSE 'converted' END AS status,
+       count(*) AS n_rows, count(*) FILTER (WHERE event_id = {BAD_EVENT_ID}) AS n_bad
+FROM {TK} GROUP BY 1""")
+def q_csv_to_parquet_stream(spark, sf):
+    bucket = land(spark, sf)
+    ck = scratch_path(spark, "convert-ckpt")
+    V.csv_to_parquet_stream(spark, bucket, bucket, ck, max_files_per_trigger=64)
+    V.csv_to_parquet_stream(spark, bucket, bucket, ck)   # second run: nothing new, nothing written
+    return V.read_ledger(spark, bucket).select(file_key("source_file").alias("file_key"), "status",
+                                               "n_rows", "n_bad")
+
+
 @register("raw_scan", f"""
 SELECT symbol, DateTime, Bid, Ask FROM (SELECT symbol, {PARSED_SQL} AS DateTime, Bid, Ask FROM {TK})
 WHERE DateTime IS NOT NULL""")

@@ -57,6 +57,72 @@ def unconverted_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     return listing.join(done, "path", "left_anti")
 
 
+def write_converted(rows: DataFrame, out_root: str, parquet_prefix: str, run_at: str,
+                    files: DataFrame | None = None) -> None:
+    """Good rows → Parquet area, bad rows → quarantine, one ledger row per file.
+
+    ``rows`` come from ``csv_scan`` and should be persisted (read three
+    times).  ``files`` (column ``path``) also records files without rows.
+    """
+    good, bad = split_quarantine(rows)
+    good.select(F.col("DateTime_ts").alias("DateTime"), "Bid", "Ask", "source_file", "symbol") \
+        .hint("rebalance", "symbol") \
+        .write.mode("append").partitionBy("symbol") \
+        .parquet(f"{out_root.rstrip('/')}/{parquet_prefix}")
+    bad.select(F.col("DateTime").alias("DateTime_text"), "Bid", "Ask", S.CORRUPT_COL, "symbol",
+               "source_file").write.mode("append").parquet(quarantine_path(out_root))
+    is_bad = F.col(S.CORRUPT_COL).isNotNull() | F.col("DateTime_ts").isNull()
+    per_file = rows.groupBy(F.col("source_file").alias("path")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(is_bad).alias("n_bad"))
+    done = per_file if files is None else files.select("path").join(per_file, "path", "left")
+    done.select(
+        F.col("path").alias("source_file"),
+        F.when(F.coalesce("n_bad", F.lit(0)) > 0, "failed").otherwise("converted").alias("status"),
+        F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
+        F.coalesce("n_bad", F.lit(0)).cast("long").alias("n_bad"),
+        F.lit(run_at).cast("timestamp_ntz").alias("run_at"),
+    ).write.mode("append").parquet(ledger_path(out_root))
+
+
+def csv_to_parquet_stream(spark: SparkSession, landing_root: str, out_root: str, checkpoint: str,
+                          raw_prefix: str = K.RAW_PREFIX, parquet_prefix: str = K.PARQUET_PREFIX,
+                          max_files_per_trigger: int | None = None, timeout_s: int = 3600) -> None:
+    """Convert landed CSV files as a file-source stream, each file once.
+
+    The stream's checkpoint records which files were processed, so neither
+    a listing nor a path list passes through the driver; ``availableNow``
+    drains what has landed and stops, and the next run continues from the
+    checkpoint.  Each micro-batch is written like the batch conversion
+    (good rows, quarantine, ledger).  A replay after a crash between the
+    data and ledger writes may convert a file twice; the keyed merge
+    downstream inserts nothing twice.
+    """
+    schema = T.StructType(S.TICK_CSV_SCHEMA.fields + [T.StructField(S.CORRUPT_COL, T.StringType())])
+    r = spark.readStream.schema(schema).option("header", "true").option("enforceSchema", "true") \
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", S.CORRUPT_COL) \
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    rows = S.tick_rows(r.csv(f"{landing_root.rstrip('/')}/{raw_prefix}"), raw_prefix)
+
+    def each(batch: DataFrame, _epoch: int) -> None:
+        b = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            run_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+            write_converted(b, out_root, parquet_prefix, run_at)
+        finally:
+            b.unpersist()
+
+    q = rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError(f"conversion stream did not finish in {timeout_s}s")
+    if q.exception():
+        raise q.exception()
+
+
 def split_quarantine(rows: DataFrame):
     """``(good, bad)``: bad = malformed line or unparsable timestamp."""
     bad = F.col(S.CORRUPT_COL).isNotNull() | F.col("DateTime_ts").isNull()
@@ -82,23 +148,7 @@ def csv_to_parquet(spark: SparkSession, landing_root: str, out_root: str,
     run_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     if paths:
         rows = S.csv_scan(spark, paths, raw_prefix).persist(StorageLevel.MEMORY_AND_DISK)
-        good, bad = split_quarantine(rows)
-        good.select(F.col("DateTime_ts").alias("DateTime"), "Bid", "Ask", "source_file", "symbol") \
-            .hint("rebalance", "symbol") \
-            .write.mode("append").partitionBy("symbol") \
-            .parquet(f"{out_root.rstrip('/')}/{parquet_prefix}")
-        bad.select(F.col("DateTime").alias("DateTime_text"), "Bid", "Ask", S.CORRUPT_COL, "symbol",
-                   "source_file").write.mode("append").parquet(quarantine_path(out_root))
-        is_bad = F.col(S.CORRUPT_COL).isNotNull() | F.col("DateTime_ts").isNull()
-        per_file = rows.groupBy(F.col("source_file").alias("path")).agg(
-            F.count(F.lit(1)).alias("n_rows"), F.count_if(is_bad).alias("n_bad"))
-        done = todo.join(per_file, "path", "left").select(
-            F.col("path").alias("source_file"),
-            F.when(F.coalesce("n_bad", F.lit(0)) > 0, "failed").otherwise("converted").alias("status"),
-            F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
-            F.coalesce("n_bad", F.lit(0)).cast("long").alias("n_bad"),
-            F.lit(run_at).cast("timestamp_ntz").alias("run_at"))
-        done.write.mode("append").parquet(ledger_path(out_root))
+        write_converted(rows, out_root, parquet_prefix, run_at, files=todo)
         rows.unpersist()
     # With nothing new every listed file is reported as skipped.
     led = read_ledger(spark, out_root).withColumnRenamed("source_file", "path")

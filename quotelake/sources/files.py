@@ -84,6 +84,11 @@ def csv_scan(spark: SparkSession, paths, prefix: str = K.RAW_PREFIX) -> DataFram
     df = spark.read.schema(schema).option("header", "true").option("enforceSchema", "true") \
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL) \
         .option("recursiveFileLookup", "true").csv(paths)
+    return tick_rows(df, prefix)
+
+
+def tick_rows(df: DataFrame, prefix: str = K.RAW_PREFIX) -> DataFrame:
+    """Raw CSV columns plus parsed time, path symbol and source file (batch or stream)."""
     fp = F.col("_metadata.file_path")
     return df.select(
         "DateTime", "Bid", "Ask", CORRUPT_COL,

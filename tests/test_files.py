@@ -95,3 +95,18 @@ def test_csv_sink_one_file_per_key(spark, scratch):
     assert len(files) == 2
     back = S.csv_scan(spark, out).filter(F.col("DateTime_ts").isNotNull())
     assert back.count() == 3 and {r.symbol for r in back.collect()} == {"BTCUSD"}
+
+
+def test_stream_conversion_converts_each_file_once(spark, scratch):
+    root = _landing(scratch)
+    ck = scratch("ck")
+    V.csv_to_parquet_stream(spark, root, root, ck, max_files_per_trigger=1)
+    led = {r.source_file.rsplit("/", 1)[1]: (r.status, r.n_rows, r.n_bad)
+           for r in V.read_ledger(spark, root).collect()}
+    assert led == {"BTCUSD_20260306_0750.csv": ("converted", 2, 0),
+                   "ETHUSD_20260306_0750.csv": ("failed", 4, 3)}
+    _put(root, "raw/US30/US30_20260306_0750.csv", GOOD)           # lands later
+    V.csv_to_parquet_stream(spark, root, root, ck)
+    assert V.read_ledger(spark, root).count() == 3                # only the new file was added
+    got = sorted((r.symbol, r.Bid) for r in S.raw_scan(spark, root).collect())
+    assert got == [("BTCUSD", 1.5), ("BTCUSD", 1.7), ("ETHUSD", 2.5), ("US30", 1.5), ("US30", 1.7)]

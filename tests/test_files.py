@@ -68,11 +68,11 @@ def test_empty_landing_exits_cleanly(spark, scratch):
 
 def test_config_scan_defaults_and_empty_list(spark, scratch):
     ok, empty = scratch("cfg"), scratch("cfg-empty")
-    _put(ok, "symbols.json", '{"symbols": ["BTCUSD", "US30"], "settings": {"file_duration_mins": 10}}')
+    _put(ok, "config.json", '{"symbols": ["BTCUSD", "US30"], "settings": {"file_duration_mins": 10}}')
     rows = S.config_scan(spark, ok).collect()
     assert [(r.symbol, r.s3_prefix, r.poll_interval_ms) for r in rows] == \
         [("BTCUSD", "raw", 200), ("US30", "raw", 200)]
-    _put(empty, "symbols.json", '{"symbols": [], "settings": {}}')
+    _put(empty, "config.json", '{"symbols": [], "settings": {}}')
     with pytest.raises(ValueError):
         S.config_scan(spark, empty)
 

@@ -102,6 +102,8 @@ class VersionedTable:
         return f"{self.root}/_meta/{name}"
 
     def _read_meta(self, name: str, schema) -> DataFrame:
+        if not hadoop_exists(self.spark, self._meta(name)):
+            return self.spark.createDataFrame([], schema)
         try:
             return self.spark.read.schema(schema).parquet(self._meta(name))
         except Exception as e:  # folder not created yet

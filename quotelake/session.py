@@ -27,6 +27,29 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (≈100 TB of ticks, ~1000 executors).  Pass
+# them at submit time or through ``get_session(extra=CLUSTER_CONF)``.  AQE
+# starts from many shuffle partitions and coalesces them to the advisory
+# size, splits skewed join and rebalance partitions, and 512 MiB input
+# splits keep map tasks few but within executor memory.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.shuffle.partitions": "32768",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.files.openCostInBytes": "8m",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def get_session(master: str = "local[8]", app: str = "quotelake",
                 shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)

@@ -165,6 +165,24 @@ def read_flushed(spark: SparkSession, sink: str) -> DataFrame:
 CAP_STATE = "n long"
 
 
+def _first_per_partition(cap: int, order, keys):
+    """Per input partition, keep the first ``cap`` rows of each group by ``order``.
+
+    Stateless, so it may run before a stateful operator; memory is bounded
+    by ``cap`` rows per group seen in the partition.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            both = pdf if best is None else pd.concat([best, pdf], ignore_index=True)
+            best = both.sort_values(list(order), kind="stable").groupby(list(keys), sort=False).head(cap)
+        if best is not None and len(best):
+            yield best
+    return run
+
+
 def cap_per_window(stream: DataFrame, cap: int = K.MAX_TICKS_PER_WINDOW, watermark: str = "1 minute",
                    tiebreak: str = "event_id", windows=K.COLLECTION_WINDOWS,
                    zone: str = K.LOCAL_ZONE) -> DataFrame:
@@ -176,6 +194,12 @@ def cap_per_window(stream: DataFrame, cap: int = K.MAX_TICKS_PER_WINDOW, waterma
     dropped once the watermark passes the window's end.  Rows emitted by an
     earlier micro-batch are final: like the live collector, the cap keeps
     the first ticks to *arrive*, ordered by time within each micro-batch.
+
+    Before the shuffle into the state function, a stateless pass keeps only
+    the first ``cap`` ticks per window of each input partition (like Spark's
+    partial WindowGroupLimit): a window's first ``cap`` of the micro-batch
+    always survive it, so results are unchanged, and a hot window reaches
+    its task as at most ``cap`` rows per input partition.
     """
     tagged = TK.in_windows(stream, "DateTime", windows, zone) \
         .withColumn("win_end_ms", C.epoch_ms(C.to_utc(C.window_start_ts(
@@ -207,8 +231,10 @@ def cap_per_window(stream: DataFrame, cap: int = K.MAX_TICKS_PER_WINDOW, waterma
         if end_ms is not None:
             state.setTimeoutTimestamp(end_ms)
 
-    return tagged.select(*cols, C.utc_instant("DateTime").alias("event_ts")) \
-        .withWatermark("event_ts", watermark) \
+    rows = tagged.select(*cols, C.utc_instant("DateTime").alias("event_ts"))
+    rows = rows.mapInPandas(_first_per_partition(cap, ("DateTime", tiebreak), ("symbol", "window_key")),
+                            rows.schema)
+    return rows.withWatermark("event_ts", watermark) \
         .groupBy("symbol", "window_key") \
         .applyInPandasWithState(keep_first, out_schema, CAP_STATE, "append",
                                 GroupStateTimeout.EventTimeTimeout)

@@ -76,3 +76,15 @@ def test_window_flush_reads_only_after_watermark(spark, scratch):
     got = {(r.symbol, r.window_key): r.n_ticks for r in R.read_flushed(spark, sink).collect()}
     assert got == {("A", "20240102_0750"): 1200, ("B", "20240102_0750"): 1200, ("A", "20240102_1350"): 30}
     assert ("A", "20240102_1350") not in emitted              # held open by the stream, flushed after
+
+
+def test_stream_cap_hot_window_one_batch_equals_batch_cap(spark, scratch):
+    rows = [(i, "HOT", BASE + dt.timedelta(milliseconds=(i * 7919) % 600_000), 0, 6, 1.0, 1.1)
+            for i in range(4000)]                             # one window, shuffled over 8 files
+    land = _land(spark, scratch, rows, parts=8)
+    sink = scratch("cap")
+    R.run_to_parquet(R.cap_per_window(R.tick_stream(spark, land), cap=25), sink, scratch("ck"))
+    got = sorted(r.event_id for r in spark.read.parquet(sink).collect())
+    batch = T.cap_per_window(T.in_windows(spark.createDataFrame(rows, R.TICK_STREAM_SCHEMA)),
+                             cap=25, order=("DateTime", "event_id"))
+    assert got == sorted(r.event_id for r in batch.collect()) and len(got) == 25

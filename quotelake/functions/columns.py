@@ -68,8 +68,14 @@ def ts_text(ts) -> Column:
 
 
 def parse_ts_text(c, fmt: str = K.TICK_TS_FORMAT) -> Column:
-    """Tick text → timestamp_ntz; bad text gives null instead of failing."""
-    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
+    """UTC tick text → timestamp_ntz; bad text gives null instead of failing.
+
+    The text is parsed with an explicit ``+0000`` offset and the instant
+    turned into UTC wall clock, so the session time zone (and its daylight
+    saving gaps) never shifts the value.
+    """
+    instant = F.try_to_timestamp(F.concat(_c(c), F.lit("+0000")), F.lit(fmt + "Z"))
+    return utc_wallclock(instant)
 
 
 def to_local(ts, zone: str = K.LOCAL_ZONE) -> Column:

@@ -81,3 +81,13 @@ def test_normalize_path(spark):
                                "p string")
     a, b = [r[0] for r in df.select(C.normalize_path("p")).collect()]
     assert a == b == "file:/tmp/Training Batch/a+b.csv"
+
+
+def test_parse_ignores_session_zone(spark):
+    df = spark.createDataFrame([("2024-03-10 02:30:00.123",)], "t string")   # a DST gap in New York
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = df.select(C.parse_ts_text("t").alias("x")).first().x
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == dt.datetime(2024, 3, 10, 2, 30, 0, 123000)

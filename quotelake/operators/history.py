@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -609,9 +610,11 @@ class VersionedTable:
         keep = {(b["batch_id"], b["spec_id"]) for k in seen for b in (st["snaps"][k]["added_batches"] or [])}
         removed = sorted(b for b in self._list_batches() if b not in keep)
         self.compact_metadata()
-        if remove_files:
-            for batch_id, spec_id in removed:
-                hadoop_delete(self.spark, f"{self._data(spec_id)}/batch_id={batch_id}")
+        if remove_files and removed:
+            # Folder deletes are independent storage calls: run them concurrently.
+            paths = [f"{self._data(spec_id)}/batch_id={batch_id}" for batch_id, spec_id in removed]
+            with ThreadPoolExecutor(max_workers=min(16, len(paths))) as pool:
+                list(pool.map(lambda p: hadoop_delete(self.spark, p), paths))
         return self.spark.createDataFrame(removed, "batch_id long, spec_id int")
 
     def _list_batches(self) -> list:

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import checkpointed, fits, join_dimension
+from .joins import checkpointed, fits
 
 TICK_KEY = ("DateTime", "symbol")
 

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from quotelake.operators import ticks as T
 from quotelake.plans import flagship

@@ -58,7 +58,7 @@ def ingest(table: VersionedTable, raw: DataFrame, spread: bool = False, committe
 
 
 def ingest_report(table: VersionedTable, raw: DataFrame, spread: bool = False) -> DataFrame:
-    """Per symbol: new distinct keys and rows that an ingest would insert (D-3)."""
+    """Per symbol: ``new_keys`` (distinct new keys) and ``inserted_rows`` an ingest would insert (D-3)."""
     src = gold_rows(raw, spread)
     good, _ = M.split_null_keys(src, M.TICK_KEY)
     cur = _current(table)
@@ -66,7 +66,8 @@ def ingest_report(table: VersionedTable, raw: DataFrame, spread: bool = False) -
     rows = M.rows_to_insert(good, cur, src.columns, M.TICK_KEY, PARTITION_BY, "DateTime") \
         .groupBy("symbol").agg(F.count(F.lit(1)).alias("inserted_rows"))
     return M.ingest_summary(good.select("symbol"), keys).join(rows, "symbol", "left") \
-        .select("symbol", "new_count", F.coalesce("inserted_rows", F.lit(0)).cast("long").alias("inserted_rows"))
+        .select("symbol", F.col("new_count").alias("new_keys"),
+                F.coalesce("inserted_rows", F.lit(0)).cast("long").alias("inserted_rows"))
 
 
 def table_name(symbol: str, spread: bool = False) -> str:

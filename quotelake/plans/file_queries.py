@@ -223,7 +223,7 @@ def q_list_tick_tables(spark, sf):
 
 
 @register("ingest_report", f"""
-SELECT s.symbol, coalesce(n.c, 0) AS new_count, coalesce(n.c, 0) AS inserted_rows
+SELECT s.symbol, coalesce(n.c, 0) AS new_keys, coalesce(n.c, 0) AS inserted_rows
 FROM (SELECT DISTINCT symbol FROM {TK}) s
 LEFT JOIN (SELECT symbol, count(*) AS c FROM {TK} WHERE event_id % 3 <> 0 GROUP BY symbol) n
   ON s.symbol = n.symbol""")

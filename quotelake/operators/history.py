@@ -23,8 +23,8 @@ half-written commit; there is one writer at a time.
 
 Metadata rows are tiny (one per commit) and are the only thing collected
 on the driver; table data always stays in Spark.  A ``VersionedTable``
-object loads them once and keeps them until its next commit (call
-``refresh()`` to see commits made through another object).
+object loads them once and applies its own commits to what it loaded
+(call ``refresh()`` to see commits made through another object).
 """
 
 from __future__ import annotations
@@ -114,7 +114,28 @@ class VersionedTable:
 
     def _append_meta(self, name: str, rows, schema) -> None:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(self._meta(name))
-        self._cache = None
+        self._remember(name, rows, schema)
+
+    def _remember(self, name: str, rows, schema) -> None:
+        """Apply this object's own metadata writes to the loaded state (one writer at a time)."""
+        st = self._cache
+        if st is None:
+            return
+        names = schema.fieldNames()
+        for row in rows:
+            r = dict(zip(names, row))
+            if name == "snapshots":
+                st["schemas"][r["snapshot_id"]] = json.loads(r.pop("schema_json"))
+                st["snaps"][r["snapshot_id"]] = r
+            elif name == "refs":
+                st["refs"].append(r)
+            elif name == "expired":
+                st["expired"].add(r["snapshot_id"])
+            else:
+                self._cache = None
+                return
+        if name == "refs":
+            st["refs"].sort(key=lambda r: r["seq"])
 
     def compact_metadata(self) -> None:
         """Rewrite each metadata folder as one file; each commit adds a file to them.

@@ -153,3 +153,19 @@ def test_compact_empty_table(spark, scratch):
     u.add_column("x", "int")
     s = u.compact()
     assert u.read(s).count() == 0 and u.snapshot(s)["batches"] == []
+
+
+def test_writer_cache_equals_fresh_load(spark, scratch):
+    t = table(spark, scratch)
+    s1 = t.append(rows(spark, [1, 2]), committed_at=dt.datetime(2024, 1, 1))
+    t.append(rows(spark, [3], 2025), committed_at=dt.datetime(2024, 2, 1))
+    t.add_column("note", "string", committed_at=dt.datetime(2024, 3, 1))
+    t.rollback(s1, at=dt.datetime(2024, 4, 1))
+    t.compact(committed_at=dt.datetime(2024, 5, 1))
+    t.expire_snapshots(dt.datetime(2024, 4, 15))
+    t.append(rows(spark, [4]), committed_at=dt.datetime(2024, 6, 1))
+    fresh = VersionedTable(spark, t.root)
+    mine, theirs = t._state(), fresh._state()
+    assert mine["snaps"] == theirs["snaps"] and mine["refs"] == theirs["refs"]
+    assert mine["expired"] == theirs["expired"]
+    assert t.snapshot()["batches"] == fresh.snapshot()["batches"] and keys(t.read()) == keys(fresh.read()) == [1, 2, 4]

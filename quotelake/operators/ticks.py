@@ -56,13 +56,13 @@ def market_open(ticks: DataFrame, instruments: DataFrame) -> DataFrame:
 def validate_symbols(configured: DataFrame, instruments: DataFrame) -> DataFrame:
     """Configured symbols with ``status`` = valid | missing.
 
-    Valid = the instrument exists (left semi); missing = it does not (left anti).
+    One left join to the (size-checked, broadcast) instrument list: a match
+    means the instrument exists (valid), no match means missing.
     """
-    inst = instruments.select(F.upper("symbol").alias("symbol")).distinct()
+    inst = instruments.select(F.upper("symbol").alias("symbol"), F.lit(True).alias("_found")).distinct()
     cfg = configured.select(F.upper("symbol").alias("symbol")).distinct()
-    valid = join_dimension(cfg, inst, "symbol", "left_semi").withColumn("status", F.lit("valid"))
-    missing = join_dimension(cfg, inst, "symbol", "left_anti").withColumn("status", F.lit("missing"))
-    return valid.unionByName(missing)
+    return join_dimension(cfg, inst, "symbol", "left").select(
+        "symbol", F.when(F.col("_found"), F.lit("valid")).otherwise(F.lit("missing")).alias("status"))
 
 
 # --------------------------------------------------------------- windows ---

@@ -177,6 +177,22 @@ def q_spread(spark, sf):
     return _ticks(spark, sf).select("event_id", "Bid", "Ask", C.spread().alias("Spread"))
 
 
+@register("window_tick_counts", f"""
+SELECT symbol, window_key, count(*) AS n_ticks, min(DateTime) AS first_tick, max(DateTime) AS last_tick,
+       avg(Bid) AS avg_bid, avg(Ask) AS avg_ask
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol, CAST(loc AS DATE), ws ORDER BY DateTime, event_id) AS rn_cap
+      FROM (SELECT *, {WKEY} AS window_key,
+                   row_number() OVER (PARTITION BY symbol, date_trunc('second', DateTime)
+                                      ORDER BY DateTime, event_id) AS rn_sec
+            FROM {WIN} WHERE (flags & 6) <> 0) WHERE rn_sec = 1)
+WHERE rn_cap <= 600
+GROUP BY symbol, window_key""")
+def q_window_tick_counts(spark, sf):
+    """The flagship (``entry``): F1 → J3 → W1 → W2 → counts per symbol-window."""
+    from . import flagship
+    return flagship.window_tick_counts(spark, sf)
+
+
 # ----------------------------------------------------------- merge queries --
 
 @register("new_key_count", f"""

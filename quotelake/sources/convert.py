@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import columns as C
+from ..operators.joins import checkpointed
 from . import files as S
 
 LEDGER_SCHEMA = T.StructType([
@@ -33,6 +34,9 @@ LEDGER_SCHEMA = T.StructType([
 
 STATUS_SCHEMA = "path string, status string, n_rows long, n_bad long"
 
+# Most file paths converted by one Spark job of the batch conversion.
+MAX_FILES_PER_JOB = 10_000
+
 
 def ledger_path(out_root: str) -> str:
     return f"{out_root.rstrip('/')}/_ledger"
@@ -131,25 +135,37 @@ def split_quarantine(rows: DataFrame):
 
 def csv_to_parquet(spark: SparkSession, landing_root: str, out_root: str,
                    raw_prefix: str = K.RAW_PREFIX, parquet_prefix: str = K.PARQUET_PREFIX,
-                   listing: DataFrame | None = None, fail_on_error: bool = True) -> DataFrame:
+                   listing: DataFrame | None = None, fail_on_error: bool = True,
+                   max_files_per_job: int = MAX_FILES_PER_JOB) -> DataFrame:
     """Convert every not-yet-converted CSV file; return one status row per listed file.
 
     ``status`` is ``converted``, ``failed`` (some rows quarantined; the good
     rows are still converted) or ``skipped`` (already in the ledger).  With
     ``fail_on_error`` the run raises after writing if any file failed.
+
+    The landing is listed once (checkpointed).  New files are converted in
+    jobs of at most ``max_files_per_job`` paths, so the driver never holds
+    more than one chunk of names, however large the backlog.
     """
     if listing is None:
         listing = S.list_files(spark, f"{landing_root.rstrip('/')}/{raw_prefix}", "*.csv")
-    listing = listing.select("path")
-    ledger = read_ledger(spark, out_root)
-    todo = unconverted_files(listing, ledger)
-    # The list of new file names is metadata (one entry per landed file).
-    paths = [r["path"] for r in todo.collect()]
+    listing = checkpointed(listing.select("path"))
     run_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
-    if paths:
+    prev = None
+    while True:
+        todo = unconverted_files(listing, read_ledger(spark, out_root)).limit(max_files_per_job)
+        paths = sorted(r["path"] for r in todo.collect())   # bounded by max_files_per_job
+        if not paths:
+            break
+        if paths == prev:
+            raise RuntimeError("converted files were not recorded in the ledger; stopping")
+        files = spark.createDataFrame([(p,) for p in paths], "path string")
         rows = S.csv_scan(spark, paths, raw_prefix).persist(StorageLevel.MEMORY_AND_DISK)
-        write_converted(rows, out_root, parquet_prefix, run_at, files=todo)
+        write_converted(rows, out_root, parquet_prefix, run_at, files=files)
         rows.unpersist()
+        if len(paths) < max_files_per_job:
+            break
+        prev = paths
     # With nothing new every listed file is reported as skipped.
     led = read_ledger(spark, out_root).withColumnRenamed("source_file", "path")
     this_run = F.col("run_at") == F.lit(run_at).cast("timestamp_ntz")

@@ -110,3 +110,11 @@ def test_stream_conversion_converts_each_file_once(spark, scratch):
     assert V.read_ledger(spark, root).count() == 3                # only the new file was added
     got = sorted((r.symbol, r.Bid) for r in S.raw_scan(spark, root).collect())
     assert got == [("BTCUSD", 1.5), ("BTCUSD", 1.7), ("ETHUSD", 2.5), ("US30", 1.5), ("US30", 1.7)]
+
+
+def test_conversion_in_small_chunks(spark, scratch):
+    root = _landing(scratch)
+    _put(root, "raw/US30/US30_20260306_0750.csv", GOOD)
+    st = V.csv_to_parquet(spark, root, root, fail_on_error=False, max_files_per_job=1)
+    assert sorted(r.status for r in st.collect()) == ["converted", "converted", "failed"]
+    assert V.read_ledger(spark, root).count() == 3 and S.raw_scan(spark, root).count() == 5

@@ -118,3 +118,16 @@ def test_conversion_in_small_chunks(spark, scratch):
     st = V.csv_to_parquet(spark, root, root, fail_on_error=False, max_files_per_job=1)
     assert sorted(r.status for r in st.collect()) == ["converted", "converted", "failed"]
     assert V.read_ledger(spark, root).count() == 3 and S.raw_scan(spark, root).count() == 5
+
+
+def test_parquet_sink_both_write_modes(spark, scratch):
+    import datetime as dt
+    from quotelake.sources import sinks as W
+    df = spark.createDataFrame(
+        [(dt.datetime(2026, 3, 6, 5, 50, i), 1.0 + i, 1.1 + i, "BTCUSD" if i % 2 else "US30") for i in range(10)],
+        "DateTime timestamp_ntz, Bid double, Ask double, symbol string").repartition(4)
+    for distribute in (True, False):
+        root = scratch("pq")
+        W.write_tick_parquet(df, root, distribute=distribute)
+        got = sorted((r.symbol, r.Bid) for r in S.raw_scan(spark, root).collect())
+        assert got == sorted((r.symbol, r.Bid) for r in df.collect())

@@ -682,7 +682,9 @@ class VersionedTable:
 
         self._clear_batch(doc["spec_id"], sid)
         self._write(df, doc, batch_id=sid, layout=layout)
-        return self._commit(cur["snapshot_id"], "replace",
-                            [{"batch_id": sid, "spec_id": doc["spec_id"]}], doc,
-                            {"added-records": str(n), "deleted-records": str(n), "total-records": str(n)},
-                            committed_at, sid, base=True)
+        out = self._commit(cur["snapshot_id"], "replace",
+                           [{"batch_id": sid, "spec_id": doc["spec_id"]}], doc,
+                           {"added-records": str(n), "deleted-records": str(n), "total-records": str(n)},
+                           committed_at, sid, base=True)
+        self.compact_metadata()
+        return out

@@ -27,10 +27,12 @@ from .common import materialize
 STAR_ROUNDS = 3
 
 
-def _finger(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)).alias("n"),
-                  F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-    return r["n"], r["s"]
+def _is_forest(edges: DataFrame) -> bool:
+    """Does every a have one b only, and is no a itself a b?"""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")) \
+        .unionByName(edges.select(F.col("b").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    return ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")) \
+        .where("out > 1 or (out = 1 and into = 1)").isEmpty()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -41,20 +43,15 @@ def connected(edges: DataFrame) -> DataFrame:
     """
     cur = materialize(edges.where("a <> b")
                       .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-    was = _finger(cur)
-    while was[0]:
+    while not _is_forest(cur):
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-            .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+            .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b")
         cur = materialize(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-        now = _finger(cur)
-        if now == was:
-            break
-        was = now
     pairs = cur.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return pairs.unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
@@ -128,7 +125,13 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
         return df.where(F.col(x) != F.col(y)).select(
             F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct()
 
-    links, comp = None, None
+    comp = None
+
+    def merged(found: DataFrame) -> DataFrame:
+        """The components so far joined by new links."""
+        if comp is not None:
+            found = found.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        return connected(found)
 
     def labelled(df: DataFrame, key: str, name: str) -> DataFrame:
         if comp is None:
@@ -146,8 +149,9 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
             star = labelled(labelled(open_members.join(centre, "bucket"), "node", "c1"), "centre2", "c2") \
                 .where("c1 <> c2").select("node", F.col("centre2").alias("centre"))
         found = materialize(check(ordered(star, "node", "centre")), "links")
-        links = found if links is None else links.unionByName(found)
-        comp = materialize(connected(links), "components")
+        if turn and found.isEmpty():
+            break
+        comp = merged(found)
         # buckets whose members still lie in different components
         lab = labelled(in_shared.select("bucket", "node"), "node", "label")
         open_b = lab.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"),
@@ -179,7 +183,7 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
         on = on & likely("a_sig", "b_sig")
     rest = left.join(right, on).select("a", "b").distinct()
     found = materialize(check(rest), "links")
-    return connected(links.unionByName(found))
+    return comp if found.isEmpty() else merged(found)
 
 
 def _explode(batches: Iterator[pa.RecordBatch], decode: Callable[[bytes], np.ndarray]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bbit_minhash, bpe_fst, curriculum, line_crf
+from . import adaptive_scan, bbit_minhash, bpe_fst, curriculum, fuzzy_lines, line_crf, suffix_repetition
 from .common import documents, remainder
 
 QUERIES = {}
@@ -43,3 +43,26 @@ def op8_curriculum(spark, sf_dir):
 @register
 def op10_bbit_minhash(spark, sf_dir):
     return bbit_minhash.near_duplicates(documents(spark, sf_dir), width=3, percent=85, rows=8)
+
+
+@register
+def op1_suffix_repetition(spark, sf_dir):
+    return suffix_repetition.rules(documents(spark, sf_dir))
+
+
+@register
+def op4_fuzzy_lines(spark, sf_dir):
+    """doc_id, n_lines, n_dropped, dropped_lines, kept of every row (null id: nothing dropped)."""
+    docs = documents(spark, sf_dir)
+    got = fuzzy_lines.line_decisions(docs).withColumnRenamed("id", "_id")
+    n, cut = F.coalesce("n_lines", F.lit(0)), F.coalesce(F.size("dropped"), F.lit(0))
+    cut = F.greatest(cut, F.lit(0))
+    return docs.select("doc_id").join(got, F.col("doc_id") == F.col("_id"), "left").select(
+        "doc_id", n.cast("bigint").alias("n_lines"), cut.cast("bigint").alias("n_dropped"),
+        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped_lines"),
+        ((cut == 0) | (cut < n)).alias("kept"))
+
+
+@register
+def op6_adaptive_scan(spark, sf_dir):
+    return adaptive_scan.neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import adaptive_scan, bbit_minhash, bpe_fst, curriculum, fuzzy_lines, line_crf, suffix_repetition
+from . import adaptive_scan, bbit_minhash, bpe_fst, curriculum, fuzzy_lines, line_crf, ppm, suffix_repetition
 from .common import documents, remainder
 
 QUERIES = {}
@@ -66,3 +66,8 @@ def op4_fuzzy_lines(spark, sf_dir):
 @register
 def op6_adaptive_scan(spark, sf_dir):
     return adaptive_scan.neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@register
+def op2_ppm(spark, sf_dir):
+    return ppm.score(documents(spark, sf_dir))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import adaptive_scan, bbit_minhash, bpe_fst, curriculum, fuzzy_lines, line_crf, ppm, suffix_repetition
+from . import adaptive_scan, bbit_minhash, bpe_fst, curriculum, fuzzy_lines, line_crf, ppm, prefix_free, suffix_repetition
 from .common import documents, remainder
 
 QUERIES = {}
@@ -71,3 +71,8 @@ def op6_adaptive_scan(spark, sf_dir):
 @register
 def op2_ppm(spark, sf_dir):
     return ppm.score(documents(spark, sf_dir))
+
+
+@register
+def op9_prefix_free(spark, sf_dir):
+    return prefix_free.dedup(documents(spark, sf_dir)).drop("removed")

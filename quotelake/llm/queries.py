@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import adaptive_scan, bbit_minhash, bpe_fst, curriculum, fuzzy_lines, line_crf, ppm, prefix_free, suffix_repetition
+from . import adaptive_scan, bbit_minhash, bpe_fst, chaining, curriculum, fuzzy_lines, line_crf, ppm, prefix_free, suffix_repetition
 from .common import documents, remainder
 
 QUERIES = {}
@@ -76,3 +76,9 @@ def op2_ppm(spark, sf_dir):
 @register
 def op9_prefix_free(spark, sf_dir):
     return prefix_free.dedup(documents(spark, sf_dir)).drop("removed")
+
+
+@register
+def op7_chaining(spark, sf_dir):
+    """One row for each fuzzy passage of a document that an earlier document (other_id) holds too."""
+    return chaining.passages(documents(spark, sf_dir))

@@ -17,6 +17,38 @@ def register(fn):
     return fn
 
 
+ORACLES["op8_curriculum"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(CAST(doc_id AS VARCHAR)) AS h FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+n AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM s),
+w AS (SELECT *, CAST(i % 3 + 1 AS DOUBLE) AS wt, 3 * source_size AS cap,
+             CASE i % 3 WHEN 0 THEN 0.5 WHEN 1 THEN 0.0 ELSE -0.5 END::DOUBLE AS slope FROM n),
+f AS (SELECT *, row_number() OVER (ORDER BY cap / wt, i) AS rk,
+        CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / wt, i
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+        / sum(wt) OVER (ORDER BY cap / wt, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl FROM w),
+g AS (SELECT *, min(CASE WHEN NOT (cap < lvl * wt) THEN rk END) OVER () AS first_open FROM f),
+o AS (SELECT *, max(CASE WHEN rk = first_open THEN lvl END) OVER () AS open_lvl FROM g),
+t AS (SELECT *, CASE WHEN rk < coalesce(first_open, 1000000000) THEN CAST(cap AS DOUBLE)
+                     ELSE least(CAST(cap AS DOUBLE), open_lvl * wt) END AS target FROM o),
+x AS (SELECT d.*, t.source_size, t.target, t.slope, CAST(round(t.target) AS BIGINT) AS goal,
+             CASE WHEN t.source_size > 0 THEN CAST(round(t.target) AS BIGINT) // t.source_size ELSE 0 END AS whole,
+             CAST(coalesce(sum(size) OVER (PARTITION BY d.source
+               ORDER BY CAST('0x' || substr(h, 1, 8) AS BIGINT) % 4096, h, doc_id, size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT *, CAST(whole * size + least(greatest(goal - whole * source_size - before, 0), size) AS BIGINT) AS taken
+      FROM x),
+u AS (SELECT *, CASE WHEN target > 0 THEN least((before + least(size, taken) / 2) / target, 1.0) ELSE 0.0 END AS u,
+             1 - slope AS b FROM k)
+SELECT doc_id, source, size, source_size, target, taken,
+       CASE WHEN taken > 0 THEN CASE WHEN abs(slope) < 1e-9 THEN u
+            ELSE 2 * u / (b + sqrt(b * b + 4 * slope * u)) END END AS first_position
+FROM u"""
+
+
 @register
 def op3_bpe_transducer(spark, sf_dir):
     return bpe_fst.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),

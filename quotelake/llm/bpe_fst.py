@@ -24,9 +24,11 @@ beside the text are carried along untouched by ``encode``.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain, islice
 
 import numpy as np
@@ -37,8 +39,8 @@ from pyspark.sql import DataFrame
 from .common import text_array
 
 PIECES = 200_000
-MAX_STATES = 100_000
-MAX_CACHE = 350_000
+MAX_STATES = 400_000
+MAX_CACHE = 600_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -117,13 +119,14 @@ class Transducer:
         Follows both parts beside the border through time (merges go by rank,
         leftmost first): a merge over the border that comes first forbids it.
         """
-        right = self._ends(tok)
-        if before < 0 or right is None:
-            return right is not None
         ok = self._pair.get((before, tok))
         if ok is None:
             if len(self._pair) > 1_000_000:
                 self._pair.clear()
+            right = self._ends(tok)
+            if before < 0 or right is None:
+                self._pair[before, tok] = right is not None
+                return right is not None
             left, right = self._own[before][1], right[0]
             get, never, i, j = self.ranks.get, 1 << 60, 0, 0
             while True:
@@ -144,23 +147,29 @@ class Transducer:
 
     def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The memoised move of a state by a byte: the next state and the tokens written."""
-        moved, trie = [], self.trie
+        moved, trie, token, known = [], self.trie, self.token, self._pair.get
         done = None
-        for node, before, held in self.items[state]:
+        for item in self.items[state]:
+            node, before, held = item
             child = trie[node].get(byte)
             if child is None:
                 continue
-            tok = self.token[child]
-            if done is None and tok >= 0 and self.allowed(before, tok):
-                done = (0, tok, held + (tok,))
+            if done is None:
+                tok = token[child]
+                if tok >= 0:
+                    ok = known((before, tok))
+                    if ok or (ok is None and self.allowed(before, tok)):
+                        done = (0, tok, held + (tok,))
             if trie[child]:
                 moved.append((child, before, held))
         moved.append(done)
-        first = done[2]
-        same = min(len(h) for _, _, h in moved)
-        while same and any(h[:same] != first[:same] for _, _, h in moved):
-            same -= 1
-        written = first[:same]
+        same = 0
+        if moved[0][2]:  # tokens on which all hypotheses agree are written
+            first = done[2]
+            same = min([len(h) for _, _, h in moved])
+            while same and any([h[:same] != first[:same] for _, _, h in moved]):
+                same -= 1
+        written = done[2][:same]
         key = tuple([(n, b, h[same:]) for n, b, h in moved]) if same else tuple(moved)
         number = self.number.get(key)
         if number is None:
@@ -330,6 +339,18 @@ def clean_tokens(bytes_of: dict[int, bytes]) -> np.ndarray:
 
 # --- on DataFrames --------------------------------------------------------
 
+@contextmanager
+def no_collection():
+    """Python's cycle collector off: it walks the (acyclic) tables again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 _ENCODERS: dict[tuple[str, str], tuple[Encoder, np.ndarray]] = {}
 
 
@@ -355,7 +376,8 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", ou
         for batch in batches:
             at = batch.schema.get_field_index(text)
             texts = text_array(batch.column(at)).to_pylist()
-            ids = [array("I", chain.from_iterable(enc.ids(t))) for t in texts]
+            with no_collection():
+                ids = [array("I", chain.from_iterable(enc.ids(t))) for t in texts]
             off = np.zeros(len(ids) + 1, np.int32)
             np.cumsum([len(x) for x in ids], out=off[1:])
             flat = np.frombuffer(b"".join(x.tobytes() for x in ids), np.int32)
@@ -373,16 +395,17 @@ def digests(docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id",
         enc, clean = _encoder(rank_file, pattern)
         for batch in batches:
             counts, of_ids, of_text = [], [], []
-            for t in text_array(batch.column(1)).to_pylist():
-                n, ids_sum, text_sum = 0, hashlib.sha256(), hashlib.sha256()
-                dec = StreamDecoder(enc.fst.bytes_of, clean)
-                for ids in enc.ids(t):
-                    n += len(ids)
-                    ids_sum.update(ids.tobytes())  # little-endian on the supported machines
-                    text_sum.update(dec.feed_bytes(ids))
-                counts.append(n)
-                of_ids.append(ids_sum.hexdigest())
-                of_text.append(text_sum.hexdigest())
+            with no_collection():
+                for t in text_array(batch.column(1)).to_pylist():
+                    n, ids_sum, text_sum = 0, hashlib.sha256(), hashlib.sha256()
+                    dec = StreamDecoder(enc.fst.bytes_of, clean)
+                    for ids in enc.ids(t):
+                        n += len(ids)
+                        ids_sum.update(ids.tobytes())  # little-endian on the supported machines
+                        text_sum.update(dec.feed_bytes(ids))
+                    counts.append(n)
+                    of_ids.append(ids_sum.hexdigest())
+                    of_text.append(text_sum.hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()),
                  pa.array(of_text, pa.string())], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -32,21 +32,22 @@ from .common import materialize, mix64, shingle_sets, slices, utf8_buffer
 from .components import similarity_components
 
 HASHES = 256
+FINE_HASHES = 1024  # for the few sets that still have to be compared at the end
 BITS = 2
 SLICE_BYTES = 2 << 20
-_SEEDS = mix64(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_XOR = (_SEEDS[:HASHES] >> np.uint64(32)).astype(np.uint32)
-_ODD = (_SEEDS[HASHES:] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_SEEDS = mix64(np.arange(1, 2 * FINE_HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_XOR = (_SEEDS[:FINE_HASHES] >> np.uint64(32)).astype(np.uint32)
+_ODD = (_SEEDS[FINE_HASHES:] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
-def minima(sets: list[np.ndarray]) -> np.ndarray:
-    """HASHES minima of each (non-empty) set, one row for each."""
+def minima(sets: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
+    """The minima of each (non-empty) set under so many hashes, one row for each."""
     n = np.array([len(s) for s in sets])
     flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     starts = np.concatenate([[0], np.cumsum(n)[:-1]])
-    out = np.empty((HASHES, len(sets)), np.uint32)
+    out = np.empty((hashes, len(sets)), np.uint32)
     tmp = np.empty_like(flat)
-    for k in range(HASHES):
+    for k in range(hashes):
         np.bitwise_xor(flat, _XOR[k], out=tmp)
         np.multiply(tmp, _ODD[k], out=tmp)
         out[k] = np.minimum.reduceat(tmp, starts)
@@ -72,23 +73,23 @@ def packed(low: np.ndarray) -> np.ndarray:
     return (bits << (np.arange(per, dtype=np.uint64) * np.uint64(BITS))).sum(2, dtype=np.uint64)
 
 
-def estimate(x: str, y: str) -> Column:
+def estimate(x: str, y: str, hashes: int = HASHES) -> Column:
     """Collision-corrected similarity of two packed signatures, by bit counts."""
-    words = HASHES * BITS // 64
+    words = hashes * BITS // 64
     odd = F.lit(0x5555555555555555)
     differ = F.lit(0)
     for k in range(words):
         z = F.col(x)[k].bitwiseXOR(F.col(y)[k])
         differ = differ + F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(odd))
     chance = 1 / (1 << BITS)
-    return (1 - differ / HASHES - chance) / (1 - chance)
+    return (1 - differ / hashes - chance) / (1 - chance)
 
 
-def lowest(percent: int) -> float:
+def lowest(percent: int, hashes: int = HASHES) -> float:
     """The estimate below which a pair at ``percent`` falls only beyond four standard errors."""
     chance = 1 / (1 << BITS)
     p = percent / 100 * (1 - chance) + chance
-    return percent / 100 - 4 * math.sqrt(p * (1 - p) / HASHES) / (1 - chance)
+    return percent / 100 - 4 * math.sqrt(p * (1 - p) / hashes) / (1 - chance)
 
 
 def features(docs: DataFrame, width: int, rows: int, key: str, text: str) -> DataFrame:
@@ -137,10 +138,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rows: in
     groups = materialize(
         feats.where("set_key is not null and _id is not null").groupBy("set_key").agg(
             F.min("_id").alias("node"), F.first("buckets").alias("buckets"), F.first("sig").alias("sig")), "sets")
-    cut = lowest(percent)
+    cut, fine_cut = lowest(percent), lowest(percent, FINE_HASHES)
     comp = similarity_components(
         groups.select("node", "buckets", "sig"), lambda ids: full_sets(docs, ids, width, key, text), percent,
-        likely=lambda x, y: estimate(x, y) >= cut)
+        likely=lambda x, y: estimate(x, y) >= cut,
+        finer=(lambda s: packed(minima([s], FINE_HASHES))[0],
+               lambda x, y: estimate(x, y, FINE_HASHES) >= fine_cut))
     label = groups.select("set_key", "node").join(comp.dropDuplicates(["node"]), "node", "left") \
         .select("set_key", F.coalesce("component", "node").alias("_comp"))
     out = feats.select("_id", "n_shingles", "set_key").join(label, "set_key", "left")

@@ -82,6 +82,7 @@ def overlaps(batches: Iterator[pa.RecordBatch], percent: int,
 
 def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int,
                           likely: Callable[[str, str], Column] | None = None,
+                          finer: tuple[Callable[[np.ndarray], np.ndarray], Callable[[str, str], Column]] | None = None,
                           decode: Callable[[bytes], np.ndarray] = stored) -> DataFrame:
     """Rows (node, component) for every node linked to another.
 
@@ -107,6 +108,13 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
         cand = cand.join(nodes.select("node", "sig"), "node")
     cand = materialize(cand, "candidates")
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose full sets reach the threshold."""
+        full = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a") \
+            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
+        return full.select("a", "b", "sa", "sb").mapInArrow(
+            lambda it: overlaps(it, percent, decode), f"a {node_t}, b {node_t}")
+
     def check(pairs: DataFrame) -> DataFrame:
         """Verified links among distinct pairs (a, b)."""
         left = cand.select(F.col("node").alias("a"), *[F.col(c).alias(f"a_{c}") for c in extra])
@@ -115,11 +123,7 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
             .where(F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent)
         if likely is not None:
             pairs = pairs.where(likely("a_sig", "b_sig"))
-        pairs = pairs.select("a", "b")
-        full = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a") \
-            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
-        return full.select("a", "b", "sa", "sb").mapInArrow(
-            lambda it: overlaps(it, percent, decode), f"a {node_t}, b {node_t}")
+        return verified(pairs.select("a", "b"))
 
     def ordered(df: DataFrame, x: str, y: str) -> DataFrame:
         return df.where(F.col(x) != F.col(y)).select(
@@ -173,18 +177,24 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
         .where("lo <> hi").select("cluster", "element")
     able = exploded.join(common, ["cluster", "element"]).groupBy("node").agg(F.count(F.lit(1)).alias("k")) \
         .join(cand.select("node", *extra), "node").where(F.col("k") * 100 >= F.col("size") * percent)
-    able = materialize(able.join(todo, "node", "left_semi"), "able")
-    live = open_members.join(able, "node")
+    able = able.join(todo, "node", "left_semi")
     extra.append("k")
+    if finer is not None:
+        able = able.join(sets.select("node", "set"), "node").select("node", *extra, "set").mapInArrow(
+            lambda it: _signed(it, decode, finer[0]),
+            ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in able.select("node", *extra).schema.fields)
+            + ", fine array<bigint>")
+        extra.append("fine")
+    live = open_members.join(materialize(able, "able"), "node")
     left, right = (live.select(F.col("bucket").alias(f"{s}_bucket"), F.col("node").alias(s), F.col("label").alias(f"{s}_label"),
                                *[F.col(c).alias(f"{s}_{c}") for c in extra]) for s in "ab")
     on = (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_label") != F.col("b_label")) & (F.col("a") > F.col("b")) \
         & (F.least("a_k", "b_k") * (100 + percent) >= (F.col("a_size") + F.col("b_size")) * percent)
     if likely is not None:
         on = on & likely("a_sig", "b_sig")
-    extra.remove("k")
-    rest = left.join(right, on).select("a", "b").distinct()
-    found = materialize(check(rest), "links")
+    if finer is not None:
+        on = on & finer[1]("a_fine", "b_fine")
+    found = materialize(verified(left.join(right, on).select("a", "b").distinct()), "links")
     return comp if found.isEmpty() else merged(found)
 
 
@@ -199,3 +209,11 @@ def _explode(batches: Iterator[pa.RecordBatch], decode: Callable[[bytes], np.nda
                 [batch.column("cluster").take(at), batch.column("node").take(at),
                  pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64))],
                 names=["cluster", "node", "element"])
+
+
+def _signed(batches: Iterator[pa.RecordBatch], decode, sign) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [sign(decode(x)).view(np.int64) for x in batch.column("set").to_pylist()]
+        names = [n for n in batch.schema.names if n != "set"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(words, pa.list_(pa.int64()))],
+                                         names=[*names, "fine"])

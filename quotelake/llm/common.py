@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir, hadoop_delete, scratch_path
 
 #: The six ASCII white-space characters that end a word, as SQL and as Python.
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -20,22 +20,32 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
     Cuts the lineage in a way that survives the loss of executors.
     """
     spark = df.sparkSession
+    release(spark)
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, name)
-    schema = df.schema
-    df.write.mode("overwrite").parquet(path)
-    # What led here isn't needed any more: let Spark's cleaner drop the shuffle
-    # files of unreferenced plans now and not at some later collection.
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these, after their last reader has run."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
+            hadoop_delete(df.sparkSession, path)
+    if tables:
+        release(tables[0].sparkSession)
 
 
 def remainder(col: str, mod: int) -> Column:
@@ -106,7 +116,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get("up", ())) < n:
-        size = max(1 << 16, 1 << int(n - 1).bit_length())
+        size = max(1 << 16, n + n // 16)
         for name, r in (("up", _BASE), ("down", _INVERSE)):
             row = np.full(size, np.uint64(r), np.uint64)
             row[0] = 1

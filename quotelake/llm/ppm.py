@@ -34,8 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import hadoop_delete
-from .common import lower_ascii, materialize, mix64, prefix_hash, remainder, span_hash, utf8_buffer, word_spans
+from .common import drop, lower_ascii, materialize, mix64, prefix_hash, remainder, span_hash, utf8_buffer, word_spans
 
 ORDER = 5
 CHUNK_BYTES = 8 << 20
@@ -145,9 +144,17 @@ _END = np.uint64(0x5851F42D4C957F2D)
 
 
 def _words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and the number of words of each text."""
-    start, end, n = word_spans(raw, off)
-    return span_hash(prefix_hash(raw), start, end), n
+    """Hash of every word, and the number of words of each text (hashed a piece at a time)."""
+    hashes, counts, i = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while i < len(off) - 1:
+        j = max(int(np.searchsorted(off, off[i] + (1 << 20))), i + 1)
+        j = min(j, len(off) - 1)
+        piece = raw[off[i]: off[j]]
+        start, end, n = word_spans(piece, off[i: j + 1] - off[i])
+        hashes.append(span_hash(prefix_hash(piece), start, end))
+        counts.append(n)
+        i = j
+    return np.concatenate(hashes), np.concatenate(counts)
 
 
 def _packed(keys: np.ndarray, parts: int):
@@ -264,9 +271,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", mod: int = 1
         asked.select("kind", "part", "chunk", "keys").groupBy("kind", "part").cogroup(
             priced.groupBy("kind", "part")).applyInArrow(
             answer, "kind int, part bigint, chunk int, vals binary"), "ppm-costs")
-    for df in (asked, totals):  # read for the last time
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
-            hadoop_delete(spark, path)
+    drop(asked, totals)
 
     def fetched(known: pa.Table, kind: int, keys: np.ndarray, dtype) -> np.ndarray:
         """The values of these keys, in their order."""

@@ -42,13 +42,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, prefix_hash, slices, span_hash, utf8_buffer
+from .common import drop, materialize, prefix_hash, slices, span_hash, utf8_buffer
 
 
 LENGTH = 200
 GRAM = 16
 REACH = 150
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 PART_ROWS = 3000
 HOT = 1500
 _CORE = LENGTH - REACH + 1
@@ -169,6 +169,7 @@ def repeated_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                                         F.max("phrase").alias("y")).where("k > 1") \
         .select("core", (F.col("x") != F.col("y")).alias("multi"))
     left = materialize(parsed.join(shared, "core"), "shared")
+    drop(parsed)
     entry = materialize(left.groupBy("core", "phrase", "multi").agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "digest", "lo", "n")).alias("one")), "dictionary")
     # phrases that the parse holds twice are repeated whole
@@ -216,7 +217,7 @@ def repeated_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .select("part", "core", "phrase", "times", "bytes").groupBy("part").applyInArrow(order, out)
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "bytes", SLICE_BYTES // 8):
+        for part in slices(batches, "bytes", SLICE_BYTES // 2):
             raw, off = utf8_buffer(part.column(3))
             count = np.diff(off) - LENGTH + 1
             row = np.repeat(np.arange(len(count)), count)

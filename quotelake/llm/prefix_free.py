@@ -50,7 +50,7 @@ GRAM = 16
 REACH = 150
 SLICE_BYTES = 1 << 20
 PART_ROWS = 3000
-HOT = 1500
+HOT = 10_000  # at about 275 bytes each, a few hundred MB of arrays in the task that sorts them
 _CORE = LENGTH - REACH + 1
 
 

@@ -66,6 +66,13 @@ def prune_target(target: DataFrame, source: DataFrame, partition_cols=(),
     static = len(rows) <= MAX_STATIC_PARTITIONS
     out = target
     if range_col:
+        if static and keys:  # every partition with its own range
+            t = types[range_col]
+            cond = reduce(lambda a, b: a | b,
+                          [reduce(lambda a, b: a & b, [_eq(k, r[k], types[k]) for k in keys])
+                           & F.col(range_col).between(_literal(r["_lo"], t), _literal(r["_hi"], t))
+                           for r in rows if r["_lo"] is not None], F.lit(False))
+            return target.filter(cond)
         if static:
             los = [r["_lo"] for r in rows if r["_lo"] is not None]
             lo, hi = (min(los), max(r["_hi"] for r in rows if r["_hi"] is not None)) if los else (None, None)

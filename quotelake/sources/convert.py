@@ -56,9 +56,18 @@ def read_ledger(spark: SparkSession, out_root: str) -> DataFrame:
 
 
 def unconverted_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Listed files with no ledger entry (J4); both sides use normalised paths."""
-    done = ledger.select(F.col("source_file").alias("path")).distinct()
-    return listing.join(done, "path", "left_anti")
+    """Listed files with no ledger entry (J4); both sides use normalised paths.
+
+    A failed file counts as done only as long as it has not changed since:
+    a corrected file at the same path is converted again.  (Its good rows of
+    the failed run stay; the keyed merge inserts them once.)
+    """
+    last = ledger.groupBy(F.col("source_file").alias("path")).agg(
+        F.max(F.struct("run_at", "status")).alias("last")).select("path", "last.*")
+    if "modificationTime" not in listing.columns:
+        return listing.join(last.select("path"), "path", "left_anti")
+    changed = (F.col("status") == "failed") & (C.utc_wallclock(F.col("modificationTime")) > F.col("run_at"))
+    return listing.join(last, "path", "left").where(F.col("status").isNull() | changed).drop("run_at", "status")
 
 
 def write_converted(rows: DataFrame, out_root: str, parquet_prefix: str, run_at: str,
@@ -90,7 +99,8 @@ def write_converted(rows: DataFrame, out_root: str, parquet_prefix: str, run_at:
 
 def csv_to_parquet_stream(spark: SparkSession, landing_root: str, out_root: str, checkpoint: str,
                           raw_prefix: str = K.RAW_PREFIX, parquet_prefix: str = K.PARQUET_PREFIX,
-                          max_files_per_trigger: int | None = None, timeout_s: int = 3600) -> None:
+                          max_files_per_trigger: int | None = None,
+                          max_bytes_per_trigger: int = 64 << 30) -> None:
     """Convert landed CSV files as a file-source stream, each file once.
 
     The stream's checkpoint records which files were processed, so neither
@@ -105,6 +115,7 @@ def csv_to_parquet_stream(spark: SparkSession, landing_root: str, out_root: str,
     r = spark.readStream.schema(schema).option("header", "true").option("enforceSchema", "true") \
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", S.CORRUPT_COL) \
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+    r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger)) if not max_files_per_trigger else r
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = S.tick_rows(r.csv(f"{landing_root.rstrip('/')}/{raw_prefix}"), raw_prefix)
@@ -119,10 +130,7 @@ def csv_to_parquet_stream(spark: SparkSession, landing_root: str, out_root: str,
 
     q = rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"conversion stream did not finish in {timeout_s}s")
+    q.awaitTermination()
     if q.exception():
         raise q.exception()
 
@@ -149,7 +157,7 @@ def csv_to_parquet(spark: SparkSession, landing_root: str, out_root: str,
     """
     if listing is None:
         listing = S.list_files(spark, f"{landing_root.rstrip('/')}/{raw_prefix}", "*.csv")
-    listing = checkpointed(listing.select("path"))
+    listing = checkpointed(listing.select(*[c for c in ("path", "modificationTime") if c in listing.columns]))
     run_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     prev = None
     while True:
@@ -167,8 +175,10 @@ def csv_to_parquet(spark: SparkSession, landing_root: str, out_root: str,
             break
         prev = paths
     # With nothing new every listed file is reported as skipped.
-    led = read_ledger(spark, out_root).withColumnRenamed("source_file", "path")
-    this_run = F.col("run_at") == F.lit(run_at).cast("timestamp_ntz")
+    led = read_ledger(spark, out_root).groupBy(F.col("source_file").alias("path")).agg(
+        F.max(F.struct("run_at", "status", "n_rows", "n_bad")).alias("last")).select("path", "last.*")
+    # a failed file that has not changed is still failed
+    this_run = (F.col("run_at") == F.lit(run_at).cast("timestamp_ntz")) | (F.col("status") == "failed")
     result = listing.join(led, "path", "left").select(
         "path",
         F.when(this_run, F.col("status")).otherwise(F.lit("skipped")).alias("status"),

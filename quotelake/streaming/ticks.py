@@ -55,7 +55,7 @@ def _trigger(w, trigger):
 
 
 def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
-                   trigger: str | None = None, timeout_s: int = 600):
+                   trigger: str | None = None):
     """Run a stream into an exactly-once Parquet sink (R1); return the query.
 
     ``trigger=None`` drains what has landed and stops (``availableNow``);
@@ -64,10 +64,7 @@ def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, mode: str = "appen
     q = _trigger(df.writeStream.format("parquet").outputMode(mode)
                  .option("path", sink).option("checkpointLocation", checkpoint), trigger).start()
     if trigger in (None, "availableNow"):
-        q.awaitTermination(timeout_s)
-        if q.isActive:
-            q.stop()
-            raise TimeoutError(f"stream into {sink} did not finish in {timeout_s}s")
+        q.awaitTermination()
     if q.exception():
         raise q.exception()
     return q
@@ -148,14 +145,16 @@ def flush_open_windows(spark: SparkSession, landing: str, sink: str,
     counts = with_window_key(tagged.groupBy("symbol", F.window("event_ts", "10 minutes").alias("w"))
                              .agg(F.count(F.lit(1)).alias("n_ticks")))
     done = spark.read.parquet(sink).select("symbol", "window_key")
-    counts.join(done, ["symbol", "window_key"], "left_anti").write.mode("append").parquet(sink + "_flushed")
+    # The flush is replaced as a whole, so flushing twice leaves each window once.
+    counts.join(done, ["symbol", "window_key"], "left_anti").write.mode("overwrite").parquet(sink + "_flushed")
 
 
 def read_flushed(spark: SparkSession, sink: str) -> DataFrame:
-    """Stream output plus the shutdown flush."""
+    """Stream output plus the shutdown flush; a window the resumed stream emitted counts from there."""
     out = spark.read.parquet(sink)
     try:
-        return out.unionByName(spark.read.parquet(sink + "_flushed"))
+        flushed = spark.read.parquet(sink + "_flushed")
+        return out.unionByName(flushed.join(out.select("symbol", "window_key"), ["symbol", "window_key"], "left_anti"))
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return out
@@ -229,7 +228,9 @@ def cap_per_window(stream: DataFrame, cap: int = K.MAX_TICKS_PER_WINDOW, waterma
         elif not state.exists:
             state.update((n,))
         if end_ms is not None:
-            state.setTimeoutTimestamp(end_ms)
+            # A late tick may come after its window's end has passed the
+            # watermark; a timeout must lie beyond it.
+            state.setTimeoutTimestamp(max(end_ms, state.getCurrentWatermarkMs() + 1))
 
     rows = tagged.select(*cols, C.utc_instant("DateTime").alias("event_ts"))
     rows = rows.mapInPandas(_first_per_partition(cap, ("DateTime", tiebreak), ("symbol", "window_key")),
@@ -241,27 +242,28 @@ def cap_per_window(stream: DataFrame, cap: int = K.MAX_TICKS_PER_WINDOW, waterma
 
 
 def merge_stream_into_gold(stream: DataFrame, table, checkpoint: str, spread: bool = False,
-                           trigger: str | None = None, timeout_s: int = 600) -> None:
+                           trigger: str | None = None, quarantine: str | None = None) -> None:
     """Idempotent merge of each micro-batch into a gold table.
 
     A replayed batch after a failure inserts nothing twice, because the
-    merge only inserts keys the table does not hold yet.
+    merge only inserts keys the table does not hold yet.  Rows with a null
+    key can't be merged; with ``quarantine`` they are written there (D-4).
     """
-    def each(batch: DataFrame, _epoch: int) -> None:
+    def each(batch: DataFrame, epoch: int) -> None:
         # The ingest reads its source twice (pruning bounds, then the anti
         # join); keep the micro-batch so the landed files are read once.
         rows = batch.select("DateTime", "Bid", "Ask", "symbol").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            G.ingest(table, rows, spread=spread)
+            done = G.ingest(table, rows, spread=spread)
+            if quarantine is not None:
+                # one folder for each epoch: a replayed epoch replaces its own
+                done["null_keys"].write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/epoch={epoch}")
         finally:
             rows.unpersist()
 
     q = _trigger(stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint),
                  trigger).start()
     if trigger in (None, "availableNow"):
-        q.awaitTermination(timeout_s)
-        if q.isActive:
-            q.stop()
-            raise TimeoutError(f"merge stream did not finish in {timeout_s}s")
+        q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -48,10 +48,11 @@ def test_convert_quarantine_and_idempotence(spark, scratch):
     assert got == [("BTCUSD", 1.5), ("BTCUSD", 1.7), ("ETHUSD", 2.5)]
     assert spark.read.parquet(V.quarantine_path(root)).count() == 3
     again = V.csv_to_parquet(spark, root, root, fail_on_error=False)
-    assert {r.status for r in again.collect()} == {"skipped"}   # second run converts nothing
+    # the second run converts nothing; the unchanged bad file is still failed
+    assert {r.status for r in again.collect()} == {"skipped", "failed"}
     assert S.raw_scan(spark, root).count() == 3
     summary = {r.status: r.n_files for r in V.conversion_summary(again).collect()}
-    assert summary == {"skipped": 2, "total": 2}
+    assert summary == {"skipped": 1, "failed": 1, "total": 2}
 
 
 def test_failed_file_fails_the_run_after_writing(spark, scratch):
@@ -131,3 +132,16 @@ def test_parquet_sink_both_write_modes(spark, scratch):
         W.write_tick_parquet(df, root, distribute=distribute)
         got = sorted((r.symbol, r.Bid) for r in S.raw_scan(spark, root).collect())
         assert got == sorted((r.symbol, r.Bid) for r in df.collect())
+
+
+def test_corrected_file_is_converted_again(spark, scratch):
+    import time
+    root = _landing(scratch)
+    V.csv_to_parquet(spark, root, root, fail_on_error=False)
+    with pytest.raises(RuntimeError):                       # unchanged: still failed, not skipped
+        V.csv_to_parquet(spark, root, root)
+    time.sleep(1.1)
+    _put(root, "raw/ETHUSD/ETHUSD_20260306_0750.csv", GOOD)
+    st = {r.path.rsplit("/", 1)[1]: r.status for r in V.csv_to_parquet(spark, root, root).collect()}
+    assert st == {"BTCUSD_20260306_0750.csv": "skipped", "ETHUSD_20260306_0750.csv": "converted"}
+    assert {r.Bid for r in S.raw_scan(spark, root).filter("symbol = 'ETHUSD'").collect()} == {1.5, 1.7, 2.5}

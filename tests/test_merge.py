@@ -101,3 +101,14 @@ def test_catalog_setup_is_idempotent(spark, scratch):
     G.ingest(t, spark.createDataFrame([(T0, 1.0, 1.1, "eurusd"), (T1, 1.0, 1.1, "EURUSD")], RAW))
     assert [tuple(r) for r in G.partitions(t).collect()] == [("ticks_eurusd", "EURUSD", 2026, 2)]
     assert spark.catalog.databaseExists("quotelake_test_db")
+
+
+def test_target_is_cut_to_each_partitions_own_range(spark):
+    import datetime as dt
+    from quotelake.operators import merge as M
+    day = lambda d: dt.datetime(2024, 1, d)
+    schema = "DateTime timestamp_ntz, symbol string, year int"
+    target = spark.createDataFrame([(day(d), s, 2024) for d in range(1, 31) for s in "AB"], schema)
+    source = spark.createDataFrame([(day(1), "A", 2024), (day(30), "B", 2024)], schema)
+    cut = M.prune_target(target, source, ("symbol", "year"), "DateTime")
+    assert sorted((r.symbol, r.DateTime.day) for r in cut.collect()) == [("A", 1), ("B", 30)]

@@ -88,3 +88,38 @@ def test_stream_cap_hot_window_one_batch_equals_batch_cap(spark, scratch):
     batch = T.cap_per_window(T.in_windows(spark.createDataFrame(rows, R.TICK_STREAM_SCHEMA)),
                              cap=25, order=("DateTime", "event_id"))
     assert got == sorted(r.event_id for r in batch.collect()) and len(got) == 25
+
+
+def test_stream_cap_survives_a_late_tick(spark, scratch):
+    rows = _ticks(40)
+    land, sink = scratch("landing"), scratch("cap")
+    later = [(500 + i, "A", BASE + dt.timedelta(hours=6, seconds=i), 0, 6, 1.0, 1.1) for i in range(5)]
+    late = [(900, "C", BASE + dt.timedelta(seconds=3), 0, 6, 1.0, 1.1)]
+    stream = lambda: R.cap_per_window(R.tick_stream(spark, land, max_files_per_trigger=1), cap=3)
+    for part in (rows, later, late):
+        spark.createDataFrame(part, R.TICK_STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(land)
+        R.run_to_parquet(stream(), sink, land + "-ck")
+    got = {r.event_id for r in spark.read.parquet(sink).collect()}
+    assert {500, 501, 502} <= got and len(got & {r[0] for r in rows}) == 6
+
+
+def test_flush_twice_and_resume_gives_each_window_once(spark, scratch):
+    land = _land(spark, scratch, _ticks(100))
+    sink, ck = scratch("win"), scratch("ck")
+    run = lambda: R.run_to_parquet(R.window_counts(R.tick_stream(spark, land)), sink, ck)
+    q = run()
+    for _ in range(2):
+        R.flush_open_windows(spark, land, sink, watermark=R.last_watermark(q))
+    late = [(9000, "A", BASE + dt.timedelta(hours=6), 0, 6, 1.0, 1.1)]
+    spark.createDataFrame(late, R.TICK_STREAM_SCHEMA).write.mode("append").parquet(land)
+    run()
+    run()
+    got = [(r.symbol, r.window_key) for r in R.read_flushed(spark, sink).collect()]
+    assert len(got) == len(set(got)) and {("A", "20240102_0750"), ("B", "20240102_0750")} <= set(got)
+
+
+def test_stream_merge_quarantines_null_keys(spark, scratch):
+    rows = _ticks(20) + [(100, None, BASE, 0, 6, 1.0, 1.1), (101, "A", None, 0, 6, 1.0, 1.1)]
+    t, bad = G.gold_table(spark, scratch("gold")), scratch("bad")
+    R.merge_stream_into_gold(R.tick_stream(spark, _land(spark, scratch, rows)), t, scratch("ck"), quarantine=bad)
+    assert t.read().count() == 20 and spark.read.parquet(bad).count() == 2

@@ -142,7 +142,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rows: in
     comp = similarity_components(
         groups.select("node", "buckets", "sig"), lambda ids: full_sets(docs, ids, width, key, text), percent,
         likely=lambda x, y: estimate(x, y) >= cut,
-        finer=(lambda s: packed(minima([s], FINE_HASHES))[0],
+        finer=(lambda s: packed(minima(s, FINE_HASHES)),
                lambda x, y: estimate(x, y, FINE_HASHES) >= fine_cut))
     label = groups.select("set_key", "node").join(comp.dropDuplicates(["node"]), "node", "left") \
         .select("set_key", F.coalesce("component", "node").alias("_comp"))

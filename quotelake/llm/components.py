@@ -8,8 +8,8 @@ gathered in one task or on the driver.
 ``100 * |A∩B| >= percent * |A∪B|`` between sets whose bands share a bucket.
 No bucket is expanded into all its pairs: members are first linked to centres
 of their buckets and verified; sets that provably reach nobody are put aside
-(too many of their elements occur in no other set of the cluster); only pairs
-that still lie in different components are then compared, so the result is the
+(too many of their elements occur in no set that they could still be linked
+with); only pairs that still lie in different components are then compared, so the result is the
 same as if every candidate pair had been verified.
 """
 
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 STAR_ROUNDS = 3
+SIGNED_ELEMENTS = 1 << 18  # elements of the sets that are signed together
 
 
 def _is_forest(edges: DataFrame) -> bool:
@@ -67,8 +68,11 @@ def overlaps(batches: Iterator[pa.RecordBatch], percent: int,
     for batch in batches:
         sa, sb = batch.column("sa").to_pylist(), batch.column("sb").to_pylist()
         keep = np.zeros(batch.num_rows, bool)
-        for i, (x, y) in enumerate(zip(sa, sb)):
-            x, y = decode(x), decode(y)
+        raw = y = None
+        for i, (x, again) in enumerate(zip(sa, sb)):
+            x = decode(x)
+            if again != raw:  # the pairs of one centre follow each other
+                raw, y = again, decode(again)
             if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)) or not len(x):
                 continue
             at = np.searchsorted(y, x)
@@ -82,7 +86,7 @@ def overlaps(batches: Iterator[pa.RecordBatch], percent: int,
 
 def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int,
                           likely: Callable[[str, str], Column] | None = None,
-                          finer: tuple[Callable[[np.ndarray], np.ndarray], Callable[[str, str], Column]] | None = None,
+                          finer: tuple[Callable[[list[np.ndarray]], np.ndarray], Callable[[str, str], Column]] | None = None,
                           decode: Callable[[bytes], np.ndarray] = stored) -> DataFrame:
     """Rows (node, component) for every node linked to another.
 
@@ -90,6 +94,7 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
     ``likely`` (a condition on two signature columns) is given.
     sets_of: gets a DataFrame of column node, returns node, set (binary), size
     (number of elements); ``decode`` turns the binary into the sorted elements.
+    finer: signs a list of sets, and a condition on two such signatures.
     """
     node_t = nodes.schema["node"].dataType.simpleString()
     extra = ["size"] + (["sig"] if likely is not None else [])
@@ -165,19 +170,19 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
         if open_members.isEmpty():
             return comp
 
-    # Elements of a set that no other set of its cluster has can't be in an
+    # Only sets of open buckets under different labels are still to be compared.
+    # Elements that no set of another label has can't be in such an
     # intersection: two sets can't have more in common than the smaller number
-    # of their elements that others have too, ``k``.
-    todo = open_members.select("node").distinct()
-    shingles = sets.join(cand.select("node", "cluster"), "node") \
-        .join(todo.join(cand.select("node", "cluster"), "node").select("cluster").distinct(), "cluster") \
-        .select("cluster", "node", "set")
-    exploded = shingles.mapInArrow(lambda it: _explode(it, decode), f"cluster {node_t}, node {node_t}, element bigint")
-    common = exploded.groupBy("cluster", "element").agg(F.min("node").alias("lo"), F.max("node").alias("hi")) \
+    # of their elements that other labels have too, ``k``.
+    todo = open_members.select("node", "label").distinct()
+    shingles = sets.join(todo, "node").join(cand.select("node", "cluster"), "node") \
+        .select("cluster", "label", "node", "set")
+    exploded = shingles.mapInArrow(lambda it: _explode(it, decode),
+                                   f"cluster {node_t}, label {node_t}, node {node_t}, element bigint")
+    common = exploded.groupBy("cluster", "element").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
         .where("lo <> hi").select("cluster", "element")
-    able = exploded.join(common, ["cluster", "element"]).groupBy("node").agg(F.count(F.lit(1)).alias("k")) \
+    able = exploded.drop("label").join(common, ["cluster", "element"]).groupBy("node").agg(F.count(F.lit(1)).alias("k")) \
         .join(cand.select("node", *extra), "node").where(F.col("k") * 100 >= F.col("size") * percent)
-    able = able.join(todo, "node", "left_semi")
     extra.append("k")
     if finer is not None:
         able = able.join(sets.select("node", "set"), "node").select("node", *extra, "set").mapInArrow(
@@ -206,14 +211,18 @@ def _explode(batches: Iterator[pa.RecordBatch], decode: Callable[[bytes], np.nda
             n = np.array([len(x) for x in arrays])
             at = pa.array(np.repeat(np.arange(lo, lo + len(arrays)), n))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("cluster").take(at), batch.column("node").take(at),
+                [*(batch.column(c).take(at) for c in ("cluster", "label", "node")),
                  pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64))],
-                names=["cluster", "node", "element"])
+                names=["cluster", "label", "node", "element"])
 
 
 def _signed(batches: Iterator[pa.RecordBatch], decode, sign) -> Iterator[pa.RecordBatch]:
+    """Replace the set by its signature; ``sign`` gets several sets (one at least) at a time."""
     for batch in batches:
-        words = [sign(decode(x)).view(np.int64) for x in batch.column("set").to_pylist()]
+        arrays = [decode(x) for x in batch.column("set").to_pylist()]
+        parts = np.cumsum([len(x) for x in arrays]) // SIGNED_ELEMENTS if arrays else []
+        cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(arrays)] if arrays else []
+        words = [w.view(np.int64) for a, b in zip(cuts, cuts[1:]) for w in sign(arrays[a:b])]
         names = [n for n in batch.schema.names if n != "set"]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(words, pa.list_(pa.int64()))],
                                          names=[*names, "fine"])

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 STAR_ROUNDS = 3
+SHARE = 3  # shared elements are counted among one element of so many
 SIGNED_ELEMENTS = 1 << 18  # elements of the sets that are signed together
 
 
@@ -171,19 +172,20 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
             return comp
 
     # Only sets of open buckets under different labels are still to be compared.
-    # Elements that no set of another label has can't be in such an
-    # intersection: two sets can't have more in common than the smaller number
-    # of their elements that other labels have too, ``k``.
-    todo = open_members.select("node", "label").distinct()
-    shingles = sets.join(todo, "node").join(cand.select("node", "cluster"), "node") \
-        .select("cluster", "label", "node", "set")
-    exploded = shingles.mapInArrow(lambda it: _explode(it, decode),
-                                   f"cluster {node_t}, label {node_t}, node {node_t}, element bigint")
-    common = exploded.groupBy("cluster", "element").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
-        .where("lo <> hi").select("cluster", "element")
-    able = exploded.drop("label").join(common, ["cluster", "element"]).groupBy("node").agg(F.count(F.lit(1)).alias("k")) \
-        .join(cand.select("node", *extra), "node").where(F.col("k") * 100 >= F.col("size") * percent)
-    extra.append("k")
+    # A set of size n can lack at most n * (1 - percent) of its elements in its
+    # partner, of all of them and so of those in any share of the hash space.
+    # Elements of one share, counted where sets of other labels have them too,
+    # put aside the sets that can't have a partner.
+    todo = open_members.select("node", "label").distinct().join(cand.select("node", "cluster"), "node")
+    rows = sets.join(todo, "node").select("cluster", "label", "node", "set").mapInArrow(
+        lambda it: _explode(it, decode, percent),
+        f"cluster {node_t}, label {node_t}, node {node_t}, need int, element bigint")
+    common = rows.where("element is not null").groupBy("cluster", "element") \
+        .agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi") \
+        .select("cluster", "element", F.lit(1).alias("hit"))
+    able = rows.drop("label").join(common, ["cluster", "element"], "left").groupBy("node") \
+        .agg(F.count("hit").alias("k"), F.max("need").alias("need")).where("k >= need").select("node") \
+        .join(cand.select("node", *extra), "node")
     if finer is not None:
         able = able.join(sets.select("node", "set"), "node").select("node", *extra, "set").mapInArrow(
             lambda it: _signed(it, decode, finer[0]),
@@ -194,7 +196,7 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
     left, right = (live.select(F.col("bucket").alias(f"{s}_bucket"), F.col("node").alias(s), F.col("label").alias(f"{s}_label"),
                                *[F.col(c).alias(f"{s}_{c}") for c in extra]) for s in "ab")
     on = (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_label") != F.col("b_label")) & (F.col("a") > F.col("b")) \
-        & (F.least("a_k", "b_k") * (100 + percent) >= (F.col("a_size") + F.col("b_size")) * percent)
+        & (F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent)
     if likely is not None:
         on = on & likely("a_sig", "b_sig")
     if finer is not None:
@@ -203,17 +205,26 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
     return comp if found.isEmpty() else merged(found)
 
 
-def _explode(batches: Iterator[pa.RecordBatch], decode: Callable[[bytes], np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _explode(batches: Iterator[pa.RecordBatch], decode: Callable[[bytes], np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:
+    """One row for each element in 1/SHARE of the hash space (a null one if there is none).
+
+    ``need``: how many of them a partner has at least.
+    """
     for batch in batches:
         raw = batch.column("set").to_pylist()
         for lo in range(0, len(raw), 500):
-            arrays = [decode(x).view(np.int64) for x in raw[lo:lo + 500]]
-            n = np.array([len(x) for x in arrays])
-            at = pa.array(np.repeat(np.arange(lo, lo + len(arrays)), n))
+            arrays, need = [decode(x) for x in raw[lo:lo + 500]], []
+            for i, x in enumerate(arrays):
+                arrays[i] = x[x % np.uint64(SHARE) == 0]
+                need.append(len(arrays[i]) - len(x) * (100 - percent) // 100)
+            n = np.array([max(len(x), 1) for x in arrays])
+            at = np.repeat(np.arange(len(arrays)), n)
+            none = np.repeat(np.array([not len(x) for x in arrays], bool), n)
+            flat = np.concatenate([x if len(x) else np.zeros(1, np.uint64) for x in arrays]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(at) for c in ("cluster", "label", "node")),
-                 pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64))],
-                names=["cluster", "label", "node", "element"])
+                [*(batch.column(c).take(pa.array(at + lo)) for c in ("cluster", "label", "node")),
+                 pa.array(np.array(need, np.int32)[at]), pa.array(flat, mask=none)],
+                names=["cluster", "label", "node", "need", "element"])
 
 
 def _signed(batches: Iterator[pa.RecordBatch], decode, sign) -> Iterator[pa.RecordBatch]:

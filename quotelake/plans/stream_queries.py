@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import gold as G
 from ..session import scratch_path
 from ..streaming import ticks as R
+from ..streaming.collector import Collector
 from . import fixtures as X
 from .registry import TK, WIN, WKEY, register
 
@@ -35,12 +36,31 @@ def q_stream_source(spark, sf):
 SELECT event_id, symbol, DateTime, Bid, Ask FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol, date_trunc('second', DateTime)
                                ORDER BY DateTime, event_id) AS rn FROM {TK}) f
-WHERE rn = 1
-  AND date_trunc('second', DateTime) + INTERVAL 1 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 2 SECOND""")
+WHERE rn = 1""")
 def q_stream_first_per_second(spark, sf):
-    s = R.tick_stream(spark, landed(spark, sf))
-    sink = _run(spark, R.first_per_second(s, "2 seconds"), "stream-fps")
-    return spark.read.parquet(sink).select("event_id", "symbol", "DateTime", "Bid", "Ask")
+    sink = scratch_path(spark, "stream-fps")
+    R.first_per_second_to(R.tick_stream(spark, landed(spark, sf), max_files_per_trigger=3), sink,
+                          scratch_path(spark, "stream-fps-ckpt"))
+    return R.read_first_per_second(spark, sink).select("event_id", "symbol", "DateTime", "Bid", "Ask")
+
+
+@register("stream_collector", f"""
+SELECT symbol, window_key, strftime(DateTime, '%Y-%m-%d %H:%M:%S.%g') AS "DateTime", Bid, Ask FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, window_key ORDER BY DateTime, event_id) AS nth FROM (
+    SELECT *, {WKEY} AS window_key,
+           row_number() OVER (PARTITION BY symbol, date_trunc('second', DateTime) ORDER BY DateTime, event_id) AS rn
+    FROM {WIN} WHERE (flags & 6) <> 0) f
+  WHERE rn = 1) g
+WHERE nth <= 600""")
+def q_stream_collector(spark, sf):
+    land = scratch_path(spark, "landing")
+    # files in no order of time or symbol, taken over several micro-batches
+    X.ticks(spark, sf).select(*R.TICK_STREAM_SCHEMA.fieldNames()).repartition(9, F.xxhash64("event_id")) \
+        .write.parquet(land)
+    c = Collector(spark, scratch_path(spark, "collected"))
+    c.run(R.tick_stream(spark, land, max_files_per_trigger=3), scratch_path(spark, "collected-ckpt"))
+    c.flush()
+    return c.read()
 
 
 @register("stream_window_flush", f"SELECT symbol, {WKEY} AS window_key, count(*) AS n_ticks FROM {WIN} GROUP BY ALL")

@@ -21,13 +21,15 @@ def write_tick_csv(df: DataFrame, root: str, prefix: str = K.RAW_PREFIX, key_col
     Rows are rebalanced on (symbol, key), so every key gets one file, like
     one upload per symbol-window (window keys hold at most 600 ticks after
     the cap).  Should one key hold far more, AQE splits it over several
-    tasks and files rather than sending it to one task.
+    tasks and files rather than sending it to one task.  ``mode='overwrite'``
+    replaces the keys written and leaves the others.
     """
     out = f"{root.rstrip('/')}/{prefix}"
     text = F.col("DateTime") if dict(df.dtypes)["DateTime"] == "string" else C.ts_text("DateTime")
     df.select(text.alias("DateTime"), "Bid", "Ask", F.upper("symbol").alias("symbol"), key_col) \
         .hint("rebalance", "symbol", key_col) \
-        .write.mode(mode).partitionBy("symbol", key_col).option("header", "true") \
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("symbol", key_col).option("header", "true") \
         .option("lineSep", "\n").csv(out)
     return out
 

@@ -70,6 +70,16 @@ def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, mode: str = "appen
     return q
 
 
+def run_batches(stream: DataFrame, each, checkpoint: str, trigger: str | None = None):
+    """Run ``each(batch, epoch)`` on every micro-batch; return the query."""
+    q = _trigger(stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint), trigger).start()
+    if trigger in (None, "availableNow"):
+        q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return q
+
+
 def last_watermark(query) -> _dt.datetime | None:
     """Event-time watermark (UTC, naive) of a query's last micro-batch; None if never set."""
     prog = query.lastProgress if query is not None else None
@@ -102,6 +112,26 @@ def first_per_second(stream: DataFrame, watermark: str = "2 seconds",
     return agg.select("t.*")
 
 
+def first_per_second_to(stream: DataFrame, sink: str, checkpoint: str, tiebreak: str = "event_id",
+                        trigger: str | None = None):
+    """Land the first tick per (symbol, UTC second) of each micro-batch under ``sink/epoch=N``.
+
+    No watermark, so nothing late is lost, whatever the pace of its symbol; a
+    replayed epoch replaces its own folder.  ``read_first_per_second`` picks
+    the first of each second over all epochs.
+    """
+    def each(batch: DataFrame, epoch: int) -> None:
+        TK.first_per_second(batch, order=("DateTime", tiebreak)) \
+            .write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch}")
+
+    return run_batches(stream, each, checkpoint, trigger)
+
+
+def read_first_per_second(spark: SparkSession, sink: str, schema: T.StructType = TICK_STREAM_SCHEMA,
+                          tiebreak: str = "event_id") -> DataFrame:
+    return TK.first_per_second(spark.read.schema(schema).parquet(sink), order=("DateTime", tiebreak))
+
+
 def window_counts(stream: DataFrame, watermark: str = "1 minute", windows=K.COLLECTION_WINDOWS,
                   zone: str = K.LOCAL_ZONE) -> DataFrame:
     """Ticks per symbol and 10-minute collection window, emitted on window close.
@@ -261,9 +291,4 @@ def merge_stream_into_gold(stream: DataFrame, table, checkpoint: str, spread: bo
         finally:
             rows.unpersist()
 
-    q = _trigger(stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint),
-                 trigger).start()
-    if trigger in (None, "availableNow"):
-        q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    run_batches(stream, each, checkpoint, trigger)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from quotelake.operators import gold as G
 from quotelake.operators import ticks as T
 from quotelake.streaming import ticks as R
+from quotelake.streaming.collector import Collector
 
 BASE = dt.datetime(2024, 1, 2, 5, 50, 0)                      # 07:50 local
 
@@ -123,3 +124,56 @@ def test_stream_merge_quarantines_null_keys(spark, scratch):
     t, bad = G.gold_table(spark, scratch("gold")), scratch("bad")
     R.merge_stream_into_gold(R.tick_stream(spark, _land(spark, scratch, rows)), t, scratch("ck"), quarantine=bad)
     assert t.read().count() == 20 and spark.read.parquet(bad).count() == 2
+
+
+def _drain(c, spark, land, ck):
+    c.run(R.tick_stream(spark, land, max_files_per_trigger=1), ck)
+
+
+def test_collector_loses_nothing_of_a_slow_symbol(spark, scratch):
+    land, ck = scratch("landing"), scratch("ck")
+    c = Collector(spark, scratch("root"), cap=30, windows=((7, 45, 8, 15), (13, 50, 14, 0)))
+    end = [(5000, s, BASE + dt.timedelta(hours=7), 0, 6, 1.0, 1.1) for s in ("A",)]    # A passes all windows
+    parts = [[r for r in _ticks(200) if r[1] == "A"], end, [r for r in _ticks(200) if r[1] == "B"],
+             [(6000, "A", BASE - dt.timedelta(seconds=1), 0, 6, 9.0, 9.1),             # late, in a published window
+              (6001, "A", BASE, 0, 1, 7.0, 7.1), (6002, None, BASE, 0, 6, 1.0, 1.1), (6003, "A", None, 0, 6, 1.0, 1.1)]]
+    every = []
+    for part in parts:
+        every += part
+        spark.createDataFrame(part, R.TICK_STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(land)
+        _drain(c, spark, land, ck)
+    published = {(r.symbol, r.window_key) for r in c.read().collect()}
+    assert published == {("A", "20240102_0745")}                                       # B has not passed its window
+    c.flush()
+    c.flush()
+    _drain(c, spark, land, ck)                                                         # resumed, nothing new
+    got = sorted(tuple(r) for r in c.read().select("symbol", "window_key", "DateTime", "Bid").collect())
+    first = {}
+    for r in sorted((r for r in every if r[1] and r[2] and r[4] & 6 and r[0] != 5000), key=lambda r: (r[2], r[0])):
+        first.setdefault((r[1], r[2].replace(microsecond=0)), r)
+    want = []
+    for s in "AB":
+        mine = sorted((r for k, r in first.items() if k[0] == s), key=lambda r: (r[2], r[0]))[:30]
+        want += [(s, "20240102_0745", r[2].strftime("%Y-%m-%d %H:%M:%S.") + f"{r[2].microsecond // 1000:03d}", r[5])
+                 for r in mine]
+    assert got == sorted(want)
+
+
+def test_collector_replayed_epoch_changes_nothing(spark, scratch):
+    c = Collector(spark, scratch("root"))
+    rows = spark.createDataFrame(_ticks(200) + [(9000, "A", BASE + dt.timedelta(hours=1), 0, 6, 1.0, 1.1)],
+                                 R.TICK_STREAM_SCHEMA)
+    c.batch(rows.where("event_id % 2 = 0"), 0)
+    c.batch(rows, 1)
+    once = sorted(map(str, c.read().collect()))
+    c.batch(rows, 1)
+    assert sorted(map(str, c.read().collect())) == once and len(once) == 50
+
+
+def test_first_per_second_over_epochs_equals_batch(spark, scratch):
+    rows = _ticks()
+    land, sink = _land(spark, scratch, rows), scratch("fps")
+    R.first_per_second_to(R.tick_stream(spark, land, max_files_per_trigger=1), sink, scratch("ck"))
+    batch = T.first_per_second(spark.createDataFrame(rows, R.TICK_STREAM_SCHEMA), order=("DateTime", "event_id"))
+    assert {r.event_id for r in R.read_first_per_second(spark, sink).collect()} == \
+        {r.event_id for r in batch.collect()}

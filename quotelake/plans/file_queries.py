@@ -92,6 +92,15 @@ def q_parquet_sink_roundtrip(spark, sf):
     return S.raw_scan(spark, bucket, K.PARQUET_PREFIX).select("symbol", "DateTime", "Bid", "Ask")
 
 
+@register("raw_scan_symbol", f"SELECT symbol, DateTime, Bid, Ask FROM {TK} WHERE symbol = 'CLICK'")
+def q_raw_scan_symbol(spark, sf):
+    """Equality on the symbol of the path (F6): Spark reads that symbol's files only."""
+    bucket = scratch_path(spark, "bucket")
+    W.write_tick_parquet(X.ticks(spark, sf), bucket, K.PARQUET_PREFIX, key_cols=("symbol",))
+    return S.raw_scan(spark, bucket, K.PARQUET_PREFIX).filter("symbol = 'CLICK'") \
+        .select("symbol", "DateTime", "Bid", "Ask")
+
+
 @register("csv_to_parquet", f"""
 SELECT {FILE_KEY_SQL} AS file_key,
        CASE WHEN count(*) FILTER (WHERE event_id = {BAD_EVENT_ID}) > 0 THEN 'failed' ELSE 'converted' END AS status,

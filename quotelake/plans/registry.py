@@ -118,6 +118,18 @@ def q_cursor_filter(spark, sf):
     return T.cursor_filter(_ticks(spark, sf), X.cursor_marks(spark, sf)).select("event_id", "symbol")
 
 
+@register("cursor_advance", f"""
+SELECT t.event_id, t.symbol FROM {TK} t
+LEFT JOIN (SELECT symbol, max(time_msc) AS h FROM {TK} WHERE DateTime < TIMESTAMP '2024-01-15 08:30:00'
+           GROUP BY symbol) m ON t.symbol = m.symbol
+WHERE m.h IS NULL OR t.time_msc > m.h""")
+def q_cursor_advance(spark, sf):
+    """What a poll takes after all ticks before the job start were taken."""
+    t = _ticks(spark, sf)
+    start = F.lit(X.FIXTURE_JOB_START.isoformat(sep=" ")).cast("timestamp_ntz")
+    return T.cursor_filter(t, T.high_water_marks(t.filter(F.col("DateTime") < start))).select("event_id", "symbol")
+
+
 @register("market_open_semi", f"SELECT event_id FROM {TK} WHERE symbol IN ('CLICK', 'VIEW', 'SIGNUP')")
 def q_market_open_semi(spark, sf):
     return T.market_open(_ticks(spark, sf), X.instruments(spark, sf)).select("event_id")
@@ -164,6 +176,17 @@ def q_uncompleted_windows(spark, sf):
     return T.uncompleted_windows(T.tag_windows(_ticks(spark, sf)))
 
 
+@register("next_uncompleted_window", f"""
+SELECT strftime(d, '%Y%m%d') || '_' || {HHMM} AS window_key, d + to_minutes(ws) AS win_start
+FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-22', INTERVAL 1 DAY))
+                  AS TIMESTAMP) AS d) days, (VALUES (470), (830)) k(ws)
+WHERE d + to_minutes(ws) > TIMESTAMP '2024-01-15 08:30:00'
+  AND NOT EXISTS (SELECT 1 FROM {WIN} w WHERE CAST(w.loc AS DATE) = CAST(d AS DATE) AND w.ws = k.ws)
+ORDER BY win_start LIMIT 1""")
+def q_next_uncompleted_window(spark, sf):
+    return T.next_uncompleted_window(T.tag_windows(_ticks(spark, sf)), X.FIXTURE_JOB_START)
+
+
 @register("table_sample", f"SELECT * FROM {TK} ORDER BY DateTime, event_id LIMIT 10")
 def q_table_sample(spark, sf):
     return _ticks(spark, sf).orderBy("DateTime", "event_id").limit(10)

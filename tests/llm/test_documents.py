@@ -259,6 +259,34 @@ def test_chain_is_the_best_chain():
         assert score == pytest.approx(max(best.values()))
 
 
+def test_chain_is_the_best_chain_within_the_gap():
+    rng = random.Random(9)
+    for _ in range(60):
+        pts = list({(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(rng.randint(1, 120))})
+        pts += [(at + k, at + k) for at in (400, 500) for k in range(20)]
+        x, y = np.array([p[0] for p in pts]), np.array([p[1] for p in pts])
+        best = {}
+        for p in sorted(pts):
+            best[p] = chaining.K + max([0.0] + [best[q] - chaining.GAP * (p[0] - q[0] + p[1] - q[1]) for q in best
+                                                if 0 < p[0] - q[0] <= chaining.MAX_GAP and 0 < p[1] - q[1] <= chaining.MAX_GAP])
+        paths = chaining.chain(x, y)
+        score = [len(p) * chaining.K - chaining.GAP * (x[p[-1]] - x[p[0]] + y[p[-1]] - y[p[0]]) for p in paths]
+        assert score[0] == pytest.approx(max(best.values()))
+        assert sum(len(p) == 20 and x[p[0]] in (400, 500) for p in paths) == 2
+        assert sorted(i for p in paths for i in p) == list(range(len(pts)))
+
+
+@pytest.mark.parametrize("apart", [30, 38, 50, 100])
+def test_chaining_finds_both_of_two_passages(spark, apart):
+    rng = random.Random(apart)
+    text = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    one, two = text(60), text(60)
+    rows = [(i, " ".join(text(45) + one + text(apart) + two + text(45))) for i in (1, 2)]
+    got = chaining.passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    found = {w for r in got if (r["doc_id"], r["other_id"]) == (2, 1) for w in range(r["start_word"], r["end_word"])}
+    assert set(range(45, 105)) <= found and set(range(105 + apart, 165 + apart)) <= found
+
+
 def test_curriculum(docs, empty):
     rows = curriculum.plan(docs).select("doc_id", "source", "size", "bucket", "source_size", "target", "taken").collect()
     assert len(rows) == len(ROWS) and {r["bucket"] for r in rows} == {8, None}

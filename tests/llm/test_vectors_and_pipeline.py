@@ -42,6 +42,27 @@ def test_adaptive_scan_recall_and_odd_rows(spark):
     assert adaptive_scan.neighbours(spark.createDataFrame([], df.schema)).count() == 0
 
 
+def recall(spark, df):
+    got = {}
+    for r in adaptive_scan.neighbours(df).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    rows = df.select("vec_id", "embedding").collect()
+    want = brute(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float))
+    assert set(got) == set(want)
+    return np.mean([len(got[q] & set(want[q])) / 5 for q in want])
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_adaptive_scan_recall_on_given_embeddings(spark, size):
+    assert recall(spark, spark.read.parquet(f"/root/testdata/{size}/embeddings.parquet")) >= 0.97
+
+
+def test_adaptive_scan_recall_without_clusters(spark):
+    x = np.random.default_rng(3).normal(size=(4000, 64))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    assert recall(spark, df) >= 0.97
+
+
 def test_connected(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (60, 55), (55, 58)]
     got = {r[0]: r[1] for r in components.connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

@@ -287,6 +287,29 @@ def test_chaining_finds_both_of_two_passages(spark, apart):
     assert set(range(45, 105)) <= found and set(range(105 + apart, 165 + apart)) <= found
 
 
+@pytest.mark.parametrize("kind", ["replace", "insert"])
+@pytest.mark.parametrize("n", [45, 50, 60])
+def test_chaining_recall_at_low_identity(n, kind):
+    """Copies with a share of words replaced or inserted, inside unrelated words."""
+    found = total = 0
+    for trial in range(90):
+        rng = random.Random(trial)
+        text = lambda k: [rng.randrange(10 ** 9) for _ in range(k)]
+        one = text(n)
+        two, edits = list(one), int((0.1, 0.15, 0.18)[trial % 3] * n)
+        for at in sorted(rng.sample(range(n), edits), reverse=True):
+            two[at:at + (kind == "replace")] = text(1)
+        a, b = np.array(text(60) + two + text(60), np.uint64), np.array(text(80) + one + text(50), np.uint64)
+        row, at, seed = chaining.seeds(np.concatenate([a, b]), np.array([len(a), len(b)]))
+        there = {s: p for r, p, s in zip(row, at, seed) if r == 1}
+        m = np.array([(p, there[s]) for r, p, s in zip(row, at, seed) if r == 0 and s in there]).reshape(-1, 2)
+        hits = [s for path in chaining.chain(m[:, 0], m[:, 1]) if len(path) > 1
+                for s in chaining.stretches(a, b, m[path, 0], m[path, 1], 40, 0.8)]
+        total += 1
+        found += any(x0 < 60 + n // 2 < x1 for x0, x1, _, _, _ in hits)
+    assert found >= 0.95 * total
+
+
 def test_curriculum(docs, empty):
     rows = curriculum.plan(docs).select("doc_id", "source", "size", "bucket", "source_size", "target", "taken").collect()
     assert len(rows) == len(ROWS) and {r["bucket"] for r in rows} == {8, None}

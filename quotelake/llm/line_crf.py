@@ -34,7 +34,9 @@ MAX_LINES = 150_000
 THRESHOLD = 0.7
 SLICE_BYTES = 2 << 20
 
-# Byte classes, each a 21-bit field of one of three packed tables.
+# Byte classes, each a 21-bit field of one of three packed tables; lines of
+# FIELD bytes or more are counted in pieces.
+FIELD = 1 << 21
 _CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789",
             b" \t\n\v\f\r", b"#*$%&<>", b"|", b"!", b".,;:?'\"()-", bytes(range(0x80, 0x100)))
 _PACKED = np.zeros((3, 256), np.uint64)
@@ -68,7 +70,10 @@ def line_features(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
         np.cumsum(_PACKED[t][raw], out=total[1:])
         packed = total[end] - total[start]
         for k in range(3):
-            share[:, 3 * t + k] = ((packed >> np.uint64(21 * k)) & np.uint64((1 << 21) - 1)) / size
+            share[:, 3 * t + k] = ((packed >> np.uint64(21 * k)) & np.uint64(FIELD - 1)) / size
+    for i in np.flatnonzero(length >= FIELD):
+        count = sum(np.bincount(raw[a: min(a + FIELD, end[i])], minlength=256) for a in range(start[i], end[i], FIELD))
+        share[i] = [count[list(members)].sum() / length[i] for members in _CLASSES]
     prefix = prefix_hash(raw)
     space = _SPACE[raw]
     edge = np.zeros(len(raw) + 1, bool)

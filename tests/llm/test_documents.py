@@ -364,6 +364,17 @@ def test_prefix_free(docs, empty, monkeypatch):
     assert prefix_free.dedup(empty).count() == 0
 
 
+def test_line_crf_counts_a_line_of_several_megabytes():
+    part = b"Some plain words, 12 of them."
+    shares = []
+    for times in (1000, 160_000):
+        raw = np.frombuffer(b"ab\n" + part * times + b"\ncd", np.uint8)
+        x, _, _ = line_crf.line_features(raw, np.array([0, len(raw)]))
+        shares.append(x[:, :len(line_crf._CLASSES)])
+    assert len(raw) > 4_000_000 and np.allclose(*shares)
+    assert shares[1][1, 1] == pytest.approx(sum(97 <= c <= 122 for c in part) / len(part))
+
+
 def test_line_crf(spark, docs, empty):
     sf = "/root/testdata/sf0.01"
     real, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")

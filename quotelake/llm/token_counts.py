@@ -39,14 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import drop, materialize, text_array
+from .common import materialize, release, text_array
 
 LIMIT = 512
 #: A block of texts ends at so many distinct pre-tokens or frequencies.
-BLOCK_PIECES = 250_000
-BLOCK_ENTRIES = 4_000_000
+BLOCK_PIECES = 1_000_000
+BLOCK_ENTRIES = 8_000_000
 
-FREQUENCIES = "block bigint, doc_id bigint, n_bytes bigint, n_added bigint, entries binary, pieces array<string>"
+FREQUENCIES = "block bigint, doc_id bigint, n_bytes bigint, n_added bigint, places binary, often binary, pieces array<string>"
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -69,6 +69,19 @@ def unpack(data: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127).astype(np.int64) << shift, start)
 
 
+def frequency(places: bytes, often: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The places of a document's pre-tokens in its block, and how often each stands in the document.
+
+    ``places`` holds the steps from place to place, ``often`` the steps to
+    those found more than once, then their numbers.
+    """
+    at = np.cumsum(unpack(places))
+    more, count = unpack(often).reshape(2, -1)
+    freq = np.ones(len(at), np.int64)
+    freq[np.cumsum(more)] = count
+    return at, freq
+
+
 class Pieces:
     """Pre-tokens of texts as the library parts them."""
 
@@ -126,14 +139,15 @@ def _frequencies(path: str, pattern: str):
         tok = loaded(path, pattern)
         base, blocks = TaskContext.get().partitionId() << 32, 0
         place: dict[str, int] = {}
-        ids, sizes, added, entries, held = [], [], [], [], 0
+        ids, sizes, added, places, often, held = [], [], [], [], [], 0
 
         def block():
             n = len(ids)
-            cols = [[base + blocks] * (n + 1), ids + [None], sizes + [None], added + [None], entries + [None],
-                    [None] * n + [list(place)]]
+            cols = [[base + blocks] * (n + 1), ids + [None], sizes + [None], added + [None], places + [None],
+                    often + [None], [None] * n + [list(place)]]
             schema = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()),
-                                ("n_added", pa.int64()), ("entries", pa.binary()), ("pieces", pa.list_(pa.string()))])
+                                ("n_added", pa.int64()), ("places", pa.binary()), ("often", pa.binary()),
+                                ("pieces", pa.list_(pa.string()))])
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
         for batch in batches:
@@ -144,17 +158,17 @@ def _frequencies(path: str, pattern: str):
                     freq.update(tok.split(s))
                 at = np.fromiter((place.setdefault(p, len(place)) for p in freq), np.int64, len(freq))
                 order = np.argsort(at)
-                pairs = np.empty((len(at), 2), np.int64)
-                pairs[:, 0] = np.diff(at[order], prepend=0)
-                pairs[:, 1] = np.fromiter(freq.values(), np.int64, len(freq))[order]
+                count = np.fromiter(freq.values(), np.int64, len(freq))[order]
+                more = np.flatnonzero(count > 1)
                 ids.append(doc_id)
                 sizes.append(value.as_buffer().size if value.as_buffer() is not None else 0)
                 added.append(n_added)
-                entries.append(pack(pairs.ravel()))
+                places.append(pack(np.diff(at[order], prepend=0)))
+                often.append(pack(np.concatenate([np.diff(more, prepend=0), count[more]])))
                 held += len(at)
                 if len(place) >= BLOCK_PIECES or held >= BLOCK_ENTRIES:
                     yield block()
-                    place, ids, sizes, added, entries, held, blocks = {}, [], [], [], [], 0, blocks + 1
+                    place, ids, sizes, added, places, often, held, blocks = {}, [], [], [], [], [], 0, blocks + 1
         if ids:
             yield block()
 
@@ -162,7 +176,7 @@ def _frequencies(path: str, pattern: str):
 
 
 def frequencies(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """A row for each document (block, doc_id, n_bytes, n_added, entries) and one for each block (block, pieces)."""
+    """A row for each document (block, doc_id, n_bytes, n_added, places, often) and one for each block (block, pieces)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_frequencies(path, pattern), FREQUENCIES)
 
@@ -181,9 +195,9 @@ def _sum(key, docs: pa.Table, counts: pa.Table) -> pa.Table:
     n = np.zeros(counts.num_rows, np.int64)
     n[counts.column("place").to_numpy()] = counts.column("n").to_numpy()
     total = []
-    for data in docs.column("entries").to_pylist():
-        pairs = unpack(data).reshape(-1, 2)
-        total.append(int(n[np.cumsum(pairs[:, 0])] @ pairs[:, 1]))
+    for places, often in zip(docs.column("places").to_pylist(), docs.column("often").to_pylist()):
+        at, freq = frequency(places, often)
+        total.append(int(n[at] @ freq))
     tokens = pa.array(total, pa.int64())
     return pa.table({"doc_id": docs.column("doc_id"), "n_bytes": docs.column("n_bytes"),
                      "n_tokens": pc.add(tokens, docs.column("n_added").combine_chunks())})
@@ -195,7 +209,8 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT) -
     pieces = table.where("pieces is not null").select("block", F.posexplode("pieces").alias("place", "piece"))
     counts = pieces.join(piece_counts(pieces, path, pattern), "piece").select("block", "place", "n")
     counts = materialize(counts, "token-pieces")
-    rows = table.where("pieces is null").select("block", "doc_id", "n_bytes", "n_added", "entries")
+    release(docs.sparkSession)
+    rows = table.where("pieces is null").select("block", "doc_id", "n_bytes", "n_added", "places", "often")
     out = rows.groupBy("block").cogroup(counts.groupBy("block")) \
         .applyInArrow(_sum, "doc_id bigint, n_bytes bigint, n_tokens bigint")
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -61,9 +61,9 @@ def test_token_counts_over_many_blocks(spark, monkeypatch):
     assert len(blocks) > 5 and min(blocks) == 2 << 32
     for r in out:
         if r["pieces"] is None:
-            pairs = token_counts.unpack(r["entries"]).reshape(-1, 2)
-            pieces = [blocks[r["block"]][k] for k in np.cumsum(pairs[:, 0])]
-            assert dict(zip(pieces, pairs[:, 1])) == collections.Counter(token_counts.loaded(PATH, PATTERN).split(texts[r["doc_id"]]))
+            at, freq = token_counts.frequency(r["places"], r["often"])
+            pieces = [blocks[r["block"]][k] for k in at]
+            assert dict(zip(pieces, freq)) == collections.Counter(token_counts.loaded(PATH, PATTERN).split(texts[r["doc_id"]]))
 
 
 def test_packed_integers():

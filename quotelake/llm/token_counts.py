@@ -8,9 +8,10 @@ the sum of its pre-tokens' counts.
    (packed variable-length integers).  A block ends at ``BLOCK_PIECES``
    distinct pre-tokens or ``BLOCK_ENTRIES`` frequencies, so memory is bounded
    and a pre-token leaves a block once however often it stands there.
-2. The library counts the tokens of each distinct pre-token of the corpus
-   once; a join by the pre-token brings the count to the blocks that hold it.
-3. A co-group by block sums frequency times count for every document.
+2. Equal pre-tokens of all blocks meet in one sorted run, and the library
+   counts the tokens of each distinct pre-token of the corpus once.
+3. The counts join the documents' frequencies by block, where frequency times
+   count is summed for every document.
 
 Neither ids nor texts are shuffled.  Added tokens of the file (such as
 ``<|endoftext|>``) found inside a text count as one token, as the library
@@ -30,7 +31,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -181,14 +181,27 @@ def frequencies(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return rows.mapInArrow(_frequencies(path, pattern), FREQUENCIES)
 
 
-def piece_counts(pieces: DataFrame, path: str, pattern: str) -> DataFrame:
-    """piece, n of every distinct piece, each counted once."""
-    @F.pandas_udf("int")
-    def count(column: pd.Series) -> pd.Series:
-        tok = loaded(path, pattern)
-        return column.map(tok.count).astype("int32")
+def _count(path: str, pattern: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok, last = loaded(path, pattern), (None, 0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            coded = batch.column("piece").dictionary_encode()
+            words = coded.dictionary.to_pylist()  # in order of place: the first may go on from the batch before
+            sizes = [last[1] if p == last[0] else tok.count(p) for p in words]
+            last = words[-1], sizes[-1]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("place"), pa.array(sizes, pa.int32()).take(coded.indices)],
+                ["block", "place", "n"])
 
-    return pieces.groupBy("piece").agg(F.lit(1).alias("_one")).select("piece", count("piece").alias("n"))
+    return run
+
+
+def piece_counts(pieces: DataFrame, path: str, pattern: str) -> DataFrame:
+    """block, place, n for every place of a piece; equal pieces meet in one sorted run, which is counted once."""
+    return pieces.repartition("piece").sortWithinPartitions("piece").mapInArrow(
+        _count(path, pattern), "block bigint, place int, n int")
 
 
 def _sum(key, docs: pa.Table, counts: pa.Table) -> pa.Table:
@@ -207,8 +220,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT) -
     """doc_id, n_bytes, n_tokens, over_limit of every document."""
     table = materialize(frequencies(docs, path, pattern), "token-frequencies")
     pieces = table.where("pieces is not null").select("block", F.posexplode("pieces").alias("place", "piece"))
-    counts = pieces.join(piece_counts(pieces, path, pattern), "piece").select("block", "place", "n")
-    counts = materialize(counts, "token-pieces")
+    counts = materialize(piece_counts(pieces, path, pattern), "token-pieces")
     release(docs.sparkSession)
     rows = table.where("pieces is null").select("block", "doc_id", "n_bytes", "n_added", "places", "often")
     out = rows.groupBy("block").cogroup(counts.groupBy("block")) \

@@ -19,6 +19,7 @@ from ..operators import ticks as T
 from ..session import scratch_path
 from ..sources import convert as V
 from ..sources import files as S
+from ..sources import named_files as N
 from ..sources import sinks as W
 from . import fixtures as X
 from .registry import TK, WIN, WKEY, register
@@ -85,6 +86,21 @@ def q_csv_sink_roundtrip(spark, sf):
         .select("symbol", F.col("DateTime_ts").alias("DateTime"), "Bid", "Ask")
 
 
+@register("named_csv_sink", f"""
+SELECT 'raw/' || symbol || '/' || symbol || '_' || {WKEY} || '.csv' AS output_key, count(*) AS n_ticks,
+       min(Bid) AS min_bid, max(Ask) AS max_ask
+FROM {WIN} GROUP BY ALL""")
+def q_named_csv_sink(spark, sf):
+    """One file per symbol and window under the collector's name; written twice, it stays one."""
+    bucket = scratch_path(spark, "bucket")
+    ticks = T.in_windows(X.ticks(spark, sf))
+    for part in (ticks.filter("event_id % 2 = 0"), ticks):   # the second write replaces the files of the first
+        N.write_named_csv(part, bucket, K.RAW_PREFIX)
+    key = F.regexp_extract("source_file", f"({K.RAW_PREFIX}/[^/]+/[^/]+)$", 1)
+    return S.csv_scan(spark, f"{bucket}/{K.RAW_PREFIX}").groupBy(key.alias("output_key")).agg(
+        F.count(F.lit(1)).alias("n_ticks"), F.min("Bid").alias("min_bid"), F.max("Ask").alias("max_ask"))
+
+
 @register("parquet_sink_roundtrip", f"SELECT symbol, DateTime, Bid, Ask FROM {TK}")
 def q_parquet_sink_roundtrip(spark, sf):
     bucket = scratch_path(spark, "bucket")

@@ -10,7 +10,7 @@ from ..session import scratch_path
 from ..streaming import ticks as R
 from ..streaming.collector import Collector
 from . import fixtures as X
-from .registry import TK, WIN, WKEY, register
+from .registry import CAL, TK, WIN, WKEY, register
 
 
 def landed(spark, sf) -> str:
@@ -44,42 +44,93 @@ def q_stream_first_per_second(spark, sf):
     return R.read_first_per_second(spark, sink).select("event_id", "symbol", "DateTime", "Bid", "Ask")
 
 
-@register("stream_collector", f"""
-SELECT symbol, window_key, strftime(DateTime, '%Y-%m-%d %H:%M:%S.%g') AS "DateTime", Bid, Ask FROM (
+def scattered(spark, sf) -> str:
+    """Landed ticks in files of no order of time or symbol, so a stream takes them over several micro-batches."""
+    path = scratch_path(spark, "landing")
+    X.ticks(spark, sf).select(*R.TICK_STREAM_SCHEMA.fieldNames()).repartition(9, F.xxhash64("event_id")) \
+        .write.parquet(path)
+    return path
+
+
+def collected(spark, sf, **kwargs) -> Collector:
+    """A collector that has taken all ticks and was shut down."""
+    c = Collector(spark, scratch_path(spark, "collected"), grace=X.FIXTURE_GRACE, **kwargs)
+    c.run(R.tick_stream(spark, scattered(spark, sf), max_files_per_trigger=3), scratch_path(spark, "collected-ckpt"))
+    c.flush()
+    return c
+
+
+def guarded(spark, sf) -> Collector:
+    """The same, run from a config with the instrument list, weekend rule and job start of the fixtures."""
+    config, listed = scratch_path(spark, "config"), scratch_path(spark, "instruments")
+    X.ticks(spark, sf).select("symbol").distinct().agg(F.sort_array(F.collect_set("symbol")).alias("symbols")) \
+        .coalesce(1).write.json(config)
+    X.instruments(spark, sf).select("symbol", "trade_mode").write.parquet(listed)
+    c = Collector.from_config(spark, scratch_path(spark, "collected"), config, instruments=listed,
+                              weekend_symbols=X.FIXTURE_CRYPTO, since=X.FIXTURE_JOB_START, grace=X.FIXTURE_GRACE)
+    c.run(R.tick_stream(spark, scattered(spark, sf), max_files_per_trigger=3), scratch_path(spark, "collected-ckpt"))
+    c.flush()
+    return c
+
+
+def first_sql(cap: int, where: str = "true") -> str:
+    """The first ``cap`` ticks of each window, one a second, of the changed ticks that satisfy ``where``."""
+    return f"""(SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol, window_key ORDER BY DateTime, event_id) AS nth FROM (
     SELECT *, {WKEY} AS window_key,
            row_number() OVER (PARTITION BY symbol, date_trunc('second', DateTime) ORDER BY DateTime, event_id) AS rn
-    FROM {WIN} WHERE (flags & 6) <> 0) f
-  WHERE rn = 1) g
-WHERE nth <= 600""")
+    FROM {WIN} WHERE (flags & 6) <> 0 AND {where}) f
+  WHERE rn = 1) g WHERE nth <= {cap})"""
+
+
+FILE_ROWS = """symbol, window_key, strftime(DateTime, '%Y-%m-%d %H:%M:%S.%g') AS "DateTime", Bid, Ask"""
+#: What the guards let through: open instruments, crypto on weekends, windows that start after the job.
+GUARDS = """symbol IN ('CLICK', 'VIEW', 'SIGNUP') AND (isodow(loc) < 6 OR symbol IN ('CLICK', 'VIEW'))
+  AND CAST(CAST(loc AS DATE) AS TIMESTAMP) + to_minutes(ws) > TIMESTAMP '2024-01-15 08:30:00'"""
+
+
+@register("stream_collector", f"SELECT {FILE_ROWS} FROM {first_sql(600)} c")
 def q_stream_collector(spark, sf):
-    land = scratch_path(spark, "landing")
-    # files in no order of time or symbol, taken over several micro-batches
-    X.ticks(spark, sf).select(*R.TICK_STREAM_SCHEMA.fieldNames()).repartition(9, F.xxhash64("event_id")) \
-        .write.parquet(land)
-    c = Collector(spark, scratch_path(spark, "collected"))
-    c.run(R.tick_stream(spark, land, max_files_per_trigger=3), scratch_path(spark, "collected-ckpt"))
-    c.flush()
-    return c.read()
+    return collected(spark, sf).read()
 
 
-@register("stream_window_flush", f"SELECT symbol, {WKEY} AS window_key, count(*) AS n_ticks FROM {WIN} GROUP BY ALL")
+@register("stream_window_flush", f"""
+SELECT symbol, window_key, count(*) AS n_ticks, 'ok' AS status FROM {first_sql(600)} c GROUP BY ALL""")
 def q_stream_window_flush(spark, sf):
-    land = landed(spark, sf)
-    sink, q = _run(spark, R.window_counts(R.tick_stream(spark, land)), "stream-windows", with_query=True)
-    R.flush_open_windows(spark, land, sink, watermark=R.last_watermark(q))
-    return R.read_flushed(spark, sink)
+    return collected(spark, sf).coverage()
 
 
-@register("stream_cap", f"""
-SELECT event_id, symbol, window_key FROM (
-  SELECT event_id, symbol, {WKEY} AS window_key,
-         row_number() OVER (PARTITION BY symbol, CAST(loc AS DATE), ws ORDER BY DateTime, event_id) AS rn
-  FROM {WIN}) WHERE rn <= 1""")
+@register("stream_cap", f"SELECT {FILE_ROWS} FROM {first_sql(3)} c")
 def q_stream_cap(spark, sf):
-    s = R.tick_stream(spark, landed(spark, sf))
-    sink = _run(spark, R.cap_per_window(s, cap=X.FIXTURE_CAP), "stream-cap")
-    return spark.read.parquet(sink).select("event_id", "symbol", "window_key")
+    return collected(spark, sf, cap=3).read()
+
+
+@register("stream_guards", f"SELECT {FILE_ROWS} FROM {first_sql(600, GUARDS)} c")
+def q_stream_guards(spark, sf):
+    """Weekend, market, configured symbol and begun window, as guards of the running collector."""
+    return guarded(spark, sf).read()
+
+
+@register("stream_coverage", f"""
+SELECT s.symbol, k.window_key, coalesce(n.n, 0) AS n_ticks,
+       CASE WHEN n.n > 0 THEN 'ok' WHEN isodow(k.local_date) >= 6 AND s.symbol NOT IN ('CLICK', 'VIEW') THEN 'expected_empty'
+            ELSE 'missing' END AS status
+FROM (SELECT DISTINCT symbol FROM {TK} WHERE symbol <> 'PURCHASE') s, {CAL} k
+LEFT JOIN (SELECT symbol, window_key, count(*) AS n FROM {first_sql(600, GUARDS)} c GROUP BY ALL) n
+  ON s.symbol = n.symbol AND k.window_key = n.window_key
+WHERE k.win_start > TIMESTAMP '2024-01-15 08:30:00'
+  AND (n.n > 0 OR k.win_start + INTERVAL 11 MINUTE <= (SELECT max(DateTime) + INTERVAL 2 HOUR FROM {TK}))""")
+def q_stream_coverage(spark, sf):
+    """Windows the collector reported: with ticks, empty as expected, or missing (A10)."""
+    return guarded(spark, sf).coverage()
+
+
+@register("stream_tallies", f"""
+SELECT CAST(count(*) AS BIGINT) AS total_ticks, CAST(count(DISTINCT symbol || window_key) AS BIGINT) AS total_files
+FROM {first_sql(600)} c""")
+def q_stream_tallies(spark, sf):
+    """Ticks and files that the collector counted while it ran."""
+    return collected(spark, sf).tallies()
 
 
 @register("stream_merge", f"SELECT symbol, DateTime, Bid, Ask FROM {TK}")

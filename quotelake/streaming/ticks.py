@@ -1,26 +1,19 @@
-"""Structured Streaming form of the tick pipeline.
+"""Structured Streaming form of the tick pipeline.
 
 The terminal poll loop becomes a file-source stream over a landing folder:
-offsets in the checkpoint replace the per-symbol cursor (R2), the trigger
-replaces the poll interval (R1), watermarks drop late ticks (R7), and
-windows close when the watermark passes their end (R5).  Sinks are the
-exactly-once file sink or ``foreachBatch`` with an idempotent merge (R8).
+offsets in the checkpoint replace the per-symbol cursor (R2) and the trigger
+replaces the poll interval (R1).  Sinks are the exactly-once file sink or
+``foreachBatch`` with an idempotent merge (R8).  Windows, the cap and late
+ticks (R4–R7) are state of ``collector.Collector``.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from .. import constants as K
-from ..functions import columns as C
 from ..operators import gold as G
 from ..operators import ticks as TK
 
@@ -80,16 +73,6 @@ def run_batches(stream: DataFrame, each, checkpoint: str, trigger: str | None =
     return q
 
 
-def last_watermark(query) -> _dt.datetime | None:
-    """Event-time watermark (UTC, naive) of a query's last micro-batch; None if never set."""
-    prog = query.lastProgress if query is not None else None
-    wm = ((prog or {}).get("eventTime") or {}).get("watermark")
-    if not wm:
-        return None
-    t = _dt.datetime.fromisoformat(wm.replace("Z", "+00:00")).astimezone(_dt.timezone.utc).replace(tzinfo=None)
-    return None if t <= _dt.datetime(1970, 1, 1) else t
-
-
 # ------------------------------------------------------------ operators ---
 
 def changes_only(stream: DataFrame) -> DataFrame:
@@ -97,21 +80,6 @@ def changes_only(stream: DataFrame) -> DataFrame:
     return TK.flag_filter(stream)
 
 
-def first_per_second(stream: DataFrame, watermark: str = "2 seconds",
-                     tiebreak: str = "event_id") -> DataFrame:
-    """First tick per (symbol, UTC second) on a stream, emitted when the second closes.
-
-    ``min_by`` over a (time, tie-break) struct is deterministic, unlike
-    arrival-order de-duplication; ticks later than the watermark are dropped.
-    """
-    payload = F.struct(*[F.col(c) for c in stream.columns])
-    s = stream.withColumn("event_ts", C.utc_instant("DateTime")).withWatermark("event_ts", watermark)
-    order = F.struct("DateTime", tiebreak)
-    agg = s.groupBy("symbol", F.window("event_ts", "1 second").alias("sec")) \
-        .agg(F.min_by(payload, order).alias("t"))
-    return agg.select("t.*")
-
-
 def first_per_second_to(stream: DataFrame, sink: str, checkpoint: str, tiebreak: str = "event_id",
                         trigger: str | None = None):
     """Land the first tick per (symbol, UTC second) of each micro-batch under ``sink/epoch=N``.
@@ -132,145 +100,6 @@ def read_first_per_second(spark: SparkSession, sink: str, schema: T.StructType =
     return TK.first_per_second(spark.read.schema(schema).parquet(sink), order=("DateTime", tiebreak))
 
 
-def window_counts(stream: DataFrame, watermark: str = "1 minute", windows=K.COLLECTION_WINDOWS,
-                  zone: str = K.LOCAL_ZONE) -> DataFrame:
-    """Ticks per symbol and 10-minute collection window, emitted on window close.
-
-    The windows are 10 minutes long and start on a 10-minute boundary in a
-    whole-hour zone, so they coincide with tumbling ``window(ts, '10 minutes')``.
-    """
-    tagged = TK.in_windows(stream, "DateTime", windows, zone) \
-        .withColumn("event_ts", C.utc_instant("DateTime"))
-    agg = tagged.withWatermark("event_ts", watermark) \
-        .groupBy("symbol", F.window("event_ts", "10 minutes").alias("w")) \
-        .agg(F.count(F.lit(1)).alias("n_ticks"))
-    return with_window_key(agg)
-
-
-def with_window_key(agg: DataFrame) -> DataFrame:
-    local = C.to_local(C.utc_wallclock(F.col("w.start")))
-    return agg.select("symbol", C.window_key(F.to_date(local), C.minute_of_day(local)).alias("window_key"),
-                      "n_ticks")
-
-
-def flush_open_windows(spark: SparkSession, landing: str, sink: str,
-                       schema: T.StructType = TICK_STREAM_SCHEMA, fmt: str = "parquet",
-                       windows=K.COLLECTION_WINDOWS, zone: str = K.LOCAL_ZONE,
-                       watermark: _dt.datetime | None = None) -> None:
-    """Emit windows the stream still holds open at shutdown.
-
-    Append mode withholds windows the watermark has not passed; a batch
-    pass over the landed ticks counts them and appends those not yet in
-    the sink.  Given the stream's last ``watermark`` (``last_watermark``),
-    every window ending by then was emitted already, so only ticks from one
-    window length before it are read (a range filter pushed to the scan)
-    instead of the whole landing history.
-    """
-    ticks = spark.read.schema(schema).format(fmt).load(landing)
-    if watermark is not None:
-        longest = max((eh * 60 + em) - (sh * 60 + sm) for sh, sm, eh, em in windows)
-        since = watermark - _dt.timedelta(minutes=longest)
-        ticks = ticks.filter(F.col("DateTime") >= F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz"))
-    tagged = TK.in_windows(ticks, "DateTime", windows, zone).withColumn("event_ts", C.utc_instant("DateTime"))
-    counts = with_window_key(tagged.groupBy("symbol", F.window("event_ts", "10 minutes").alias("w"))
-                             .agg(F.count(F.lit(1)).alias("n_ticks")))
-    done = spark.read.parquet(sink).select("symbol", "window_key")
-    # The flush is replaced as a whole, so flushing twice leaves each window once.
-    counts.join(done, ["symbol", "window_key"], "left_anti").write.mode("overwrite").parquet(sink + "_flushed")
-
-
-def read_flushed(spark: SparkSession, sink: str) -> DataFrame:
-    """Stream output plus the shutdown flush; a window the resumed stream emitted counts from there."""
-    out = spark.read.parquet(sink)
-    try:
-        flushed = spark.read.parquet(sink + "_flushed")
-        return out.unionByName(flushed.join(out.select("symbol", "window_key"), ["symbol", "window_key"], "left_anti"))
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return out
-        raise
-
-
-CAP_STATE = "n long"
-
-
-def _first_per_partition(cap: int, order, keys):
-    """Per input partition, keep the first ``cap`` rows of each group by ``order``.
-
-    Stateless, so it may run before a stateful operator; memory is bounded
-    by ``cap`` rows per group seen in the partition.
-    """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            both = pdf if best is None else pd.concat([best, pdf], ignore_index=True)
-            best = both.sort_values(list(order), kind="stable").groupby(list(keys), sort=False).head(cap)
-        if best is not None and len(best):
-            yield best
-    return run
-
-
-def cap_per_window(stream: DataFrame, cap: int = K.MAX_TICKS_PER_WINDOW, watermark: str = "1 minute",
-                   tiebreak: str = "event_id", windows=K.COLLECTION_WINDOWS,
-                   zone: str = K.LOCAL_ZONE) -> DataFrame:
-    """First ``cap`` ticks per (symbol, window) on a stream.
-
-    State per group is one counter; each micro-batch keeps at most the
-    remaining allowance, taking the earliest ticks by (time, tie-break)
-    chunk by chunk so memory stays bounded by the cap.  The state is
-    dropped once the watermark passes the window's end.  Rows emitted by an
-    earlier micro-batch are final: like the live collector, the cap keeps
-    the first ticks to *arrive*, ordered by time within each micro-batch.
-
-    Before the shuffle into the state function, a stateless pass keeps only
-    the first ``cap`` ticks per window of each input partition (like Spark's
-    partial WindowGroupLimit): a window's first ``cap`` of the micro-batch
-    always survive it, so results are unchanged, and a hot window reaches
-    its task as at most ``cap`` rows per input partition.
-    """
-    tagged = TK.in_windows(stream, "DateTime", windows, zone) \
-        .withColumn("win_end_ms", C.epoch_ms(C.to_utc(C.window_start_ts(
-            "local_date", C.window_end_min("win_start_min", windows)), zone)))
-    cols = [c for c in stream.columns] + ["window_key", "win_end_ms"]
-    out_schema = T.StructType([f for f in tagged.schema.fields if f.name in cols])
-    out_schema = T.StructType([out_schema[c] for c in cols])
-
-    def keep_first(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        n = state.get[0] if state.exists else 0
-        left = cap - n
-        best = None
-        end_ms = None
-        for pdf in pdfs:
-            end_ms = int(pdf["win_end_ms"].iloc[0])
-            if left <= 0:
-                continue
-            chunk = pdf.sort_values(["DateTime", tiebreak]).head(left)
-            best = chunk if best is None else \
-                pd.concat([best, chunk]).sort_values(["DateTime", tiebreak]).head(left)
-        if best is not None and len(best):
-            state.update((n + len(best),))
-            yield best[cols]
-        elif not state.exists:
-            state.update((n,))
-        if end_ms is not None:
-            # A late tick may come after its window's end has passed the
-            # watermark; a timeout must lie beyond it.
-            state.setTimeoutTimestamp(max(end_ms, state.getCurrentWatermarkMs() + 1))
-
-    rows = tagged.select(*cols, C.utc_instant("DateTime").alias("event_ts"))
-    rows = rows.mapInPandas(_first_per_partition(cap, ("DateTime", tiebreak), ("symbol", "window_key")),
-                            rows.schema)
-    return rows.withWatermark("event_ts", watermark) \
-        .groupBy("symbol", "window_key") \
-        .applyInPandasWithState(keep_first, out_schema, CAP_STATE, "append",
-                                GroupStateTimeout.EventTimeTimeout)
-
-
 def merge_stream_into_gold(stream: DataFrame, table, checkpoint: str, spread: bool = False,
                            trigger: str | None = None, quarantine: str | None = None) -> None:
     """Idempotent merge of each micro-batch into a gold table.

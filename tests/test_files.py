@@ -145,3 +145,34 @@ def test_corrected_file_is_converted_again(spark, scratch):
     st = {r.path.rsplit("/", 1)[1]: r.status for r in V.csv_to_parquet(spark, root, root).collect()}
     assert st == {"BTCUSD_20260306_0750.csv": "skipped", "ETHUSD_20260306_0750.csv": "converted"}
     assert {r.Bid for r in S.raw_scan(spark, root).filter("symbol = 'ETHUSD'").collect()} == {1.5, 1.7, 2.5}
+
+
+def test_named_files_after_a_killed_and_repeated_write(spark, scratch):
+    from quotelake.sources import named_files as N
+    root = scratch("named")
+    df = spark.createDataFrame([("2026-03-06 05:50:01.123", 1.0 + k, None if k == 1 else 1.1, s, key) for k in range(3)
+                                for s in ("a", "A", "eurusd.m", None) for key in ("20260306_0750", "20260306_1350")],
+                               "DateTime string, Bid double, Ask double, symbol string, window_key string")
+    keys = [f"{s}/{s}_20260306_{h}.csv" for s in ("A", "EURUSD.M") for h in ("0750", "1350")]
+
+    class Killed(Exception):
+        pass
+
+    writer = N.TickFileWriter(root, "raw", "epoch-3")
+    rows = [("A", "20260306_0750", "2026-03-06 05:50:09.000", 9.0, 9.0), ("A", "20260306_1350", "2026-03-06 11:50:09.000", 9.0, 9.0)]
+    lost = writer.write(iter(rows))                          # a task that was run twice, then the job died
+    writer.write(iter(rows))
+    assert len(lost.moves) == 2 and S.list_files(spark, f"{root}/raw").count() == 0
+    for _ in range(2):
+        N.write_named_csv(df, root, job="epoch-3")
+    paths = [r.path for r in S.list_files(spark, f"{root}/raw").collect()]
+    assert [p.split("/raw/")[1] for p in paths] == keys
+    assert not os.path.exists(os.path.join(local_path(root), "raw", "_staging"))
+    back = S.csv_scan(spark, f"{root}/raw")
+    assert back.count() == 18 and back.where("_corrupt is not null").count() == 0
+    assert sorted(r.Bid for r in back.where("symbol = 'A'").collect()) == sorted([1.0, 2.0, 3.0] * 4)
+    with open(os.path.join(local_path(root), "raw", keys[0])) as f:
+        assert f.readline() == "DateTime,Bid,Ask\n" and f.readline().count(",") == 2
+    writer = N.TickFileWriter(root, "raw", "other")
+    writer.abort([writer.write(iter(rows))])                 # an aborted job leaves the files as they were
+    assert [r.path for r in S.list_files(spark, f"{root}/raw").collect()] == paths

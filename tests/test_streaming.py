@@ -1,11 +1,8 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from quotelake.operators import gold as G
 from quotelake.operators import ticks as T
 from quotelake.streaming import ticks as R
-from quotelake.streaming.collector import Collector
 
 BASE = dt.datetime(2024, 1, 2, 5, 50, 0)                      # 07:50 local
 
@@ -25,34 +22,6 @@ def _land(spark, scratch, rows, parts=4):
     return path
 
 
-def test_stream_first_per_second_equals_batch_on_closed_seconds(spark, scratch):
-    rows = _ticks()
-    land = _land(spark, scratch, rows)
-    sink = scratch("fps")
-    R.run_to_parquet(R.first_per_second(R.tick_stream(spark, land), "2 seconds"), sink, scratch("ck"))
-    got = {r.event_id for r in spark.read.parquet(sink).collect()}
-    batch = T.first_per_second(spark.createDataFrame(rows, R.TICK_STREAM_SCHEMA), order=("DateTime", "event_id"))
-    max_ts = max(r[2] for r in rows)
-    closed = batch.filter(F.date_trunc("second", "DateTime") + F.expr("INTERVAL 1 SECOND")
-                          <= F.lit(max_ts - dt.timedelta(seconds=2)))
-    assert got == {r.event_id for r in closed.collect()} and len(got) > 0
-
-
-def test_stream_cap_keeps_first_per_window(spark, scratch):
-    rows = _ticks()
-    land = scratch("landing")
-    for k in range(4):                                        # ticks arrive in time order, one slice per file
-        spark.createDataFrame(rows[k * 100:(k + 1) * 100], R.TICK_STREAM_SCHEMA).coalesce(1) \
-            .write.mode("append").parquet(land)
-    sink = scratch("cap")
-    R.run_to_parquet(R.cap_per_window(R.tick_stream(spark, land, max_files_per_trigger=1), cap=5),
-                     sink, scratch("ck"))
-    got = sorted(r.event_id for r in spark.read.parquet(sink).collect())
-    want = sorted([r[0] for r in sorted((r for r in rows if r[1] == s), key=lambda r: (r[2], r[0]))[:5]]
-                  for s in ("A", "B"))
-    assert got == sorted(sum(want, []))
-
-
 def test_stream_merge_replay_inserts_nothing_twice(spark, scratch):
     rows = _ticks(100)
     land = _land(spark, scratch, rows)
@@ -63,62 +32,6 @@ def test_stream_merge_replay_inserts_nothing_twice(spark, scratch):
     assert n == 100 and t.read().count() == 100
 
 
-def test_window_flush_reads_only_after_watermark(spark, scratch):
-    rows = _ticks(2400)                                       # 10 minutes of ticks: 07:50 window
-    late = BASE + dt.timedelta(hours=6)                       # 13:50 local: second window
-    rows += [(10_000 + i, "A", late + dt.timedelta(seconds=i), 0, 6, 1.0, 1.1) for i in range(30)]
-    land = _land(spark, scratch, rows)
-    sink = scratch("win")
-    q = R.run_to_parquet(R.window_counts(R.tick_stream(spark, land)), sink, scratch("ck"))
-    wm = R.last_watermark(q)
-    assert wm is not None and wm > BASE
-    emitted = {(r.symbol, r.window_key) for r in spark.read.parquet(sink).collect()}
-    R.flush_open_windows(spark, land, sink, watermark=wm)
-    got = {(r.symbol, r.window_key): r.n_ticks for r in R.read_flushed(spark, sink).collect()}
-    assert got == {("A", "20240102_0750"): 1200, ("B", "20240102_0750"): 1200, ("A", "20240102_1350"): 30}
-    assert ("A", "20240102_1350") not in emitted              # held open by the stream, flushed after
-
-
-def test_stream_cap_hot_window_one_batch_equals_batch_cap(spark, scratch):
-    rows = [(i, "HOT", BASE + dt.timedelta(milliseconds=(i * 7919) % 600_000), 0, 6, 1.0, 1.1)
-            for i in range(4000)]                             # one window, shuffled over 8 files
-    land = _land(spark, scratch, rows, parts=8)
-    sink = scratch("cap")
-    R.run_to_parquet(R.cap_per_window(R.tick_stream(spark, land), cap=25), sink, scratch("ck"))
-    got = sorted(r.event_id for r in spark.read.parquet(sink).collect())
-    batch = T.cap_per_window(T.in_windows(spark.createDataFrame(rows, R.TICK_STREAM_SCHEMA)),
-                             cap=25, order=("DateTime", "event_id"))
-    assert got == sorted(r.event_id for r in batch.collect()) and len(got) == 25
-
-
-def test_stream_cap_survives_a_late_tick(spark, scratch):
-    rows = _ticks(40)
-    land, sink = scratch("landing"), scratch("cap")
-    later = [(500 + i, "A", BASE + dt.timedelta(hours=6, seconds=i), 0, 6, 1.0, 1.1) for i in range(5)]
-    late = [(900, "C", BASE + dt.timedelta(seconds=3), 0, 6, 1.0, 1.1)]
-    stream = lambda: R.cap_per_window(R.tick_stream(spark, land, max_files_per_trigger=1), cap=3)
-    for part in (rows, later, late):
-        spark.createDataFrame(part, R.TICK_STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(land)
-        R.run_to_parquet(stream(), sink, land + "-ck")
-    got = {r.event_id for r in spark.read.parquet(sink).collect()}
-    assert {500, 501, 502} <= got and len(got & {r[0] for r in rows}) == 6
-
-
-def test_flush_twice_and_resume_gives_each_window_once(spark, scratch):
-    land = _land(spark, scratch, _ticks(100))
-    sink, ck = scratch("win"), scratch("ck")
-    run = lambda: R.run_to_parquet(R.window_counts(R.tick_stream(spark, land)), sink, ck)
-    q = run()
-    for _ in range(2):
-        R.flush_open_windows(spark, land, sink, watermark=R.last_watermark(q))
-    late = [(9000, "A", BASE + dt.timedelta(hours=6), 0, 6, 1.0, 1.1)]
-    spark.createDataFrame(late, R.TICK_STREAM_SCHEMA).write.mode("append").parquet(land)
-    run()
-    run()
-    got = [(r.symbol, r.window_key) for r in R.read_flushed(spark, sink).collect()]
-    assert len(got) == len(set(got)) and {("A", "20240102_0750"), ("B", "20240102_0750")} <= set(got)
-
-
 def test_stream_merge_quarantines_null_keys(spark, scratch):
     rows = _ticks(20) + [(100, None, BASE, 0, 6, 1.0, 1.1), (101, "A", None, 0, 6, 1.0, 1.1)]
     t, bad = G.gold_table(spark, scratch("gold")), scratch("bad")
@@ -126,50 +39,6 @@ def test_stream_merge_quarantines_null_keys(spark, scratch):
     assert t.read().count() == 20 and spark.read.parquet(bad).count() == 2
 
 
-def _drain(c, spark, land, ck):
-    c.run(R.tick_stream(spark, land, max_files_per_trigger=1), ck)
-
-
-def test_collector_loses_nothing_of_a_slow_symbol(spark, scratch):
-    land, ck = scratch("landing"), scratch("ck")
-    c = Collector(spark, scratch("root"), cap=30, windows=((7, 45, 8, 15), (13, 50, 14, 0)))
-    end = [(5000, s, BASE + dt.timedelta(hours=7), 0, 6, 1.0, 1.1) for s in ("A",)]    # A passes all windows
-    parts = [[r for r in _ticks(200) if r[1] == "A"], end, [r for r in _ticks(200) if r[1] == "B"],
-             [(6000, "A", BASE - dt.timedelta(seconds=1), 0, 6, 9.0, 9.1),             # late, in a published window
-              (6001, "A", BASE, 0, 1, 7.0, 7.1), (6002, None, BASE, 0, 6, 1.0, 1.1), (6003, "A", None, 0, 6, 1.0, 1.1)]]
-    every = []
-    for part in parts:
-        every += part
-        spark.createDataFrame(part, R.TICK_STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(land)
-        _drain(c, spark, land, ck)
-    published = {(r.symbol, r.window_key) for r in c.read().collect()}
-    assert published == {("A", "20240102_0745")}                                       # B has not passed its window
-    c.flush()
-    c.flush()
-    _drain(c, spark, land, ck)                                                         # resumed, nothing new
-    got = sorted(tuple(r) for r in c.read().select("symbol", "window_key", "DateTime", "Bid").collect())
-    first = {}
-    for r in sorted((r for r in every if r[1] and r[2] and r[4] & 6 and r[0] != 5000), key=lambda r: (r[2], r[0])):
-        first.setdefault((r[1], r[2].replace(microsecond=0)), r)
-    want = []
-    for s in "AB":
-        mine = sorted((r for k, r in first.items() if k[0] == s), key=lambda r: (r[2], r[0]))[:30]
-        want += [(s, "20240102_0745", r[2].strftime("%Y-%m-%d %H:%M:%S.") + f"{r[2].microsecond // 1000:03d}", r[5])
-                 for r in mine]
-    assert got == sorted(want)
-
-
-def test_collector_replayed_epoch_changes_nothing(spark, scratch):
-    c = Collector(spark, scratch("root"))
-    rows = spark.createDataFrame(_ticks(200) + [(9000, "A", BASE + dt.timedelta(hours=1), 0, 6, 1.0, 1.1)],
-                                 R.TICK_STREAM_SCHEMA)
-    c.batch(rows.where("event_id % 2 = 0"), 0)
-    c.batch(rows, 1)
-    once = sorted(map(str, c.read().collect()))
-    c.batch(rows, 1)
-    assert sorted(map(str, c.read().collect())) == once and len(once) == 50
-
-
 def test_first_per_second_over_epochs_equals_batch(spark, scratch):
     rows = _ticks()
     land, sink = _land(spark, scratch, rows), scratch("fps")

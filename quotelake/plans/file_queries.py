@@ -141,6 +141,27 @@ def q_csv_to_parquet_stream(spark, sf):
                                                "n_rows", "n_bad")
 
 
+@register("stream_readmission", f"""
+SELECT symbol, {FILE_KEY_SQL} AS file_key, 'converted' AS status, date_trunc('millisecond', DateTime) AS DateTime, Bid, Ask
+FROM {TK}""")
+def q_stream_readmission(spark, sf):
+    """The stream converts all files, one of them fails; it is corrected in place and the next run takes it again."""
+    bucket, ck = scratch_path(spark, "bucket"), scratch_path(spark, "convert-ckpt")
+    tk = X.ticks(spark, sf).withColumn("window_key", F.date_format("DateTime", "yyyyMMdd_0000"))
+    bad = F.when(F.col("event_id") == BAD_EVENT_ID, F.lit(BAD_TEXT)).otherwise(C.ts_text("DateTime"))
+    N.write_named_csv(tk.withColumn("DateTime", bad), bucket)
+    V.csv_to_parquet_stream(spark, bucket, bucket, ck, max_files_per_trigger=256)
+    failed = V.last_versions(V.read_ledger(spark, bucket)).where("status = 'failed'").select(
+        F.regexp_extract("source_file", r"([^/]+)_(\d{8}_\d{4})\.csv$", 1).alias("symbol"),
+        F.regexp_extract("source_file", r"([^/]+)_(\d{8}_\d{4})\.csv$", 2).alias("window_key"))
+    N.write_named_csv(tk.join(failed, ["symbol", "window_key"], "left_semi"), bucket)
+    V.csv_to_parquet_stream(spark, bucket, bucket, ck)
+    status = V.last_versions(V.read_ledger(spark, bucket)).select("source_file", "status")
+    return V.read_converted(spark, bucket).join(status, "source_file").select(
+        "symbol", F.regexp_extract("source_file", r"([^/]+_\d{8})_\d{4}\.csv$", 1).alias("file_key"), "status",
+        "DateTime", "Bid", "Ask")
+
+
 @register("raw_scan", f"""
 SELECT symbol, DateTime, Bid, Ask FROM (SELECT symbol, {PARSED_SQL} AS DateTime, Bid, Ask FROM {TK})
 WHERE DateTime IS NOT NULL""")
@@ -159,7 +180,7 @@ def q_path_symbol(spark, sf):
 SELECT symbol, '{BAD_TEXT}' AS DateTime_text, Bid, Ask FROM {TK} WHERE event_id = {BAD_EVENT_ID}""")
 def q_quarantine(spark, sf):
     bucket, _ = converted(spark, sf)
-    return spark.read.parquet(V.quarantine_path(bucket)).select("symbol", "DateTime_text", "Bid", "Ask")
+    return V.read_quarantine(spark, bucket).select("symbol", "DateTime_text", "Bid", "Ask")
 
 
 @register("conversion_summary", f"""

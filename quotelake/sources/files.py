@@ -93,7 +93,7 @@ def tick_rows(df: DataFrame, prefix: str = K.RAW_PREFIX) -> DataFrame:
     return df.select(
         "DateTime", "Bid", "Ask", CORRUPT_COL,
         C.parse_ts_text("DateTime").alias("DateTime_ts"),
-        F.upper(C.path_symbol(fp, prefix)).alias("symbol"),
+        F.upper(C.path_symbol(C.normalize_path(fp), prefix, encoded=False)).alias("symbol"),
         C.normalize_path(fp).alias("source_file"),
     )
 
@@ -107,7 +107,7 @@ def raw_scan(spark: SparkSession, root: str, prefix: str = K.PARQUET_PREFIX) ->
     df = spark.read.schema(RAW_TICK_SCHEMA).option("recursiveFileLookup", "true") \
         .parquet(f"{root.rstrip('/')}/{prefix}")
     return df.select("DateTime", "Bid", "Ask",
-                     F.upper(C.path_symbol(F.col("_metadata.file_path"), prefix)).alias("symbol"))
+                     F.upper(C.path_symbol(C.normalize_path(F.col("_metadata.file_path")), prefix, encoded=False)).alias("symbol"))
 
 
 def list_tick_tables(spark: SparkSession, prefix: str = K.TABLE_PREFIX) -> DataFrame:

@@ -144,7 +144,9 @@ def test_corrected_file_is_converted_again(spark, scratch):
     _put(root, "raw/ETHUSD/ETHUSD_20260306_0750.csv", GOOD)
     st = {r.path.rsplit("/", 1)[1]: r.status for r in V.csv_to_parquet(spark, root, root).collect()}
     assert st == {"BTCUSD_20260306_0750.csv": "skipped", "ETHUSD_20260306_0750.csv": "converted"}
-    assert {r.Bid for r in S.raw_scan(spark, root).filter("symbol = 'ETHUSD'").collect()} == {1.5, 1.7, 2.5}
+    # the corrected version stands in place of the good rows of the failed one
+    assert sorted(r.Bid for r in V.read_converted(spark, root).filter("symbol = 'ETHUSD'").collect()) == [1.5, 1.7]
+    assert V.read_quarantine(spark, root).count() == 0
 
 
 def test_named_files_after_a_killed_and_repeated_write(spark, scratch):
@@ -155,13 +157,10 @@ def test_named_files_after_a_killed_and_repeated_write(spark, scratch):
                                "DateTime string, Bid double, Ask double, symbol string, window_key string")
     keys = [f"{s}/{s}_20260306_{h}.csv" for s in ("A", "EURUSD.M") for h in ("0750", "1350")]
 
-    class Killed(Exception):
-        pass
-
     writer = N.TickFileWriter(root, "raw", "epoch-3")
-    rows = [("A", "20260306_0750", "2026-03-06 05:50:09.000", 9.0, 9.0), ("A", "20260306_1350", "2026-03-06 11:50:09.000", 9.0, 9.0)]
-    lost = writer.write(iter(rows))                          # a task that was run twice, then the job died
-    writer.write(iter(rows))
+    lines = [("A", "20260306_0750", "2026-03-06 05:50:09.000", 9.0, 9.0), ("A", "20260306_1350", "2026-03-06 11:50:09.000", 9.0, 9.0)]
+    lost = writer.write(iter(lines))                          # a task that was run twice, then the job died
+    writer.write(iter(lines))
     assert len(lost.moves) == 2 and S.list_files(spark, f"{root}/raw").count() == 0
     for _ in range(2):
         N.write_named_csv(df, root, job="epoch-3")
@@ -169,10 +168,93 @@ def test_named_files_after_a_killed_and_repeated_write(spark, scratch):
     assert [p.split("/raw/")[1] for p in paths] == keys
     assert not os.path.exists(os.path.join(local_path(root), "raw", "_staging"))
     back = S.csv_scan(spark, f"{root}/raw")
-    assert back.count() == 18 and back.where("_corrupt is not null").count() == 0
-    assert sorted(r.Bid for r in back.where("symbol = 'A'").collect()) == sorted([1.0, 2.0, 3.0] * 4)
+    rows = back.collect()
+    assert len(rows) == 18 and not any(r._corrupt for r in rows)
+    assert sorted(r.Bid for r in rows if r.symbol == "A") == sorted([1.0, 2.0, 3.0] * 4)
     with open(os.path.join(local_path(root), "raw", keys[0])) as f:
         assert f.readline() == "DateTime,Bid,Ask\n" and f.readline().count(",") == 2
     writer = N.TickFileWriter(root, "raw", "other")
-    writer.abort([writer.write(iter(rows))])                 # an aborted job leaves the files as they were
+    writer.abort([writer.write(iter(lines))])                 # an aborted job leaves the files as they were
     assert [r.path for r in S.list_files(spark, f"{root}/raw").collect()] == paths
+
+
+def _ledger(spark, root):
+    return {r.source_file.rsplit("/", 1)[1]: (r.status, r.n_rows, r.n_bad) for r in V.last_versions(V.read_ledger(spark, root)).collect()}
+
+
+def test_stream_takes_a_corrected_file_again(spark, scratch):
+    import time
+    root, ck = _landing(scratch), scratch("ck")
+    _put(root, "raw/US30/US30_20260306_0750.csv", "DateTime,Bid,Ask\n")                # a file without ticks
+    V.csv_to_parquet_stream(spark, root, root, ck)
+    assert _ledger(spark, root)["ETHUSD_20260306_0750.csv"] == ("failed", 4, 3)
+    assert _ledger(spark, root)["US30_20260306_0750.csv"] == ("converted", 0, 0)
+    with pytest.raises(RuntimeError):
+        V.csv_to_parquet_stream(spark, root, root, ck, fail_on_error=True)             # nothing new, still failed
+    time.sleep(0.05)
+    _put(root, "raw/ETHUSD/ETHUSD_20260306_0750.csv", GOOD)
+    V.csv_to_parquet_stream(spark, root, root, ck, fail_on_error=True)
+    assert _ledger(spark, root)["ETHUSD_20260306_0750.csv"] == ("converted", 2, 0)
+    got = sorted((r.symbol, r.Bid) for r in V.read_converted(spark, root).collect())
+    assert got == [("BTCUSD", 1.5), ("BTCUSD", 1.7), ("ETHUSD", 1.5), ("ETHUSD", 1.7)]
+    assert V.read_quarantine(spark, root).count() == 0 and V.read_ledger(spark, root).count() == 4
+
+
+def test_replayed_conversion_changes_nothing(spark, scratch):
+    root, ck = _landing(scratch), scratch("ck")
+    V.csv_to_parquet_stream(spark, root, root, ck, max_files_per_trigger=1)
+    data = lambda: (sorted(map(str, S.raw_scan(spark, root).collect())), sorted(map(str, V.read_converted(spark, root).collect())),
+                    sorted(map(str, V.read_quarantine(spark, root).collect())), _ledger(spark, root),
+                    V.read_ledger(spark, root).count(), spark.read.parquet(V.quarantine_path(root)).count())
+    once = data()
+    assert len(once[0]) == 3 and len(once[2]) == 3
+    commits = os.path.join(local_path(ck), "commits")
+    last = max((n for n in os.listdir(commits) if n.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):                      # as if the last micro-batch had died before its commit
+        os.remove(os.path.join(commits, name))
+    V.csv_to_parquet_stream(spark, root, root, ck)
+    assert data() == once
+    # a batch that died before its ledger row: its rows lie there and are not seen
+    rows = S.csv_scan(spark, f"{root}/raw").withColumn("modified", F.lit(1).cast("bigint"))
+    good, _ = V.split_quarantine(rows)
+    good.select(F.col("DateTime_ts").alias("DateTime"), "Bid", "Ask", "source_file", "modified", "symbol", F.lit("died-7").alias("batch")) \
+        .write.mode("append").partitionBy("symbol", "batch").parquet(f"{root}/Training Batch")
+    assert S.raw_scan(spark, root).count() > 3 and data()[1:] == once[1:]
+
+
+def test_stream_lines_are_parsed_like_the_file_scan(spark, scratch):
+    root = scratch("bucket")
+    odd = BAD + '2026-03-06 05:50:05.000,,\n\n  \n"2026-03-06 05:50:06.000",1.0,2.0\r\n2026-03-06 05:50:07.000,1.0\nlast,3.0,4.0'
+    _put(root, "raw/A%20 B+c/A_20260306_0750.csv", odd)
+    V.csv_to_parquet_stream(spark, root, root, scratch("ck"))
+    scan = S.csv_scan(spark, f"{root}/raw").persist()
+    good, bad = V.split_quarantine(scan)
+    cols = ["DateTime", "Bid", "Ask", "symbol", "source_file"]
+    want = good.withColumn("DateTime", F.col("DateTime_ts")).select(*cols)
+    assert sorted(map(str, V.read_converted(spark, root).select(*cols).collect())) == sorted(map(str, want.collect()))
+    assert V.read_quarantine(spark, root).count() == bad.count() > 3
+    assert {r.source_file for r in V.read_ledger(spark, root).collect()} == {r.path for r in S.list_files(spark, f"{root}/raw").collect()}
+
+
+def test_landed_offsets_and_limits(tmp_path):
+    from quotelake.sources.landing import LandedReader
+    for k in range(5):
+        p = tmp_path / f"s{k % 2}" / f"f{k}.csv"
+        p.parent.mkdir(exist_ok=True)
+        p.write_text("DateTime,Bid,Ask\n" + f"t,{k},1\n" * 3)
+        os.utime(p, ns=(1_700_000_000_000_000_000 + (k // 2) * 1_000_000_000,) * 2)     # pairs of equal time
+    (tmp_path / "_staging").mkdir()
+    (tmp_path / "_staging" / "x.csv").write_text("h\nhidden\n")
+    reader, seen, at = LandedReader(str(tmp_path), ".csv", 2, 0, 10), [], None
+    start = reader.initialOffset()
+    for _ in range(4):
+        end = reader.latestOffset()
+        for part in reader.partitions(start, end):
+            for b in reader.read(part):
+                seen += [(r["path"][-6:], r["line"]) for r in b.to_pylist() if r["line"]]
+        reader, start = LandedReader(str(tmp_path), ".csv", 2, 0, 10), end
+        assert reader.partitions(end, end) == []              # how a restarted query tells its offset
+    assert seen == [(f"f{k}.csv", f"t,{k},1") for k in (0, 1, 2, 3, 4) for _ in range(3)]
+    assert reader.latestOffset() == end
+    waiting = LandedReader(str(tmp_path), ".csv", 9, 10 ** 12, 10)
+    assert waiting.latestOffset() == waiting.initialOffset()  # nothing has settled

@@ -160,14 +160,16 @@ def flag_change(flags) -> Column:
         else flags.bitwiseAND(K.FLAG_BID | K.FLAG_ASK) != 0
 
 
-def normalize_path(c) -> Column:
+def normalize_path(c, encoded: bool = True) -> Column:
     """Percent-decoded path without the scheme's empty authority.
 
-    ``_metadata.file_path`` is percent-encoded while file listings are not;
-    decode ``%xx`` only (a literal ``+`` stays a plus) and turn ``file:///``
-    into ``file:/`` so both spellings compare equal.
+    ``_metadata.file_path`` is percent-encoded while file listings are not
+    (``encoded=False``); decode ``%xx`` only (a literal ``+`` stays a plus),
+    turn ``file:///`` into ``file:/`` and give a plain local path its scheme,
+    so all spellings compare equal.
     """
-    decoded = F.url_decode(F.regexp_replace(_c(c), r"\+", "%2B"))
+    path = F.url_decode(F.regexp_replace(_c(c), r"\+", "%2B")) if encoded else _c(c)
+    decoded = F.when(path.startswith("/"), F.concat(F.lit("file:"), path)).otherwise(path)
     return F.regexp_replace(decoded, r"^([a-zA-Z][a-zA-Z0-9+.-]*):///", "$1:/")
 
 

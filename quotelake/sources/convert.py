@@ -143,13 +143,7 @@ def line_rows(lines: DataFrame, raw_prefix: str = K.RAW_PREFIX) -> DataFrame:
     rows = lines.where("line is not null").select("path", "modified", parsed.alias("r")).select("path", "modified", "r.*")
     return rows.select("DateTime", "Bid", "Ask", S.CORRUPT_COL, C.parse_ts_text("DateTime").alias("DateTime_ts"),
                        F.upper(C.path_symbol("path", raw_prefix, encoded=False)).alias("symbol"),
-                       C.normalize_path(_encoded("path")).alias("source_file"), "modified")
-
-
-def _encoded(path: str):
-    """A plain path as a listing names it, ready for ``normalize_path`` (which decodes %xx)."""
-    plain = F.regexp_replace(F.col(path), "%", "%25")
-    return F.when(plain.startswith("/"), F.concat(F.lit("file:"), plain)).otherwise(plain)
+                       C.normalize_path("path", encoded=False).alias("source_file"), "modified")
 
 
 def csv_to_parquet_stream(spark: SparkSession, landing_root: str, out_root: str, checkpoint: str,
@@ -170,7 +164,7 @@ def csv_to_parquet_stream(spark: SparkSession, landing_root: str, out_root: str,
     def each(batch: DataFrame, epoch: int) -> None:
         lines = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            files = lines.where("line is null").select(C.normalize_path(_encoded("path")).alias("source_file"), "modified")
+            files = lines.where("line is null").select(C.normalize_path("path", encoded=False).alias("source_file"), "modified")
             rows = line_rows(lines, raw_prefix)
             write_converted(rows, files, out_root, parquet_prefix, _now(), f"{name}-{epoch}")
         finally:

@@ -60,8 +60,8 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
     """Files below ``root`` matching ``glob`` (case-sensitive), ordered by path (S3, L4).
 
     Only ``path``, ``length`` and ``modificationTime`` are selected, so the
-    ``content`` column is pruned and no file body is read.  ``path`` is
-    normalised (percent-decoded) so it compares equal to scan paths.
+    ``content`` column is pruned and no file body is read.  ``path`` compares
+    equal to the scans' ``source_file``.
     """
     try:
         df = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
@@ -70,7 +70,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return spark.createDataFrame([], "path string, length long, modificationTime timestamp")
         raise
-    return df.select(C.normalize_path("path").alias("path"), "length", "modificationTime").orderBy("path")
+    return df.select(C.normalize_path("path", encoded=False).alias("path"), "length", "modificationTime").orderBy("path")
 
 
 def csv_scan(spark: SparkSession, paths, prefix: str = K.RAW_PREFIX) -> DataFrame:

@@ -1,20 +1,22 @@
 """Idempotent insert-only merge of new ticks into a curated table.
 
-The key of a tick is ``(DateTime, symbol)``.  Both sides of every anti
-join are de-duplicated on the full key (map-side first, so a key repeated
-many times is collapsed before the shuffle) and hash-partitioned on it, so
-a symbol holding a third of all rows still spreads over many tasks and the
-join reuses the de-duplication's partitioning.  When the target is partitioned
-(e.g. by ``symbol, year``) it is first cut to what the source can match:
+The key of a tick is ``(DateTime, symbol)``.  The source is read once: its
+distinct rows are written to the shared checkpoint folder, and everything
+below works on them.  Then the target is cut to what they can match, before
+any of it is shuffled:
 
 * the partitions the source touches — a literal partition filter when
   they are few (static partition pruning, nothing of the other partitions
   is listed or read), else a size-checked semi join;
 * the source's key-time range — a plain range filter that Parquet uses to
-  skip row groups, so an ingest of recent ticks does not read history.
-
-Both come from one aggregate over the source, materialised with a reliable
-checkpoint; its size is checked before anything of it reaches the driver.
+  skip row groups, so an ingest of recent ticks does not read history;
+* a bitmap of the source's keys (``sketch``), bounded in bytes and broadcast:
+  of the target rows only those that may match reach the shuffle.
+
+The anti join on the full key is exact, needs no distinct target, and spreads
+a symbol that holds a third of all rows over many tasks.  The aggregates on
+the source are materialised, and their size is checked before anything of them
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import sketch
 from .joins import checkpointed, fits
 
 TICK_KEY = ("DateTime", "symbol")
@@ -93,12 +96,23 @@ def prune_target(target: DataFrame, source: DataFrame, partition_cols=(),
     return out.join(F.broadcast(small) if fits(small) else small, keys, "left_semi")
 
 
+def matchable(target: DataFrame, source: DataFrame, keys=TICK_KEY, partition_cols=(), range_col: str | None = None,
+              max_bytes: int = sketch.MAX_BYTES) -> DataFrame:
+    """The keys of target rows that may equal a key of ``source``, which should be materialised."""
+    bits = sketch.bitmap_bits(source.count(), max_bytes)
+    bitmap = checkpointed(sketch.key_bitmap(source, keys, bits))
+    types = dict(source.dtypes)
+    rows = prune_target(target, source, partition_cols, range_col).select(*[F.col(k).cast(types[k]).alias(k) for k in keys])
+    return sketch.may_match(rows, bitmap, keys, bits)
+
+
 def new_keys(source: DataFrame, target: DataFrame, keys=TICK_KEY, partition_cols=(),
-             range_col: str | None = None) -> DataFrame:
+             range_col: str | None = None, max_bytes: int = sketch.MAX_BYTES) -> DataFrame:
     """Distinct source keys absent from the target (A2 + J1)."""
-    src = source.select(*keys).distinct()
-    tgt = prune_target(target, source, partition_cols, range_col).select(*keys).distinct()
-    return src.join(tgt, list(keys), "left_anti")
+    cols = dict.fromkeys([*keys, *partition_cols, *([range_col] if range_col else [])])
+    src = checkpointed(source.select(*cols).distinct())
+    new = src.join(matchable(target, src, keys, partition_cols, range_col, max_bytes), list(keys), "left_anti")
+    return new.select(*keys).distinct()  # on the join's partitioning: no further shuffle
 
 
 def new_key_count(source: DataFrame, target: DataFrame, keys=TICK_KEY, by="symbol",
@@ -115,8 +129,8 @@ def ingest_summary(symbols: DataFrame, counts: DataFrame, by="symbol",
         .select(by, F.coalesce(F.col(count_col), F.lit(0)).cast("long").alias(count_col))
 
 
-def rows_to_insert(source: DataFrame, target: DataFrame, cols, keys=TICK_KEY,
-                   partition_cols=(), range_col: str | None = None) -> DataFrame:
+def rows_to_insert(source: DataFrame, target: DataFrame, cols, keys=TICK_KEY, partition_cols=(),
+                   range_col: str | None = None, max_bytes: int = sketch.MAX_BYTES) -> DataFrame:
     """MERGE … WHEN NOT MATCHED THEN INSERT with a DISTINCT source (A1 + J2).
 
     Distinct is over whole rows, as in the reference: one key with two
@@ -124,9 +138,8 @@ def rows_to_insert(source: DataFrame, target: DataFrame, cols, keys=TICK_KEY,
     out (D-4); use ``split_null_keys`` to get them.
     """
     good, _ = split_null_keys(source, keys)
-    src = good.select(*cols).distinct()
-    tgt = prune_target(target, good, partition_cols, range_col).select(*keys).distinct()
-    return src.join(tgt, list(keys), "left_anti").select(*cols)
+    src = checkpointed(good.select(*cols).distinct())
+    return src.join(matchable(target, src, keys, partition_cols, range_col, max_bytes), list(keys), "left_anti").select(*cols)
 
 
 def merge_insert_new(source: DataFrame, target: DataFrame, cols, keys=TICK_KEY,
@@ -142,10 +155,3 @@ def key_conflicts(source: DataFrame, keys=TICK_KEY, payload=("Bid", "Ask")) -> D
     return per_key.agg(F.sum("n").cast("long").alias("distinct_rows"),
                        F.count(F.lit(1)).alias("distinct_keys"),
                        F.count_if(F.col("n") > 1).alias("conflicting_keys"))
-
-
-def conflicting_keys(source: DataFrame, keys=TICK_KEY, payload=("Bid", "Ask")) -> DataFrame:
-    """The keys that carry more than one distinct payload (D-3)."""
-    per_key = source.select(*keys, *payload).distinct().groupBy(*keys) \
-        .agg(F.count(F.lit(1)).alias("n_versions"))
-    return per_key.filter(F.col("n_versions") > 1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gold as G
 from ..session import scratch_path
+from ..sources import polls as P
 from ..streaming import ticks as R
 from ..streaming.collector import Collector
 from . import fixtures as X
@@ -32,6 +33,23 @@ def q_stream_source(spark, sf):
     return spark.read.parquet(sink).select("event_id", "symbol", "time_msc", "flags", "Bid", "Ask")
 
 
+@register("stream_source_bounded", f"""
+SELECT event_id, symbol, time_msc, flags, Bid, Ask,
+       CAST((row_number() OVER (PARTITION BY symbol ORDER BY time_msc, event_id) - 1) // 5000 AS BIGINT) AS poll
+FROM {TK}""")
+def q_stream_source_bounded(spark, sf):
+    """Every tick with the poll that took it: at most 5,000 a symbol and poll, in order of time."""
+    land, sink = scratch_path(spark, "landing"), scratch_path(spark, "polls")
+    X.ticks(spark, sf).repartition("symbol").sortWithinPartitions("symbol", "time_msc") \
+        .write.partitionBy("symbol").parquet(land)
+
+    def each(batch, epoch):
+        batch.withColumn("poll", F.lit(epoch).cast("bigint")).write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
+
+    R.run_batches(P.tick_polls(spark, land), each, scratch_path(spark, "polls-ckpt"), "drain")
+    return spark.read.parquet(sink).select("event_id", "symbol", "time_msc", "flags", "Bid", "Ask", "poll")
+
+
 @register("stream_first_per_second", f"""
 SELECT event_id, symbol, DateTime, Bid, Ask FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol, date_trunc('second', DateTime)

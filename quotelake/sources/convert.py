@@ -158,6 +158,8 @@ def csv_to_parquet_stream(spark: SparkSession, landing_root: str, out_root: str,
     listing.  With ``fail_on_error`` a run raises after writing if the last
     version of any file is failed.
     """
+    from ..streaming.ticks import run_batches
+
     # batch names are the checkpoint's own, so a new checkpoint never writes over another's batches
     name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
@@ -171,13 +173,7 @@ def csv_to_parquet_stream(spark: SparkSession, landing_root: str, out_root: str,
             lines.unpersist()
 
     lines = landed_lines(spark, f"{landing_root.rstrip('/')}/{raw_prefix}", max_files=max_files_per_trigger, settle_ms=settle_ms)
-    q = lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    if q.exception():
-        raise q.exception()
+    run_batches(lines, each, checkpoint, "drain")
     if fail_on_error:
         _raise_failed(last_versions(read_ledger(spark, out_root)), out_root)
 

@@ -64,7 +64,21 @@ def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, mode: str = "appen
 
 
 def run_batches(stream: DataFrame, each, checkpoint: str, trigger: str | None = None):
-    """Run ``each(batch, epoch)`` on every micro-batch; return the query."""
+    """Run ``each(batch, epoch)`` on every micro-batch; return the query.
+
+    ``trigger="drain"`` polls until nothing new comes and stops: the way to
+    drain a source that hands out a bounded poll at a time.
+    """
+    if trigger == "drain":
+        q = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint) \
+            .trigger(processingTime="0 seconds").start()
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+        if q.exception():
+            raise q.exception()
+        return q
     q = _trigger(stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint), trigger).start()
     if trigger in (None, "availableNow"):
         q.awaitTermination()

@@ -112,3 +112,67 @@ def test_target_is_cut_to_each_partitions_own_range(spark):
     source = spark.createDataFrame([(day(1), "A", 2024), (day(30), "B", 2024)], schema)
     cut = M.prune_target(target, source, ("symbol", "year"), "DateTime")
     assert sorted((r.symbol, r.DateTime.day) for r in cut.collect()) == [("A", 1), ("B", 30)]
+
+
+# ------------------------------------------------------------- key bitmap --
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bitmap_size_is_bounded():
+    from quotelake.operators import sketch as B
+    assert B.bitmap_bits(0) == B.bitmap_bits(10) == B.BUCKET_BITS
+    assert B.bitmap_bits(1_000_000) == 1 << 24 and B.bitmap_bits(10 ** 12) == B.MAX_BYTES * 8
+    assert B.bitmap_bits(10 ** 12, 5000) == B.BUCKET_BITS
+
+
+def test_bitmap_lets_every_match_through(spark):
+    from pyspark.sql import functions as F
+
+    from quotelake.operators import sketch as B
+    rows = spark.range(60_000).select((F.col("id") * 7).alias("k"), F.concat(F.lit("s"), F.col("id") % 11).alias("s"))
+    some = rows.where("k % 10 = 0")
+    for bits in (B.BUCKET_BITS, B.bitmap_bits(6000)):
+        bitmap = B.key_bitmap(some, ["k", "s"], bits)
+        assert bitmap.agg(F.sum(F.length("_bits"))).first()[0] <= bits // 8
+        left = B.may_match(rows, bitmap, ["k", "s"], bits)
+        assert left.columns == ["k", "s"] and some.exceptAll(left).count() == 0
+        extra = left.count() - some.count()
+        assert extra < 54_000 * (0.25 if bits == B.BUCKET_BITS else 0.08)   # one in 5.5 and one in 22 by chance
+
+
+def test_merge_is_exact_whatever_the_bitmap(spark):
+    """With a bitmap of one bucket nearly every bit is set; the result is the same."""
+    src = spark.range(40_000).selectExpr("id AS a", "cast(id % 3 AS string) AS b", "id * 1.5D AS v")
+    tgt = spark.range(200_000).selectExpr("id * 2 AS a", "cast((id * 2) % 3 AS string) AS b", "0D AS v")
+    tgt = tgt.unionByName(tgt.where("a < 100")).unionByName(spark.sql("SELECT null AS a, '1' AS b, 1D AS v"))
+    for max_bytes in (4096, M.sketch.MAX_BYTES):
+        ins = M.rows_to_insert(src.unionByName(src), tgt, ["a", "b", "v"], ("a", "b"), max_bytes=max_bytes)
+        assert sorted(r.a for r in ins.collect()) == list(range(1, 40_000, 2))
+        assert M.new_keys(src, tgt, ("a", "b"), max_bytes=max_bytes).count() == 20_000
+
+
+def test_merge_reads_its_source_once_and_shuffles_few_target_rows(spark, scratch):
+    import time
+
+    from pyspark.sql import functions as F
+    path = scratch("target")
+    spark.range(100_000).selectExpr("id AS a", "id % 10 AS p", "rand() AS v").write.partitionBy("p").parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(frames):
+        for pdf in frames:
+            reads.add(len(pdf))
+            yield pdf
+
+    src = spark.range(0, 500, 1, 4).select((F.col("id") * 10).alias("a"), F.lit(0).cast("long").alias("p"), F.lit(1.0).alias("v"))
+    src = src.mapInPandas(seen, src.schema)
+    ins = M.rows_to_insert(src, spark.read.parquet(path), ["a", "p", "v"], ("a",), partition_cols=("p",), range_col="a")
+    assert ins.count() == 0
+    time.sleep(0.2)
+    assert reads.value == 500                                 # one pass
+    plan = _plan(ins)
+    assert "Aggregate" not in plan and plan.count("LeftSemi") == 1 and "LeftAnti" in plan   # no distinct target
+    survivors = M.matchable(spark.read.parquet(path), M.checkpointed(src), ("a",), ("p",), "a")
+    assert 500 <= survivors.count() <= 700                    # of 100,000 rows

@@ -15,16 +15,16 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import columns as C
 from . import merge as M
-from .history import VersionedTable
+from .versions import VersionedRows
 
 GOLD_SCHEMA = "DateTime timestamp_ntz, Bid double, Ask double, symbol string, year int"
 SPREAD_SCHEMA = "DateTime timestamp_ntz, Bid double, Ask double, Spread double, symbol string, year int"
 PARTITION_BY = ("symbol", "year")
 
 
-def gold_table(spark: SparkSession, root: str, spread: bool = False) -> VersionedTable:
+def gold_table(spark: SparkSession, root: str, spread: bool = False) -> VersionedRows:
     """Open (creating if absent) a gold table at ``root``."""
-    t = VersionedTable(spark, root)
+    t = VersionedRows(spark, root)
     t.create(SPREAD_SCHEMA if spread else GOLD_SCHEMA, partition_by=PARTITION_BY)
     return t
 
@@ -38,15 +38,15 @@ def gold_rows(raw: DataFrame, spread: bool = False) -> DataFrame:
     return raw.select(*cols)
 
 
-def _current(table: VersionedTable) -> DataFrame:
+def _current(table: VersionedRows) -> DataFrame:
     return table.read()
 
 
-def ingest(table: VersionedTable, raw: DataFrame, spread: bool = False, committed_at=None) -> dict:
+def ingest(table: VersionedRows, raw: DataFrame, spread: bool = False, committed_at=None) -> dict:
     """MERGE new ticks into the gold table: insert rows whose key is absent.
 
-    Returns ``snapshot_id`` (unchanged when nothing was new, E3) and the
-    rows set aside for a null key (D-4) as a DataFrame.
+    Returns ``snapshot_id``, the table's version (unchanged when nothing was
+    new, E3), and the rows set aside for a null key (D-4) as a DataFrame.
     """
     src = gold_rows(raw, spread)
     good, null_keys = M.split_null_keys(src, M.TICK_KEY)
@@ -57,7 +57,7 @@ def ingest(table: VersionedTable, raw: DataFrame, spread: bool = False, committe
     return {"snapshot_id": sid, "null_keys": null_keys}
 
 
-def ingest_report(table: VersionedTable, raw: DataFrame, spread: bool = False) -> DataFrame:
+def ingest_report(table: VersionedRows, raw: DataFrame, spread: bool = False) -> DataFrame:
     """Per symbol: ``new_keys`` (distinct new keys) and ``inserted_rows`` an ingest would insert (D-3)."""
     src = gold_rows(raw, spread)
     good, _ = M.split_null_keys(src, M.TICK_KEY)
@@ -81,7 +81,7 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
 
 
-def partitions(table: VersionedTable, spread: bool = False, snapshot_id=None) -> DataFrame:
+def partitions(table: VersionedRows, spread: bool = False, snapshot_id=None) -> DataFrame:
     """Per-symbol table name, partition (symbol, year) and rows, like SHOW PARTITIONS.
 
     Counted from the partition columns, so only the partition directories'
@@ -93,7 +93,7 @@ def partitions(table: VersionedTable, spread: bool = False, snapshot_id=None) ->
         .select(name.alias("table_name"), "symbol", "year", "n_rows")
 
 
-def register_symbol_views(spark: SparkSession, table: VersionedTable, spread: bool = False,
+def register_symbol_views(spark: SparkSession, table: VersionedRows, spread: bool = False,
                           database: str | None = None, location: str | None = None) -> list:
     """One view per symbol over the current gold table.
 

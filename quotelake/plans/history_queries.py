@@ -12,7 +12,7 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-from ..operators.history import VersionedTable
+from ..operators.versions import VersionedRows
 from ..session import scratch_path
 from . import fixtures as X
 from .registry import register
@@ -22,9 +22,9 @@ ORDER_COLS = ("o_orderkey", "o_totalprice", "o_orderdate")
 SCHEMA = "o_orderkey bigint, o_totalprice double, o_orderdate timestamp_ntz, year int"
 
 
-def build(spark, sf, upto=7, schema=SCHEMA, spec=None, source_filter=None) -> VersionedTable:
+def build(spark, sf, upto=7, schema=SCHEMA, spec=None, source_filter=None) -> VersionedRows:
     """Table with snapshots 1..upto imported in one write."""
-    t = VersionedTable(spark, scratch_path(spark, "orders-history"))
+    t = VersionedRows(spark, scratch_path(spark, "orders-history"))
     t.create(schema, partition_by=("year",), spec=spec)
     src = X.history_source(spark, sf).filter(F.col("v") <= upto)
     if source_filter is not None:
@@ -47,6 +47,35 @@ def q_snapshot_list(spark, sf):
     return build(spark, sf).snapshots()
 
 
+@register("snapshot_report", """
+SELECT v AS snapshot_id, ts AS committed_at, op AS operation, coalesce(CAST(n AS VARCHAR), '0') AS added,
+       '0' AS deleted, CASE WHEN n IS NULL THEN '?' ELSE CAST(sum(n) OVER (ORDER BY v) AS VARCHAR) END AS total
+FROM (SELECT year(o_orderdate) - 1994 AS v, count(*) AS n, max(o_orderdate) AS ts, 'append' AS op FROM orders GROUP BY 1
+      UNION ALL SELECT max(year(o_orderdate)) - 1993, NULL, max(o_orderdate) + INTERVAL 1 DAY, 'add column' FROM orders) x""")
+def q_snapshot_report(spark, sf):
+    """Versions as a report shows them, with defaults for what a commit does not count."""
+    t = build(spark, sf)
+    last = t.version()["committed_at"]
+    t.add_column("note", "string", committed_at=last + _dt.timedelta(days=1))
+    return t.listing()
+
+
+@register("sample_at_version", f"""
+SELECT o_orderkey, o_totalprice, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS year FROM {H} WHERE v <= 3
+ORDER BY o_orderdate DESC, o_orderkey LIMIT 10""")
+def q_sample_at_version(spark, sf):
+    return build(spark, sf).sample(10, version=3, order=(F.col("o_orderdate").desc(), "o_orderkey"))
+
+
+@register("sample_at_timestamp", f"""
+SELECT o_orderkey, o_totalprice, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS year FROM {H}
+WHERE v <= (SELECT max(v) FROM (SELECT year(o_orderdate) - 1994 AS v, max(o_orderdate) AS c
+                                FROM orders GROUP BY 1) WHERE c <= TIMESTAMP '1998-06-01')
+ORDER BY o_orderdate DESC, o_orderkey LIMIT 10""")
+def q_sample_at_timestamp(spark, sf):
+    return build(spark, sf).sample(10, at=_dt.datetime(1998, 6, 1), order=(F.col("o_orderdate").desc(), "o_orderkey"))
+
+
 @register("read_at_version", f"SELECT o_orderkey, o_totalprice FROM {H} WHERE v <= 3")
 def q_read_at_version(spark, sf):
     return _pairs(build(spark, sf).read(3))
@@ -127,8 +156,7 @@ def q_compact_rows_equal(spark, sf):
 @register("expire_snapshots", f"SELECT DISTINCT v AS snapshot_id FROM {H} WHERE v >= 5")
 def q_expire_snapshots(spark, sf):
     t = build(spark, sf)
-    cutoff = t.snapshot(5)["committed_at"]
-    t.expire_snapshots(cutoff)
+    t.expire(t.version(5)["committed_at"])
     return t.snapshots().select("snapshot_id")
 
 

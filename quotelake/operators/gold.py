@@ -2,7 +2,7 @@
 
 One versioned table holds all symbols, partitioned by ``symbol, year``;
 per-symbol names ``ticks_<symbol>`` (and ``ticks_<symbol>_spread``) are
-views over it.  Each ingest is one anti join of the new rows against the
+views over it (``catalog``).  Each ingest is one anti join of the new rows against the
 current table (cut to the partitions the new rows touch) and one appended
 batch, for every symbol at once.
 """
@@ -70,17 +70,6 @@ def ingest_report(table: VersionedRows, raw: DataFrame, spread: bool = False) ->
                 F.coalesce("inserted_rows", F.lit(0)).cast("long").alias("inserted_rows"))
 
 
-def table_name(symbol: str, spread: bool = False) -> str:
-    """``ticks_<lower symbol>[_spread]``."""
-    return f"{K.TABLE_PREFIX}{symbol.lower()}" + ("_spread" if spread else "")
-
-
-def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
-    """``CREATE DATABASE IF NOT EXISTS`` (S12); ``location`` keeps it off the local warehouse."""
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
-
-
 def partitions(table: VersionedRows, spread: bool = False, snapshot_id=None) -> DataFrame:
     """Per-symbol table name, partition (symbol, year) and rows, like SHOW PARTITIONS.
 
@@ -91,21 +80,3 @@ def partitions(table: VersionedRows, spread: bool = False, snapshot_id=None) ->
     return table.read(snapshot_id).groupBy("symbol", "year") \
         .agg(F.count(F.lit(1)).alias("n_rows")) \
         .select(name.alias("table_name"), "symbol", "year", "n_rows")
-
-
-def register_symbol_views(spark: SparkSession, table: VersionedRows, spread: bool = False,
-                          database: str | None = None, location: str | None = None) -> list:
-    """One view per symbol over the current gold table.
-
-    The symbol names are a small dimension (one per folder), read from the
-    table itself; the views are catalog entries, not data.
-    """
-    if database:
-        create_database(spark, database, location)
-    cur = table.read()
-    names = []
-    for r in cur.select("symbol").distinct().collect():
-        name = table_name(r["symbol"], spread)
-        cur.filter(F.col("symbol") == r["symbol"]).createOrReplaceTempView(name)
-        names.append(name)
-    return sorted(names)

@@ -9,11 +9,16 @@ The landing has one file per symbol and UTC day and one malformed row
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import columns as C
 from ..operators import aggregates as A
+from ..operators import catalog as CT
 from ..operators import gold as G
 from ..operators import ticks as T
 from ..session import scratch_path
@@ -250,7 +255,7 @@ FROM {TK} GROUP BY ALL""")
 def q_catalog_setup(spark, sf):
     root = scratch_path(spark, "catalog")
     for _ in range(2):  # both steps are idempotent: the second pass changes nothing
-        G.create_database(spark, "quotelake_demo", f"{root}/db")
+        CT.create_database(spark, "quotelake_demo", f"{root}/db")
         t = G.gold_table(spark, f"{root}/gold")
     G.ingest(t, X.ticks(spark, sf))
     return G.partitions(t)
@@ -260,12 +265,32 @@ def q_catalog_setup(spark, sf):
 SELECT tableName FROM (SELECT DISTINCT 'ticks_' || lower(symbol) AS tableName FROM {TK}
                        UNION ALL SELECT DISTINCT 'ticks_' || lower(symbol) || '_spread' FROM {TK})""")
 def q_list_tick_tables(spark, sf):
-    raw = X.ticks(spark, sf)
+    db, ticks = _database(), X.ticks(spark, sf)
+    # one row a symbol is enough to name its table: the views are made from the partitions
+    symbols = ticks.groupBy("symbol").agg(F.min(F.struct("DateTime", "Bid", "Ask")).alias("t")).select("symbol", "t.*")
     for spread in (False, True):
         t = G.gold_table(spark, scratch_path(spark, "gold"), spread=spread)
-        G.ingest(t, raw, spread=spread)
-        G.register_symbol_views(spark, t, spread=spread)
-    return S.list_tick_tables(spark)
+        G.ingest(t, symbols, spread=spread)
+        CT.publish(t, db, "gold_spread" if spread else "gold", spread, scratch_path(spark, "db"))
+    return CT.tick_tables(spark.newSession(), db)
+
+
+def _database() -> str:
+    return f"quotelake_{uuid.uuid4().hex[:12]}"
+
+
+@register("catalog_views", f"SELECT 'ticks_' || lower(symbol) AS table_name, symbol, DateTime, Bid, Ask FROM {TK}")
+def q_catalog_views(spark, sf):
+    """The rows of every symbol's lasting view, as another session of the catalog reads them."""
+    db, ticks = _database(), X.ticks(spark, sf)
+    t = G.gold_table(spark, scratch_path(spark, "gold"))
+    for part in (ticks.filter("event_id % 3 = 0"), ticks):   # the second pass adds partitions to what is there
+        G.ingest(t, part)
+        CT.publish(t, db, location=scratch_path(spark, "db"))
+    other = spark.newSession()
+    views = [r[0] for r in CT.tick_tables(other, db).collect()]
+    rows = [other.table(f"{db}.{v}").select(F.lit(v).alias("table_name"), "symbol", "DateTime", "Bid", "Ask") for v in views]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @register("ingest_report", f"""

@@ -1,4 +1,4 @@
-"""Scans: config JSON, file listings, tick CSV and raw tick Parquet.
+"""Scans: config JSON, file listings, tick CSV and raw tick Parquet.
 
 Schemas are always explicit (never inferred).  The CSV schema binds by
 position with the header skipped, as the tick CSV files have the fixed
@@ -108,9 +108,3 @@ def raw_scan(spark: SparkSession, root: str, prefix: str = K.PARQUET_PREFIX) ->
         .parquet(f"{root.rstrip('/')}/{prefix}")
     return df.select("DateTime", "Bid", "Ask",
                      F.upper(C.path_symbol(C.normalize_path(F.col("_metadata.file_path")), prefix, encoded=False)).alias("symbol"))
-
-
-def list_tick_tables(spark: SparkSession, prefix: str = K.TABLE_PREFIX) -> DataFrame:
-    """Catalog tables and views whose name starts with ``ticks_``."""
-    return spark.sql("SHOW TABLES").filter(F.col("tableName").startswith(prefix)) \
-        .select("tableName").orderBy("tableName")

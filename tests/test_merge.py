@@ -1,5 +1,6 @@
 import datetime as dt
 
+from quotelake.operators import catalog as CT
 from quotelake.operators import gold as G
 from quotelake.operators import merge as M
 
@@ -96,7 +97,7 @@ def test_prune_with_empty_source(spark, scratch):
 def test_catalog_setup_is_idempotent(spark, scratch):
     root = scratch("cat")
     for _ in range(2):
-        G.create_database(spark, "quotelake_test_db", f"{root}/db")
+        CT.create_database(spark, "quotelake_test_db", f"{root}/db")
         t = G.gold_table(spark, f"{root}/gold")
     G.ingest(t, spark.createDataFrame([(T0, 1.0, 1.1, "eurusd"), (T1, 1.0, 1.1, "EURUSD")], RAW))
     assert [tuple(r) for r in G.partitions(t).collect()] == [("ticks_eurusd", "EURUSD", 2026, 2)]
@@ -176,3 +177,43 @@ def test_merge_reads_its_source_once_and_shuffles_few_target_rows(spark, scratch
     assert "Aggregate" not in plan and plan.count("LeftSemi") == 1 and "LeftAnti" in plan   # no distinct target
     survivors = M.matchable(spark.read.parquet(path), M.checkpointed(src), ("a",), ("p",), "a")
     assert 500 <= survivors.count() <= 700                    # of 100,000 rows
+
+
+# ---------------------------------------------------------------- catalog --
+
+def test_views_last_and_follow_the_table(spark, scratch):
+    db, t = "quotelake_views_test", G.gold_table(spark, scratch("gold"), spread=True)
+    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    one = spark.createDataFrame([(T0, 1.0, 1.1, "eurusd.m"), (T0, 1.0, 1.2, "EURUSD_M"), (T0, 1.0, 1.3, "o'neil")], RAW)
+    first = G.ingest(t, one, spread=True)["snapshot_id"]
+    names = CT.publish(t, db, spread=True, location=scratch("db"))
+    dotted, quoted = CT.table_name("EURUSD.m", True), CT.table_name("O'NEIL", True)
+    assert names == sorted([dotted, quoted, "ticks_eurusd_m_spread"]) and len(set(names)) == 3
+    other = spark.newSession()                                # another session of the same catalog
+    assert [r[0] for r in CT.tick_tables(other, db).collect()] == names
+    assert [(r.symbol, r.Ask) for r in other.table(f"{db}.{dotted}").collect()] == [("EURUSD.M", 1.1)]
+    assert [(r.symbol, r.Ask) for r in other.table(f"{db}.{quoted}").collect()] == [("O'NEIL", 1.3)]
+    G.ingest(t, spark.createDataFrame([(T1, 2.0, 2.1, "EURUSD.m"), (T1, 2.0, 2.1, "NEW")], RAW), spread=True)
+    for _ in range(2):                                        # again changes nothing
+        assert CT.publish(t, db, spread=True) == sorted([*names, "ticks_new_spread"])
+    other = spark.newSession()                                # one that has read the logs before has to refresh them
+    assert other.sql(f"SELECT * FROM {db}.{dotted}").count() == 2 and other.table(f"{db}.gold").count() == 5
+    plan = other.sql(f"SELECT Bid FROM {db}.{dotted}")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(symbol" in plan
+    t.rollback(first)                                         # the views are of the current version
+    other.catalog.refreshTable(f"{db}.gold_current")
+    other.catalog.refreshTable(f"{db}.gold")
+    assert other.table(f"{db}.gold").count() == 3
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_publish_an_empty_and_an_evolved_table(spark, scratch):
+    db, t = "quotelake_evolved_test", G.gold_table(spark, scratch("gold"))
+    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    assert CT.publish(t, db, location=scratch("db")) == [] and spark.table(f"{db}.gold").count() == 0
+    G.ingest(t, spark.createDataFrame([(T0, 1.0, 1.1, "A")], RAW))
+    t.add_column("note", "string")
+    t.change_column("Bid", "bid_price")
+    assert CT.publish(t, db) == ["ticks_a"]
+    assert [(r.bid_price, r.note) for r in spark.newSession().table(f"{db}.ticks_a").collect()] == [(1.0, None)]
+    spark.sql(f"DROP DATABASE {db} CASCADE")

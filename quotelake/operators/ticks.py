@@ -2,7 +2,7 @@
 
 Input ticks carry at least ``symbol`` and ``DateTime`` (UTC, timestamp_ntz);
 polled ticks also ``time_msc`` and ``flags``.  Every function is a lazy
-DataFrame transformation; none collects data.
+DataFrame transformation; none collects data (``window_coverage`` fetches two dates).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import columns as C
-from .joins import join_dimension
+from .joins import checkpointed, join_dimension
 
 
 # ---------------------------------------------------------------- filters ---
@@ -159,15 +159,15 @@ def window_coverage(tagged: DataFrame, crypto=K.CRYPTO_SYMBOLS, windows=K.COLLEC
     """Ticks per symbol and window over the whole calendar, zeros included (A10).
 
     ``status``: ok (ticks present), expected_empty (weekend, non-crypto),
-    missing (no ticks where some were due).  The global date range is one
-    row (a global aggregate, fetched as two dates); each symbol row then
-    generates its calendar with ``sequence``/``explode``, so there is no
-    cross join and no single-partition step.
+    missing (no ticks where some were due).  The ticks are read once, into
+    counts per symbol, date and window (null: outside all windows), which
+    give the symbols and the date range (fetched as two dates) too; each
+    symbol row then generates its calendar with ``sequence``/``explode``.
     """
-    counts = tagged.filter(F.col("win_start_min").isNotNull()) \
-        .groupBy("symbol", "local_date", "win_start_min").agg(F.count(F.lit(1)).alias("n_ticks"))
-    d0, d1 = tagged.agg(F.min("local_date"), F.max("local_date")).first()
-    symbols = tagged.select("symbol").distinct()
+    every = checkpointed(tagged.groupBy("symbol", "local_date", "win_start_min").agg(F.count(F.lit(1)).alias("n_ticks")))
+    counts = every.filter(F.col("win_start_min").isNotNull())
+    d0, d1 = every.agg(F.min("local_date"), F.max("local_date")).first()
+    symbols = every.select("symbol").distinct()
     if d0 is None:
         days = F.array().cast("array<date>")
     else:

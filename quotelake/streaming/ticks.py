@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from ..operators import gold as G
 from ..operators import ticks as TK
+from ..operators.joins import checkpointed, join_dimension
+from ..session import hadoop_exists
 
 TICK_STREAM_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -96,22 +98,33 @@ def changes_only(stream: DataFrame) -> DataFrame:
 
 def first_per_second_to(stream: DataFrame, sink: str, checkpoint: str, tiebreak: str = "event_id",
                         trigger: str | None = None):
-    """Land the first tick per (symbol, UTC second) of each micro-batch under ``sink/epoch=N``.
+    """Keep the first tick per (symbol, UTC second) in ``sink``, one row each, whatever order ticks come in.
 
-    No watermark, so nothing late is lost, whatever the pace of its symbol; a
-    replayed epoch replaces its own folder.  ``read_first_per_second`` picks
-    the first of each second over all epochs.
+    The sink is partitioned by hour.  A micro-batch reads the hours it has
+    ticks of, takes the first of old and new ticks, and replaces these hours;
+    no other hour is read, and nothing is dropped by a watermark.  The first
+    of a second does not change when a batch is repeated, so a replay changes
+    nothing.  Ticks without a time are not taken.
     """
+    sink = sink.rstrip("/")
+
     def each(batch: DataFrame, epoch: int) -> None:
-        TK.first_per_second(batch, order=("DateTime", tiebreak)) \
-            .write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch}")
+        spark = batch.sparkSession
+        new = TK.first_per_second(batch.where("DateTime is not null"), order=("DateTime", tiebreak))
+        new = checkpointed(new.withColumn("hour", F.date_format("DateTime", "yyyyMMddHH")))
+        if hadoop_exists(spark, sink):
+            hours = new.select("hour").distinct()
+            old = spark.read.schema(new.schema).parquet(sink)
+            new = checkpointed(TK.first_per_second(new.unionByName(join_dimension(old, hours, "hour", "left_semi")),
+                                                   order=("DateTime", tiebreak)))
+        new.hint("rebalance", "hour").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("hour").parquet(sink)
 
     return run_batches(stream, each, checkpoint, trigger)
 
 
-def read_first_per_second(spark: SparkSession, sink: str, schema: T.StructType = TICK_STREAM_SCHEMA,
-                          tiebreak: str = "event_id") -> DataFrame:
-    return TK.first_per_second(spark.read.schema(schema).parquet(sink), order=("DateTime", tiebreak))
+def read_first_per_second(spark: SparkSession, sink: str, schema: T.StructType = TICK_STREAM_SCHEMA) -> DataFrame:
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("hour", T.StringType())])).parquet(sink).drop("hour")
 
 
 def merge_stream_into_gold(stream: DataFrame, table, checkpoint: str, spread: bool = False,

@@ -46,3 +46,26 @@ def test_first_per_second_over_epochs_equals_batch(spark, scratch):
     batch = T.first_per_second(spark.createDataFrame(rows, R.TICK_STREAM_SCHEMA), order=("DateTime", "event_id"))
     assert {r.event_id for r in R.read_first_per_second(spark, sink).collect()} == \
         {r.event_id for r in batch.collect()}
+
+
+def test_first_per_second_keeps_one_row_and_reads_touched_hours_only(spark, scratch):
+    import os
+
+    from quotelake.session import local_path
+    land, sink, ck = scratch("landing"), scratch("fps"), scratch("ck")
+
+    def feed(rows):
+        spark.createDataFrame(rows, R.TICK_STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(land)
+        R.first_per_second_to(R.tick_stream(spark, land), sink, ck)
+
+    hour = lambda k, i, s, ms: (i, s, BASE + dt.timedelta(hours=k, milliseconds=ms), 0, 6, 1.0, 1.1)
+    feed([hour(0, 1, "A", 500), hour(1, 2, "A", 500), hour(1, 3, "B", 0)])
+    untouched = {f: os.path.getmtime(f) for f in _files(local_path(sink), "hour=2024010205")}
+    feed([hour(1, 4, "A", 100), hour(1, 5, "A", 900), hour(1, 6, "B", 0), (7, "A", None, 0, 6, 1.0, 1.1)])
+    assert sorted(r.event_id for r in R.read_first_per_second(spark, sink).collect()) == [1, 3, 4]
+    assert untouched == {f: os.path.getmtime(f) for f in _files(local_path(sink), "hour=2024010205")} != {}
+
+
+def _files(root, part):
+    import os
+    return [os.path.join(root, part, f) for f in os.listdir(os.path.join(root, part)) if f.endswith(".parquet")]

@@ -36,11 +36,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import text_array
+from .common import slices, text_array
 
 PIECES = 200_000
-MAX_STATES = 400_000
-MAX_CACHE = 600_000
+#: States and memoised matches of a worker, some tens of MB each; its tables are emptied when a task ends.
+MAX_STATES = 100_000
+MAX_CACHE = 150_000
+#: Bytes of text taken together.
+SLICE_BYTES = 8 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -121,7 +124,7 @@ class Transducer:
         """
         ok = self._pair.get((before, tok))
         if ok is None:
-            if len(self._pair) > 1_000_000:
+            if len(self._pair) > 4 * self.max_states:
                 self._pair.clear()
             right = self._ends(tok)
             if before < 0 or right is None:
@@ -194,7 +197,7 @@ class Transducer:
             state, written = hit if hit is not None else self.step(state, b)
             if written:
                 out += written
-            if len(self.items) > self.max_states + 200_000:  # one huge piece: keep its last state only
+            if len(self.items) > 2 * self.max_states:  # one huge piece: keep its last state only
                 keep, final = self.items[state], self.final[state]
                 self.reset()
                 table = self.next
@@ -224,6 +227,13 @@ class Encoder:
             self.cache[piece] = ids
         return ids
 
+    def clear(self) -> None:
+        """Forget what was memoised, so that the stages that reuse this worker start without it."""
+        self.cache, self.older = {}, {}
+        self.fst._pair.clear()
+        self.fst._own.clear()
+        self.fst.reset()
+
     def ids(self, text: str) -> Iterator[array]:
         """Arrays of unsigned 32-bit ids, one for each ``PIECES`` matches."""
         if len(text) <= 4 * PIECES:
@@ -373,16 +383,19 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", ou
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, _ = _encoder(rank_file, pattern)
-        for batch in batches:
-            at = batch.schema.get_field_index(text)
-            texts = text_array(batch.column(at)).to_pylist()
-            with no_collection():
-                ids = [array("I", chain.from_iterable(enc.ids(t))) for t in texts]
-            off = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) for x in ids], out=off[1:])
-            flat = np.frombuffer(b"".join(x.tobytes() for x in ids), np.int32)
-            col = pa.ListArray.from_arrays(pa.array(off), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns, col], names=[*batch.schema.names, out])
+        try:
+            for batch in slices(batches, text, SLICE_BYTES):
+                at = batch.schema.get_field_index(text)
+                texts = text_array(batch.column(at)).to_pylist()
+                with no_collection():
+                    ids = [array("I", chain.from_iterable(enc.ids(t))) for t in texts]
+                off = np.zeros(len(ids) + 1, np.int32)
+                np.cumsum([len(x) for x in ids], out=off[1:])
+                flat = np.frombuffer(b"".join(x.tobytes() for x in ids), np.int32)
+                col = pa.ListArray.from_arrays(pa.array(off), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([*batch.columns, col], names=[*batch.schema.names, out])
+        finally:
+            enc.clear()
 
     return docs.mapInArrow(run, f"{schema}, `{out}` array<int>")
 
@@ -393,22 +406,25 @@ def digests(docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, clean = _encoder(rank_file, pattern)
-        for batch in batches:
-            counts, of_ids, of_text = [], [], []
-            with no_collection():
-                for t in text_array(batch.column(1)).to_pylist():
-                    n, ids_sum, text_sum = 0, hashlib.sha256(), hashlib.sha256()
-                    dec = StreamDecoder(enc.fst.bytes_of, clean)
-                    for ids in enc.ids(t):
-                        n += len(ids)
-                        ids_sum.update(ids.tobytes())  # little-endian on the supported machines
-                        text_sum.update(dec.feed_bytes(ids))
-                    counts.append(n)
-                    of_ids.append(ids_sum.hexdigest())
-                    of_text.append(text_sum.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()),
-                 pa.array(of_text, pa.string())], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
+        try:
+            for batch in slices(batches, text, SLICE_BYTES):
+                counts, of_ids, of_text = [], [], []
+                with no_collection():
+                    for t in text_array(batch.column(1)).to_pylist():
+                        n, ids_sum, text_sum = 0, hashlib.sha256(), hashlib.sha256()
+                        dec = StreamDecoder(enc.fst.bytes_of, clean)
+                        for ids in enc.ids(t):
+                            n += len(ids)
+                            ids_sum.update(ids.tobytes())  # little-endian on the supported machines
+                            text_sum.update(dec.feed_bytes(ids))
+                        counts.append(n)
+                        of_ids.append(ids_sum.hexdigest())
+                        of_text.append(text_sum.hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()),
+                     pa.array(of_text, pa.string())], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            enc.clear()
 
     return docs.select(key, text).mapInArrow(
         run, f"`{key}` {key_t}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import drop, materialize
 
 STAR_ROUNDS = 3
 SHARE = 3  # shared elements are counted among one element of so many
@@ -37,9 +37,12 @@ def _is_forest(edges: DataFrame) -> bool:
         .where("out > 1 or (out = 1 and into = 1)").isEmpty()
 
 
-def connected(edges: DataFrame) -> DataFrame:
+def connected(edges: DataFrame, made: list | None = None) -> DataFrame:
     """Rows (node, component): component is the smallest node reachable.
 
+    The rows are read from a written table; with ``made`` it is added there, to
+    be dropped after its last reader.
+
     ``edges`` has columns a, b of one orderable type.  Only nodes with an edge
     to another node are returned.  Self loops and repeated edges do no harm.
     """
@@ -53,7 +56,10 @@ def connected(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b")
-        cur = materialize(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
+        was, cur = cur, materialize(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
+        drop(was)
+    if made is not None:
+        made.append(cur)
     pairs = cur.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return pairs.unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
@@ -97,22 +103,34 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
     (number of elements); ``decode`` turns the binary into the sorted elements.
     finer: signs a list of sets, and a condition on two such signatures.
     """
+    made: list[DataFrame] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        made.append(materialize(df, name))
+        return made[-1]
+
+    def done(result: DataFrame) -> DataFrame:
+        """The result in a table of its own, all others dropped."""
+        result = materialize(result, "components")
+        drop(*made)
+        return result
+
     node_t = nodes.schema["node"].dataType.simpleString()
     extra = ["size"] + (["sig"] if likely is not None else [])
     member = nodes.select("node", F.explode("buckets").alias("bucket"))
     shared = member.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("top")) \
         .where("centre <> top").drop("top")
-    in_shared = materialize(member.join(shared, "bucket"), "buckets")
+    in_shared = keep(member.join(shared, "bucket"), "buckets")
 
-    cluster = connected(in_shared.select(F.col("node").alias("a"), F.col("centre").alias("b")))
-    cluster = materialize(cluster.withColumnRenamed("component", "cluster"), "clusters")
+    cluster = connected(in_shared.select(F.col("node").alias("a"), F.col("centre").alias("b")), made)
+    cluster = keep(cluster.withColumnRenamed("component", "cluster"), "clusters")
     # rows that share a node stand for one set
-    sets = materialize(sets_of(cluster.select("node")).groupBy("node").agg(
+    sets = keep(sets_of(cluster.select("node")).groupBy("node").agg(
         F.min(F.struct("set", "size")).alias("s")).select("node", "s.*"), "sets")
     cand = cluster.join(sets.select("node", "size"), "node")
     if likely is not None:
         cand = cand.join(nodes.select("node", "sig"), "node")
-    cand = materialize(cand, "candidates")
+    cand = keep(cand, "candidates")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets reach the threshold."""
@@ -141,7 +159,7 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
         """The components so far joined by new links."""
         if comp is not None:
             found = found.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        return connected(found)
+        return connected(found, made)
 
     def labelled(df: DataFrame, key: str, name: str) -> DataFrame:
         if comp is None:
@@ -158,18 +176,21 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
                 F.min_by("node", F.xxhash64("node", "bucket", F.lit(turn))).alias("centre2"))
             star = labelled(open_members.join(centre, "bucket"), "centre2", "c2") \
                 .where("label <> c2").select("node", F.col("centre2").alias("centre"))
-        found = materialize(check(ordered(star, "node", "centre")), "links")
+        found = keep(check(ordered(star, "node", "centre")), "links")
         if turn and found.isEmpty():
             break
         comp = merged(found)
         # buckets whose members still lie in different components (a closed one stays closed)
-        lab = materialize(labelled(in_shared.select("bucket", "node") if turn == 0 else
+        lab = keep(labelled(in_shared.select("bucket", "node") if turn == 0 else
                                    open_members.select("bucket", "node"), "node", "label"), "labels")
         open_b = lab.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"),
                                            F.count(F.lit(1)).alias("n")).where("x <> y and n > 2").select("bucket")
-        open_members = materialize(lab.join(open_b, "bucket"), "open")
+        open_members = keep(lab.join(open_b, "bucket"), "open")
+        if turn == 0:  # later turns read the open buckets only
+            drop(in_shared)
+            made.remove(in_shared)
         if open_members.isEmpty():
-            return comp
+            return done(comp)
 
     # Only sets of open buckets under different labels are still to be compared.
     # A set of size n can lack at most n * (1 - percent) of its elements in its
@@ -192,7 +213,7 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
             ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in able.select("node", *extra).schema.fields)
             + ", fine array<bigint>")
         extra.append("fine")
-    live = open_members.join(materialize(able, "able"), "node")
+    live = open_members.join(keep(able, "able"), "node")
     left, right = (live.select(F.col("bucket").alias(f"{s}_bucket"), F.col("node").alias(s), F.col("label").alias(f"{s}_label"),
                                *[F.col(c).alias(f"{s}_{c}") for c in extra]) for s in "ab")
     on = (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_label") != F.col("b_label")) & (F.col("a") > F.col("b")) \
@@ -201,8 +222,8 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
         on = on & likely("a_sig", "b_sig")
     if finer is not None:
         on = on & finer[1]("a_fine", "b_fine")
-    found = materialize(verified(left.join(right, on).select("a", "b").distinct()), "links")
-    return comp if found.isEmpty() else merged(found)
+    found = keep(verified(left.join(right, on).select("a", "b").distinct()), "links")
+    return done(comp if found.isEmpty() else merged(found))
 
 
 def _explode(batches: Iterator[pa.RecordBatch], decode: Callable[[bytes], np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:

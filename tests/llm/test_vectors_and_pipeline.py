@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quotelake.llm import adaptive_scan, components
@@ -75,7 +76,7 @@ def test_pipeline_stages(spark):
     was = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
         now = corpus_pipeline.materialize(stage(spark, was, SF), name)
-        assert now.columns == docs.columns
+        assert now.columns == docs.columns + (["position", "copy"] if name == "mix" else [])
         if name != "mix":
             assert now.count() <= was.count()
             assert now.select("doc_id").exceptAll(was.select("doc_id")).isEmpty()
@@ -85,6 +86,41 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.STAGES[-1][1](spark, was, SF)
     assert out.count() == was.count()
     assert out.where("n_tokens <> size(token_ids)").isEmpty()
+    # the training order survives the files between the stages
+    assert out.where("position is null or position < 0 or position > 1").isEmpty()
+    key = lambda df: [tuple(r) for r in df.orderBy("position", "doc_id", "copy").select("doc_id", "copy", "position").collect()]
+    assert key(out) == key(was) and len(set(key(out))) == out.count()
+    each = out.groupBy("source").agg({"position": "max"}).collect()
+    assert all(r[1] > 0.5 for r in each)
+
+
+def test_pipeline_with_nulls_repeats_and_extra_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(150)
+    docs = docs.withColumn("position", F.lit("mine")).withColumn("size", F.lit(1)).withColumn("component_id", F.lit(2))
+    odd = spark.createDataFrame([(9_000_001, None, None, None, None), (9_000_002, "", "en", "a", 0), (None, "no id " * 50, "en", None, 300)],
+                                "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    some = docs.limit(3)
+    was = docs.unionByName(some).unionByName(some.withColumn("source", F.lit(None).cast("string"))) \
+        .unionByName(odd, allowMissingColumns=True)
+    for name, stage in corpus_pipeline.STAGES:
+        now = corpus_pipeline.materialize(stage(spark, was, SF), name)
+        assert now.count() > 50
+        was = now
+    assert {"doc_id", "n_tokens", "token_ids", "position", "copy"} <= set(was.columns)
+
+
+def test_intermediate_tables_are_deleted(spark):
+    import os
+
+    from quotelake.llm import bbit_minhash, fuzzy_lines
+    from quotelake.session import ensure_checkpoint_dir, local_path
+    scratch = os.path.join(local_path(ensure_checkpoint_dir(spark)), "quotelake-scratch")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    fuzzy_lines.line_decisions(docs).count()
+    bbit_minhash.near_duplicates(docs).count()
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(scratch)) - before}
+    assert left <= {"lines", "minhash", "sets", "components"}   # what the lazy results read
 
 
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])

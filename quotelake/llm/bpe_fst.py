@@ -39,9 +39,10 @@ from pyspark.sql import DataFrame
 from .common import slices, text_array
 
 PIECES = 200_000
-#: States and memoised matches of a worker, some tens of MB each; its tables are emptied when a task ends.
-MAX_STATES = 100_000
-MAX_CACHE = 150_000
+#: States of a worker's transducer (some 300 MB at most, kept for its next tasks), and matches
+#: memoised (as much again, forgotten when a task ends).
+MAX_STATES = 400_000
+MAX_CACHE = 600_000
 #: Bytes of text taken together.
 SLICE_BYTES = 8 << 20
 
@@ -124,7 +125,7 @@ class Transducer:
         """
         ok = self._pair.get((before, tok))
         if ok is None:
-            if len(self._pair) > 4 * self.max_states:
+            if len(self._pair) > 1_000_000:
                 self._pair.clear()
             right = self._ends(tok)
             if before < 0 or right is None:
@@ -197,7 +198,7 @@ class Transducer:
             state, written = hit if hit is not None else self.step(state, b)
             if written:
                 out += written
-            if len(self.items) > 2 * self.max_states:  # one huge piece: keep its last state only
+            if len(self.items) > self.max_states + 200_000:  # one huge piece: keep its last state only
                 keep, final = self.items[state], self.final[state]
                 self.reset()
                 table = self.next
@@ -228,11 +229,12 @@ class Encoder:
         return ids
 
     def clear(self) -> None:
-        """Forget what was memoised, so that the stages that reuse this worker start without it."""
+        """Forget the matches and pairs memoised, so that stages that reuse this worker start without them.
+
+        The states stay: they cost most to build, and there are ``MAX_STATES`` at most.
+        """
         self.cache, self.older = {}, {}
         self.fst._pair.clear()
-        self.fst._own.clear()
-        self.fst.reset()
 
     def ids(self, text: str) -> Iterator[array]:
         """Arrays of unsigned 32-bit ids, one for each ``PIECES`` matches."""

@@ -9,8 +9,9 @@ gathered in one task or on the driver.
 No bucket is expanded into all its pairs: members are first linked to centres
 of their buckets and verified; sets that provably reach nobody are put aside
 (too many of their elements occur in no set that they could still be linked
-with); only pairs that still lie in different components are then compared, so the result is the
-same as if every candidate pair had been verified.
+with); of the others only pairs that share one of their rarest differences from
+what is usual in their cluster are compared (``_differences``, ``_prefix_pairs``).
+The result is the same as if every candidate pair had been verified.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from .common import drop, materialize
 
 STAR_ROUNDS = 3
 SHARE = 3  # shared elements are counted among one element of so many
-SIGNED_ELEMENTS = 1 << 18  # elements of the sets that are signed together
 
 
 def _is_forest(edges: DataFrame) -> bool:
@@ -93,7 +93,6 @@ def overlaps(batches: Iterator[pa.RecordBatch], percent: int,
 
 def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int,
                           likely: Callable[[str, str], Column] | None = None,
-                          finer: tuple[Callable[[list[np.ndarray]], np.ndarray], Callable[[str, str], Column]] | None = None,
                           decode: Callable[[bytes], np.ndarray] = stored) -> DataFrame:
     """Rows (node, component) for every node linked to another.
 
@@ -101,7 +100,6 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
     ``likely`` (a condition on two signature columns) is given.
     sets_of: gets a DataFrame of column node, returns node, set (binary), size
     (number of elements); ``decode`` turns the binary into the sorted elements.
-    finer: signs a list of sets, and a condition on two such signatures.
     """
     made: list[DataFrame] = []
 
@@ -205,27 +203,116 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
         .agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi") \
         .select("cluster", "element", F.lit(1).alias("hit"))
     able = rows.drop("label").join(common, ["cluster", "element"], "left").groupBy("node") \
-        .agg(F.count("hit").alias("k"), F.max("need").alias("need")).where("k >= need").select("node") \
-        .join(cand.select("node", *extra), "node")
-    if finer is not None:
-        able = able.join(sets.select("node", "set"), "node").select("node", *extra, "set").mapInArrow(
-            lambda it: _signed(it, decode, finer[0]),
-            ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in able.select("node", *extra).schema.fields)
-            + ", fine array<bigint>")
-        extra.append("fine")
-    live = open_members.join(keep(able, "able"), "node")
-    left, right = (live.select(F.col("bucket").alias(f"{s}_bucket"), F.col("node").alias(s), F.col("label").alias(f"{s}_label"),
-                               *[F.col(c).alias(f"{s}_{c}") for c in extra]) for s in "ab")
-    on = (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_label") != F.col("b_label")) & (F.col("a") > F.col("b")) \
-        & (F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent)
-    if likely is not None:
-        on = on & likely("a_sig", "b_sig")
-    if finer is not None:
-        on = on & finer[1]("a_fine", "b_fine")
-    found = keep(verified(left.join(right, on).select("a", "b").distinct()), "links")
+        .agg(F.count("hit").alias("k"), F.max("need").alias("need")).where("k >= need").select("node")
+    able = keep(able.join(todo, "node").join(sets, "node"), "able")
+    differ = keep(_differences(able, percent, decode, node_t), "differences")
+
+    # Links that need no comparison: score(a) + score(b) <= 0 (see _differences).
+    # The least score of a cluster reaches all sets that any set reaches so.
+    def least(df: DataFrame) -> DataFrame:
+        return df.groupBy("cluster").agg(F.min(F.struct("score", "node", "label")).alias("best"))
+
+    sure = differ.join(least(differ), "cluster").where("score + best.score <= 0 and label <> best.label") \
+        .select(F.col("node").alias("a"), F.col("best.node").alias("b"))
+    sure = keep(sure, "links")
+    if not sure.isEmpty():
+        comp = merged(sure)
+        differ = keep(labelled(differ.drop("label"), "node", "label"), "differences")
+    pairs = _prefix_pairs(differ, least(differ), percent)
+    found = keep(check(pairs), "links")
     return done(comp if found.isEmpty() else merged(found))
 
 
+def _differences(able: DataFrame, percent: int, decode: Callable[[bytes], np.ndarray], node_t: str) -> DataFrame:
+    """cluster, label, node, score, short, diff of each set: how it differs from what is usual in its cluster.
+
+    ``diff`` is the symmetric difference to the elements U that more than half
+    of the cluster's sets have (at most twice as many as a set has on average).
+    With t = (100 - percent) / (100 + percent), A and B reach the threshold if
+    and only if their symmetric difference, which is that of their diffs, has at
+    most t * (|A| + |B|) elements.  score = (100 + percent) * (|diff| - t * |A|):
+    a pair whose scores add up to 0 or less reaches it whatever it shares, and
+    any other has to share (score + score) / (2 * (100 + percent)) elements of
+    its diffs, and at least ``short`` = percent of |A|, less those of A in U.
+    So near copies that differ at places of their own are never compared.
+    """
+    elements = able.select("cluster", "set").mapInArrow(
+        lambda it: _flat(it, decode), f"cluster {node_t}, element bigint")
+    salts = 16
+    many = able.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    usual = elements.groupBy("cluster", "element").agg(F.count(F.lit(1)).alias("c")).where("c > 1") \
+        .withColumn("salt", F.pmod(F.xxhash64("element"), F.lit(salts)).cast("int")) \
+        .join(many, ["cluster", "salt"]).where("2 * c > n") \
+        .groupBy("cluster").agg(F.collect_list("element").alias("usual"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.uint64)
+        for batch in batches:
+            score, short, diff, last, u = [], [], [], None, none
+            for raw, again in zip(batch.column("set"), batch.column("usual")):
+                if last is None or again != last:  # the sets of a cluster follow each other
+                    last = again
+                    u = np.sort(again.values.to_numpy(zero_copy_only=False).view(np.uint64)) if again.is_valid else none
+                x = decode(raw.as_py())
+                d = np.setxor1d(x, u, assume_unique=True)
+                score.append(len(d) * (100 + percent) - (100 - percent) * len(x))
+                short.append(-(-percent * len(x) // 100) - (len(x) + len(u) - len(d)) // 2)
+                diff.append(d.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("cluster", "label", "node")), pa.array(score, pa.int64()),
+                 pa.array(short, pa.int64()), pa.array(diff, pa.list_(pa.int64()))],
+                names=["cluster", "label", "node", "score", "short", "diff"])
+
+    return able.join(usual, "cluster", "left").select("cluster", "label", "node", "set", "usual").mapInArrow(
+        run, f"cluster {node_t}, label {node_t}, node {node_t}, score bigint, short bigint, diff array<bigint>")
+
+
+def _prefix_pairs(differ: DataFrame, best: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of other labels that may reach the threshold, by their rarest differences.
+
+    Of the elements of a diff that sets of other labels have too, in order of
+    their number, a pair that has to share k shares one among all but the last
+    k - 1 on either side.
+    """
+    unit = 2 * (100 + percent)
+    other = differ.join(best, "cluster").where("label <> best.label").groupBy("cluster").agg(F.min("score").alias("next"))
+    need = F.greatest(F.lit(1), F.col("short"), F.ceil(
+        (F.col("score") + F.when(F.col("label") == F.col("best.label"), F.col("next")).otherwise(F.col("best.score"))) / unit))
+    rows = differ.join(best.join(other, "cluster"), "cluster") \
+        .select("cluster", "label", "node", "score", need.alias("need"), F.explode("diff").alias("element"))
+    common = rows.groupBy("cluster", "element").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi") \
+        .select("cluster", "element", "n")
+    prefix = rows.join(common, ["cluster", "element"]).groupBy("node") \
+        .agg(F.first("cluster").alias("cluster"), F.first("label").alias("label"), F.first("score").alias("score"),
+             F.first("need").alias("need"), F.sort_array(F.collect_list(F.struct("n", "element"))).alias("rare")) \
+        .where("size(rare) >= need") \
+        .select("node", "cluster", "label", "score", F.size("rare").alias("len"), F.posexplode(
+            F.expr("slice(rare, 1, cast(size(rare) - need + 1 as int))")).alias("at", "e")) \
+        .select("cluster", F.col("e.element").alias("element"), "node", "label", "score",
+                (F.col("len") - F.col("at")).alias("rest"))
+    left = prefix.select("cluster", "element", F.col("node").alias("a"), F.col("label").alias("la"),
+                         F.col("score").alias("sa"), F.col("rest").alias("ra"))
+    right = prefix.select("cluster", "element", F.col("node").alias("b"), F.col("label").alias("lb"),
+                          F.col("score").alias("sb"), F.col("rest").alias("rb"))
+    on = (left["cluster"] == right["cluster"]) & (left["element"] == right["element"]) & (F.col("a") > F.col("b")) \
+        & (F.col("la") != F.col("lb")) & (F.col("sa") + F.col("sb") <= unit * F.least("ra", "rb"))
+    return left.join(right, on).select("a", "b").distinct()
+
+
+def _flat(batches: Iterator[pa.RecordBatch], decode: Callable[[bytes], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """One row for each element of each set."""
+    for batch in batches:
+        raw = batch.column("set").to_pylist()
+        for lo in range(0, len(raw), 500):
+            arrays = [decode(x) for x in raw[lo:lo + 500]]
+            at = np.repeat(np.arange(len(arrays)), [len(x) for x in arrays]) + lo
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("cluster").take(pa.array(at)), pa.array(np.concatenate(arrays).view(np.int64))],
+                names=["cluster", "element"])
+
+
 def _explode(batches: Iterator[pa.RecordBatch], decode: Callable[[bytes], np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:
     """One row for each element in 1/SHARE of the hash space (a null one if there is none).
 
@@ -246,15 +333,3 @@ def _explode(batches: Iterator[pa.RecordBatch], decode: Callable[[bytes], np.nda
                 [*(batch.column(c).take(pa.array(at + lo)) for c in ("cluster", "label", "node")),
                  pa.array(np.array(need, np.int32)[at]), pa.array(flat, mask=none)],
                 names=["cluster", "label", "node", "need", "element"])
-
-
-def _signed(batches: Iterator[pa.RecordBatch], decode, sign) -> Iterator[pa.RecordBatch]:
-    """Replace the set by its signature; ``sign`` gets several sets (one at least) at a time."""
-    for batch in batches:
-        arrays = [decode(x) for x in batch.column("set").to_pylist()]
-        parts = np.cumsum([len(x) for x in arrays]) // SIGNED_ELEMENTS if arrays else []
-        cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(arrays)] if arrays else []
-        words = [w.view(np.int64) for a, b in zip(cuts, cuts[1:]) for w in sign(arrays[a:b])]
-        names = [n for n in batch.schema.names if n != "set"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(words, pa.list_(pa.int64()))],
-                                         names=[*names, "fine"])

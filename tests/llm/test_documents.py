@@ -12,6 +12,7 @@ import tiktoken
 
 from quotelake.llm import (bbit_minhash, bpe_fst, chaining, curriculum, fuzzy_lines, line_crf, ppm, prefix_free,
                            suffix_repetition)
+from quotelake.llm.components import similarity_components
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size int, bucket int"
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -205,6 +206,33 @@ def test_large_group_of_near_copies(spark):
     assert got == comp
 
 
+@pytest.mark.parametrize("percent, families", [(85, 1), (80, 3), (60, 2)])
+def test_components_of_one_bucket_against_all_pairs(spark, percent, families):
+    """Sets of one bucket, near and below the threshold, with and without what they come from."""
+    rng = random.Random(percent)
+    sets = {}
+    for f in range(families):
+        base = [rng.getrandbits(63) for _ in range(60 + 20 * f)]
+        spare = [rng.getrandbits(63) for _ in range(25)]
+        for _ in range(70):
+            lost = rng.randint(0, max(len(base) * (100 - percent) // 120, 2))
+            x = set(rng.sample(base, len(base) - lost))
+            x |= set(rng.sample(spare, rng.randint(0, 8))) if rng.random() < 0.5 else {rng.getrandbits(63) for _ in range(lost)}
+            sets[len(sets)] = x
+    for _ in range(20):
+        sets[len(sets)] = {rng.getrandbits(63) for _ in range(rng.randint(1, 40))}
+    links = [(a, b) for a in sets for b in sets if a < b
+             and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    comp = components(links, list(sets))
+    stored = spark.createDataFrame(
+        [(i, bytearray(np.array(sorted(x), np.uint64).tobytes()), len(x)) for i, x in sets.items()],
+        "node bigint, set binary, size bigint")
+    nodes = spark.createDataFrame([(i, [7]) for i in sets], "node bigint, buckets array<bigint>")
+    got = similarity_components(nodes, lambda ids: stored.join(ids, "node", "left_semi"), percent)
+    linked = {i for pair in links for i in pair}
+    assert {r["node"]: r["component"] for r in got.collect()} == {i: comp[i] for i in linked}
+
+
 def test_fuzzy_lines(docs, empty):
     lines = {}
     for r in ROWS:

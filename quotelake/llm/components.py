@@ -279,24 +279,25 @@ def _prefix_pairs(differ: DataFrame, best: DataFrame, percent: int) -> DataFrame
     other = differ.join(best, "cluster").where("label <> best.label").groupBy("cluster").agg(F.min("score").alias("next"))
     need = F.greatest(F.lit(1), F.col("short"), F.ceil(
         (F.col("score") + F.when(F.col("label") == F.col("best.label"), F.col("next")).otherwise(F.col("best.score"))) / unit))
+    # one column for cluster and element: the shuffle must deal out a large cluster, and not reuse that of the join
     rows = differ.join(best.join(other, "cluster"), "cluster") \
-        .select("cluster", "label", "node", "score", need.alias("need"), F.explode("diff").alias("element"))
-    common = rows.groupBy("cluster", "element").agg(
+        .select("cluster", "label", "node", "score", need.alias("need"), F.explode("diff").alias("element")) \
+        .select("label", "node", "score", "need", F.struct("cluster", "element").alias("place"))
+    common = rows.groupBy("place").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi") \
-        .select("cluster", "element", "n")
-    prefix = rows.join(common, ["cluster", "element"]).groupBy("node") \
-        .agg(F.first("cluster").alias("cluster"), F.first("label").alias("label"), F.first("score").alias("score"),
-             F.first("need").alias("need"), F.sort_array(F.collect_list(F.struct("n", "element"))).alias("rare")) \
+        .select("place", "n")
+    prefix = rows.join(common, "place").groupBy("node") \
+        .agg(F.first("label").alias("label"), F.first("score").alias("score"),
+             F.first("need").alias("need"), F.sort_array(F.collect_list(F.struct("n", "place"))).alias("rare")) \
         .where("size(rare) >= need") \
-        .select("node", "cluster", "label", "score", F.size("rare").alias("len"), F.posexplode(
+        .select("node", "label", "score", F.size("rare").alias("len"), F.posexplode(
             F.expr("slice(rare, 1, cast(size(rare) - need + 1 as int))")).alias("at", "e")) \
-        .select("cluster", F.col("e.element").alias("element"), "node", "label", "score",
-                (F.col("len") - F.col("at")).alias("rest"))
-    left = prefix.select("cluster", "element", F.col("node").alias("a"), F.col("label").alias("la"),
+        .select("e.place", "node", "label", "score", (F.col("len") - F.col("at")).alias("rest"))
+    left = prefix.select("place", F.col("node").alias("a"), F.col("label").alias("la"),
                          F.col("score").alias("sa"), F.col("rest").alias("ra"))
-    right = prefix.select("cluster", "element", F.col("node").alias("b"), F.col("label").alias("lb"),
+    right = prefix.select("place", F.col("node").alias("b"), F.col("label").alias("lb"),
                           F.col("score").alias("sb"), F.col("rest").alias("rb"))
-    on = (left["cluster"] == right["cluster"]) & (left["element"] == right["element"]) & (F.col("a") > F.col("b")) \
+    on = (left["place"] == right["place"]) & (F.col("a") > F.col("b")) \
         & (F.col("la") != F.col("lb")) & (F.col("sa") + F.col("sb") <= unit * F.least("ra", "rb"))
     return left.join(right, on).select("a", "b").distinct()
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import drop, materialize
 
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1  # turns of links to centres; what they leave open is compared in the end
 SHARE = 3  # shared elements are counted among one element of so many
 
 
@@ -120,15 +120,12 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
         .where("centre <> top").drop("top")
     in_shared = keep(member.join(shared, "bucket"), "buckets")
 
-    cluster = connected(in_shared.select(F.col("node").alias("a"), F.col("centre").alias("b")), made)
-    cluster = keep(cluster.withColumnRenamed("component", "cluster"), "clusters")
     # rows that share a node stand for one set
-    sets = keep(sets_of(cluster.select("node")).groupBy("node").agg(
+    sets = keep(sets_of(in_shared.select("node").distinct()).groupBy("node").agg(
         F.min(F.struct("set", "size")).alias("s")).select("node", "s.*"), "sets")
-    cand = cluster.join(sets.select("node", "size"), "node")
+    cand = sets.select("node", "size")
     if likely is not None:
-        cand = cand.join(nodes.select("node", "sig"), "node")
-    cand = keep(cand, "candidates")
+        cand = keep(cand.join(nodes.select("node", "sig"), "node"), "candidates")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets reach the threshold."""
@@ -154,10 +151,15 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
     comp = None
 
     def merged(found: DataFrame) -> DataFrame:
-        """The components so far joined by new links."""
-        if comp is not None:
-            found = found.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        return connected(found, made)
+        """The components so far joined by new links, which are taken between components."""
+        if comp is None:
+            return connected(found, made)
+        ends = labelled(labelled(found, "a", "la"), "b", "lb")
+        joined = connected(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")), made)
+        moved = joined.select(F.col("node").alias("_was"), F.col("component").alias("_now"))
+        grown = comp.join(moved, F.col("component") == F.col("_was"), "left") \
+            .select("node", F.coalesce("_now", "component").alias("component"))
+        return keep(grown.unionByName(joined.join(comp.select("node"), "node", "left_anti")), "components")
 
     def labelled(df: DataFrame, key: str, name: str) -> DataFrame:
         if comp is None:
@@ -195,7 +197,10 @@ def similarity_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataF
     # partner, of all of them and so of those in any share of the hash space.
     # Elements of one share, counted where sets of other labels have them too,
     # put aside the sets that can't have a partner.
-    todo = open_members.select("node", "label").distinct().join(cand.select("node", "cluster"), "node")
+    # A cluster is what open buckets connect.
+    edges = open_members.join(open_members.groupBy("bucket").agg(F.min("node").alias("b")), "bucket")
+    cluster = connected(edges.select(F.col("node").alias("a"), "b"), made).withColumnRenamed("component", "cluster")
+    todo = keep(open_members.select("node", "label").distinct().join(cluster, "node"), "clusters")
     rows = sets.join(todo, "node").select("cluster", "label", "node", "set").mapInArrow(
         lambda it: _explode(it, decode, percent),
         f"cluster {node_t}, label {node_t}, node {node_t}, need int, element bigint")

@@ -277,10 +277,8 @@ def _prefix_pairs(differ: DataFrame, best: DataFrame, percent: int) -> DataFrame
     """Distinct pairs (a, b) of other labels that may reach the threshold, by their rarest differences.
 
     Of the elements of a diff that sets of other labels have too, in order of
-    their number, a set that has to share k with any partner keeps all but the
-    last k - 1.  Of the elements of a pair that are not kept on both sides at
-    most max(k) - 1 are shared, so the kept ones must make up for the rest of
-    what the pair has to share.
+    their number, a pair that has to share k shares one among all but the last
+    k - 1 on either side, and enough are left there on both sides.
     """
     unit = 2 * (100 + percent)
     other = differ.join(best, "cluster").where("label <> best.label").groupBy("cluster").agg(F.min("score").alias("next"))
@@ -297,20 +295,16 @@ def _prefix_pairs(differ: DataFrame, best: DataFrame, percent: int) -> DataFrame
         .agg(F.first("label").alias("label"), F.first("score").alias("score"),
              F.first("need").alias("need"), F.sort_array(F.collect_list(F.struct("n", "place"))).alias("rare")) \
         .where("size(rare) >= need") \
-        .select("node", "label", "score", "need", F.size("rare").alias("len"), F.posexplode(
+        .select("node", "label", "score", F.size("rare").alias("len"), F.posexplode(
             F.expr("slice(rare, 1, cast(size(rare) - need + 1 as int))")).alias("at", "e")) \
-        .select("e.place", "node", "label", "score", "need", (F.col("len") - F.col("at")).alias("rest"))
+        .select("e.place", "node", "label", "score", (F.col("len") - F.col("at")).alias("rest"))
     left = prefix.select("place", F.col("node").alias("a"), F.col("label").alias("la"),
-                         F.col("score").alias("sa"), F.col("rest").alias("ra"), F.col("need").alias("ka"))
+                         F.col("score").alias("sa"), F.col("rest").alias("ra"))
     right = prefix.select("place", F.col("node").alias("b"), F.col("label").alias("lb"),
-                          F.col("score").alias("sb"), F.col("rest").alias("rb"), F.col("need").alias("kb"))
+                          F.col("score").alias("sb"), F.col("rest").alias("rb"))
     on = (left["place"] == right["place"]) & (F.col("a") > F.col("b")) \
-        & (F.col("la") != F.col("lb"))
-    # the first place that a pair shares leaves enough on both sides
-    return left.join(right, on).groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("n"), F.first(F.col("sa") + F.col("sb")).alias("s"), F.first(F.greatest("ka", "kb")).alias("k"),
-        F.max(F.least("ra", "rb")).alias("rest")) \
-        .where(f"s <= {unit} * rest and s <= {unit} * (n + k - 1)").select("a", "b")
+        & (F.col("la") != F.col("lb")) & (F.col("sa") + F.col("sb") <= unit * F.least("ra", "rb"))
+    return left.join(right, on).select("a", "b").distinct()
 
 
 def _flat(batches: Iterator[pa.RecordBatch], decode: Callable[[bytes], np.ndarray]) -> Iterator[pa.RecordBatch]:

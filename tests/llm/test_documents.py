@@ -315,6 +315,45 @@ def test_chaining_finds_both_of_two_passages(spark, apart):
     assert set(range(45, 105)) <= found and set(range(105 + apart, 165 + apart)) <= found
 
 
+def test_chaining_passages_hidden_by_first_places(spark):
+    """Pairs whose seeds all stand in earlier documents that share no passage with them, against brute force."""
+    rng = random.Random(1)
+    text = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    halves, bits, often = text(70), text(60), text(60)
+    rows = [(1, text(50) + halves[:35] + text(50)), (2, text(50) + halves[35:] + text(50)),
+            (3, text(30) + halves + text(30)), (4, text(60) + halves + text(10))]
+    rows += [(10 + i, text(30) + bits[5 * i:5 * i + 9] + text(30)) for i in range(10)]
+    rows += [(30, text(30) + bits + text(5)), (31, text(7) + bits + text(20))]
+    rows += [(100 + i, text(30) + often[3 * (i % 18):3 * (i % 18) + 9] + text(30)) for i in range(200)]  # over FEW places
+    rows += [(400, text(30) + often + text(5)), (401, text(7) + often + text(20))]
+    # a random corpus of pieces of a few base passages
+    base = [text(90) for _ in range(4)]
+    for i in range(60):
+        parts = []
+        for _ in range(3):
+            of, at, n = rng.choice(base), rng.randrange(60), rng.choice((9, 20, 30, 55))
+            parts += text(12) + of[at:at + n]
+        rows.append((1000 + i, parts + text(12)))
+    # brute force: by document, the words of exact runs of 40 words and more that an earlier document has
+    want, runs = collections.defaultdict(set), {}
+    for i, words in rows:
+        own = {tuple(words[p:p + 40]): p for p in range(len(words) - 39)}
+        for run, p in own.items():
+            if run in runs:
+                want[i] |= set(range(p, p + 40))
+        runs.update(dict.fromkeys(own, i))
+    assert {4, 31, 401} <= set(want) and len(want) > 20
+    got = chaining.passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")).collect()
+    found = collections.defaultdict(set)
+    for r in got:
+        assert r["other_id"] < r["doc_id"] and r["identity"] >= 0.8
+        found[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
+    assert {(4, 3), (31, 30), (401, 400)} <= {(r["doc_id"], r["other_id"]) for r in got}
+    assert not {i for i in found if 10 <= i < 31 or 100 <= i < 400}
+    for i, words in want.items():  # an alignment may leave a few words of an end to the next one
+        assert len(words - found[i]) <= 0.05 * len(words), i
+
+
 @pytest.mark.parametrize("kind", ["replace", "insert"])
 @pytest.mark.parametrize("n", [45, 50, 60])
 def test_chaining_recall_at_low_identity(n, kind):

@@ -13,6 +13,9 @@ from ..streaming.collector import Collector
 from . import fixtures as X
 from .registry import CAL, TK, WIN, WKEY, register
 
+#: Polls a micro-batch takes while a backlog of landed ticks is drained.
+BACKLOG_POLLS = 64
+
 
 def landed(spark, sf) -> str:
     path = scratch_path(spark, "landing")
@@ -38,15 +41,20 @@ SELECT event_id, symbol, time_msc, flags, Bid, Ask,
        CAST((row_number() OVER (PARTITION BY symbol ORDER BY time_msc, event_id) - 1) // 5000 AS BIGINT) AS poll
 FROM {TK}""")
 def q_stream_source_bounded(spark, sf):
-    """Every tick with the poll that took it: at most 5,000 a symbol and poll, in order of time."""
+    """Every tick with the poll that took it: at most 5,000 a symbol and poll, in order of time.
+
+    Files are dealt out by range and have small row groups, so that a poll reads little beside its own ticks.
+    """
     land, sink = scratch_path(spark, "landing"), scratch_path(spark, "polls")
-    X.ticks(spark, sf).repartition("symbol").sortWithinPartitions("symbol", "time_msc") \
-        .write.partitionBy("symbol").parquet(land)
+    X.ticks(spark, sf).repartitionByRange("symbol", "time_msc").sortWithinPartitions("symbol", "time_msc") \
+        .write.option("parquet.block.size", 1 << 20).partitionBy("symbol").parquet(land)
 
     def each(batch, epoch):
-        batch.withColumn("poll", F.lit(epoch).cast("bigint")).write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
+        # every poll but a symbol's last is full, so a micro-batch before this one took BACKLOG_POLLS of them
+        batch.withColumn("poll", F.lit(epoch).cast("bigint") * BACKLOG_POLLS + F.col("poll")) \
+            .write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
 
-    R.run_batches(P.tick_polls(spark, land), each, scratch_path(spark, "polls-ckpt"), "drain")
+    R.run_batches(P.tick_polls(spark, land, polls=BACKLOG_POLLS), each, scratch_path(spark, "polls-ckpt"), "drain")
     return spark.read.parquet(sink).select("event_id", "symbol", "time_msc", "flags", "Bid", "Ask", "poll")
 
 

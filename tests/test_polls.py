@@ -91,3 +91,54 @@ def test_nothing_landed(spark, scratch):
     assert reader.latestOffset() == {} and reader.partitions({}, {}) == []
     with pytest.raises(KeyError):
         P.TickPolls({}).streamReader(None)
+
+
+def test_a_micro_batch_takes_several_polls(spark, scratch):
+    """A backlog of many polls costs few micro-batches, with the same bounds; a lost commit is made up with the same polls."""
+    import os
+    import shutil
+    from quotelake.session import local_path
+    path, sink, ck, polls = scratch("landing"), scratch("polls"), scratch("ck"), 20
+    rows = [(k, "HOT", k // 4) for k in range(500)] + [(600 + k, "B", k) for k in range(35)]
+    land(spark, path, rows[:250])
+    land(spark, path, rows[250:])
+    epochs = []
+
+    def each(batch, epoch):
+        epochs.append(epoch)
+        batch.withColumn("poll", F.lit(epoch) * polls + F.col("poll")).write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
+
+    def got():
+        R.run_batches(P.tick_polls(spark, path, 10, polls=polls), each, ck, "drain")
+        return sorted((r.symbol, r.time_msc, r.event_id, r.poll) for r in spark.read.parquet(sink).collect())
+
+    assert got() == expected(rows, 10) and epochs == [0, 1, 2]   # 50 polls of HOT
+    commits = local_path(ck) + "/commits"
+    os.remove(f"{commits}/2")
+    if os.path.exists(f"{commits}/.2.crc"):
+        os.remove(f"{commits}/.2.crc")
+    shutil.rmtree(local_path(sink) + "/epoch=2")
+    assert got() == expected(rows, 10) and epochs == [0, 1, 2, 2]
+
+
+def test_repeated_ticks_stay_in_one_poll(scratch):
+    """Several polls planned together end where polls planned one by one do."""
+    import os
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from quotelake.session import local_path
+    folder = local_path(scratch("landing")) + "/symbol=A"
+    os.makedirs(folder)
+    ids = [k // 7 for k in range(700)]                           # each tick seven times
+    pq.write_table(pa.table({"event_id": ids, "time_msc": [i // 3 for i in ids]}), f"{folder}/a.parquet", row_group_size=50)
+    root = folder.rsplit("/", 1)[0]
+    one, at, ends = P.PollReader(root, 10, -1), {}, []
+    while one.latestOffset() != at:
+        at = one.latestOffset()
+        one.partitions({}, at)
+        ends.append((at["A"]["ms"], at["A"]["tie"]))
+    many = P.PollReader(root, 10, -1, polls=1000)
+    assert [e for s in many.partitions({}, many.latestOffset()) for e in s.ends] == ends
+    few = P.PollReader(root, 10, -1, polls=8)
+    few.partitions({}, few.latestOffset())
+    assert few.at["A"] == {"ms": ends[7][0], "tie": ends[7][1]}

@@ -357,6 +357,18 @@ def test_chaining_passages_hidden_by_first_places(spark):
             assert len(list(run)) < chaining.MIN_CHAIN, i
 
 
+def test_chaining_equal_passage_of_frequent_runs(spark):
+    """Two documents share 40 words; every run of 4 to 32 of them stands in over FEW earlier documents, shorter in all."""
+    rng = random.Random(3)
+    text = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    whole, n = text(chaining.MIN_WORDS), chaining.FEW + 4
+    rows = [(i, text(30) + whole[:36] + text(30)) for i in range(n)]
+    rows += [(100 + i, text(30) + whole[4:] + text(30)) for i in range(n)]
+    rows += [(200, text(20) + whole + text(40)), (201, text(35) + whole + text(10))]
+    got = chaining.passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")).collect()
+    assert [(r["doc_id"], r["other_id"], r["start_word"], r["end_word"], r["other_start"]) for r in got] == [(201, 200, 35, 75, 20)]
+
+
 def test_matches_in_line_chain_as_by_the_tree():
     rng = random.Random(6)
     for _ in range(200):

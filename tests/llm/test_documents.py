@@ -499,3 +499,30 @@ def test_forward_backward_against_enumeration():
             p += w * np.array(y)
         assert good[a:a + k] == pytest.approx(p / z)
     assert pairs.sum() == pytest.approx(6)
+
+
+@pytest.mark.parametrize("module, make", [
+    (fuzzy_lines, lambda docs: fuzzy_lines.occurrences(docs, "doc_id", "text", True)),
+    (bbit_minhash, lambda docs: bbit_minhash.features(docs, 5, 6, "doc_id", "text")),
+    (line_crf, lambda docs: line_crf.scores(docs, line_crf.Model(0.0, 1.0, np.ones(1), 0.0, np.zeros((2, 2)), 1.0, 0.0)))])
+def test_working_memory_of_a_large_batch(spark, monkeypatch, module, make):
+    """A task's arrays stay far below the share of one of an executor's workers, whatever Arrow hands it."""
+    import tracemalloc
+
+    import pyarrow as pa
+    tasks = []
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, task, schema: tasks.append(task) or df)
+    make(docs)
+    if module is line_crf:
+        monkeypatch.setattr(line_crf.Model, "quality", lambda model, x, row, weight, n: np.zeros(n))
+    rng = random.Random(2)
+    words = [f"word{k}" for k in range(5000)]
+    texts = ["\n".join(" ".join(rng.choices(words, k=10)) for _ in range(30)) for _ in range(1500)]  # about 4 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    list(tasks[0](iter([batch.slice(0, 300)])))  # tables of powers
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in tasks[0](iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows >= len(texts) and most < 80 << 20

@@ -369,6 +369,17 @@ def test_chaining_equal_passage_of_frequent_runs(spark):
     assert [(r["doc_id"], r["other_id"], r["start_word"], r["end_word"], r["other_start"]) for r in got] == [(201, 200, 35, 75, 20)]
 
 
+def test_chaining_stretches_of_one_word(spark):
+    """Repeated words meet along few diagonals, not place by place, and every word of them is covered."""
+    rows = [(0, "a " * 200), (1, "a " * 200), (2, "a " * 500), (3, "a " * 60 + "b c d e f " * 60)]
+    got = chaining.passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(got) <= 12 and {r["other_id"] for r in got} == {0}
+    for i, n in ((1, 200), (2, 500), (3, 60)):
+        at = sorted((r["start_word"], r["end_word"]) for r in got if r["doc_id"] == i)
+        assert at[0][0] == 0 and max(e for _, e in at) >= n
+        assert all(s <= max(e for _, e in at[:k + 1]) for k, (s, _) in enumerate(at[1:]))
+
+
 def test_matches_in_line_chain_as_by_the_tree():
     rng = random.Random(6)
     for _ in range(200):

@@ -495,6 +495,39 @@ def test_line_crf(spark, docs, empty):
     assert line_crf.scores(empty, model).count() == 0
 
 
+def test_line_crf_fit_holds_one_copy_of_the_sample():
+    """The driver's share of the memory: the sample's features and little beside them."""
+    import tracemalloc
+    rng = np.random.default_rng(0)
+    x, row = rng.normal(size=(20_000, 107)), np.repeat(np.arange(2000), 10)
+    mean, std, size = x.mean(0), x.std(0), x.nbytes
+    tracemalloc.start()
+    model = line_crf.fit(x, row, np.ones(len(row)), (np.arange(2000) % 2).astype(float), steps=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < size / 2
+    assert np.allclose(model.mean, mean) and np.allclose(model.scale, std + 1e-3)
+
+
+def test_line_crf_train_takes_documents_in_hash_order(spark, monkeypatch):
+    """Up to the bound of lines, each with its features, label and weight; a long document is passed over."""
+    got = []
+    monkeypatch.setattr(line_crf, "fit", lambda *a: got.append(a))
+    texts = {i: "\n".join(f"Line {k} of {i}." for k in range(1 + i % 3)) for i in range(200)}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()] + [(200, "x\n" * 50)], "doc_id bigint, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) as quality")
+    line_crf.train(docs, labels, max_lines=60)
+    order, lines = [], 0
+    for i in sorted((i for i in texts if zlib.crc32(str(i).encode()) % 4 != 2), key=lambda i: (zlib.crc32(str(i).encode()), i)):
+        if lines + 1 + i % 3 <= 60:
+            order.append(i)
+            lines += 1 + i % 3
+    raw = [texts[i].encode() for i in order]
+    x, row, weight = line_crf.line_features(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]))
+    assert np.array_equal(got[0][0], x) and np.array_equal(got[0][1], row)
+    assert np.array_equal(got[0][2], weight) and got[0][3].tolist() == [i % 2 for i in order]
+
+
 def test_forward_backward_against_enumeration():
     import itertools
     rng = np.random.default_rng(0)

@@ -369,6 +369,33 @@ def test_chaining_equal_passage_of_frequent_runs(spark):
     assert [(r["doc_id"], r["other_id"], r["start_word"], r["end_word"], r["other_start"]) for r in got] == [(201, 200, 35, 75, 20)]
 
 
+def test_chaining_passage_with_edits_of_frequent_runs(spark):
+    """Two documents share 48 words but for three; every run of 4 and 8 of them stands in over FEW earlier documents."""
+    rng = random.Random(3)
+    text = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    whole, n = text(48), chaining.FEW + 4
+    other = [f"x{i}" if i in (12, 25, 38) else w for i, w in enumerate(whole)]
+    rows = [(100 * i + at, text(30) + whole[at:at + 12] + text(30)) for i in range(n) for at in range(0, 40, 4)]
+    rows += [(9000, text(20) + whole + text(40)), (9001, text(35) + other + text(10))]
+    got = chaining.passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")).collect()
+    assert [(r["doc_id"], r["other_id"], r["start_word"], r["end_word"], r["matched_words"]) for r in got] == [(9001, 9000, 35, 83, 45)]
+
+
+def test_window_grams_of_every_passage_are_shared():
+    """A copy with at most a fifth of its words edited shares enough of the grams, whatever the counts say."""
+    rng = random.Random(8)
+    for trial in range(300):
+        words = [rng.randrange(10 ** 9 if trial % 3 else 12) for _ in range(rng.randint(40, 79))]
+        copy = list(words)
+        for at in sorted(rng.sample(range(len(words)), len(words) // 5), reverse=True):
+            copy[at:at + (trial % 2)] = [rng.randrange(10 ** 9) + 10 ** 9] * (1 if trial % 2 else rng.choice((1, 1, 0)))
+        a, b = (np.array([rng.randrange(10 ** 9) + 2 * 10 ** 9 for _ in range(30)] + x, np.uint64) for x in (words, copy))
+        count = np.array([rng.randint(1, 50) for _ in range(512)] * (chaining.SKETCH // 512))
+        grams, times = chaining._window_grams(a, np.arange(30, 30 + len(words) - 3), count, 40, 0.8)
+        has = np.concatenate([chaining._grams(b, g) for g in (1, 2)])
+        assert len(np.unique(grams)) == len(grams) and times[np.isin(grams, has)].sum() >= chaining.ALIKE
+
+
 def test_chaining_stretches_of_one_word(spark):
     """Repeated words meet along few diagonals, not place by place, and every word of them is covered."""
     rows = [(0, "a " * 200), (1, "a " * 200), (2, "a " * 500), (3, "a " * 60 + "b c d e f " * 60)]
